@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from lakeloom.checks.registry import REGISTRY, Check, check
-from lakeloom.checks import marts  # noqa: F401  (each module registers its queries)
+from lakeloom.checks import exploring, marts, quality, ranks, relations, reports, scalars  # noqa: F401
 
 __all__ = ["REGISTRY", "Check", "check"]

@@ -10,6 +10,7 @@ value shared by a third of all rows is still one row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal, localcontext
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -89,15 +90,15 @@ def running_totals(
         .collect()  # one row per range, at most MAX_RANGES + 1
     )
     names = ["_position", *measures]
-    running = {name: 0 for name in names}
-    offsets = []
-    for row in per_range:
-        offsets.append((row["_range"], *[running[name] for name in names]))
-        for name in names:
-            running[name] += row[name] or 0
     types = dict(ranged.select(F.lit(1).cast("bigint").alias("_position"), *measures).dtypes)
     wide = {n: "decimal(38,2)" if types[n].startswith("decimal") else types[n] for n in names}
     schema = "_range int, " + ", ".join(f"`{n}_offset` {wide[n]}" for n in names)
+    running = [Decimal(0) if wide[n].startswith("decimal") else 0 for n in names]
+    offsets = []
+    with localcontext(prec=40):
+        for row in per_range:
+            offsets.append((row["_range"], *running))
+            running = [r + row[n] if row[n] is not None else r for r, n in zip(running, names)]
     shift = spark.createDataFrame(offsets, schema)
     order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
     within = Window.partitionBy("_range").orderBy(order)
@@ -177,7 +178,8 @@ def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -
     totals = placed.agg(F.sum("_n").alias("n"), F.sum("_sum").alias("total")).first()
     n, total = totals["n"] or 0, totals["total"] or 0
     head = -(-n * head_pct // 100)
-    goal = total * target_pct  # in hundredths of the total
+    with localcontext(prec=40):
+        goal = total * target_pct  # in hundredths of the total
     taken = F.least(F.greatest(F.lit(head) - F.col("_n_before"), F.lit(0)), F.col("_n"))
     missing = F.lit(goal) - F.col("_sum_before") * 100
     crossing = (missing > 0) & (F.col("_sum") * 100 >= missing)

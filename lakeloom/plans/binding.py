@@ -130,7 +130,6 @@ class Domain:
             F.col("p_name").alias("title"),
             F.concat_ws(" ", "p_type", "p_brand").alias("description"),
             F.col("p_brand").alias("rating"),
-            F.col("p_type").alias("category"),
             money("p_retailprice").alias("rental_rate"),
             money("p_retailprice").alias("replacement_cost"),
             F.col("p_size").alias("rental_duration"),
