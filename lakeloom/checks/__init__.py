@@ -3,6 +3,18 @@
 from __future__ import annotations
 
 from lakeloom.checks.registry import REGISTRY, Check, check
-from lakeloom.checks import exploring, marts, quality, ranks, relations, reports, scalars  # noqa: F401
+from lakeloom.checks import (  # noqa: F401  (each module registers its queries)
+    exploring,
+    marts,
+    reports,
+    ranks,
+    relations,
+    scalars,
+    quality,
+    imports,
+    lakes,
+    increments,
+    streams,
+)
 
 __all__ = ["REGISTRY", "Check", "check"]

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
+# Text formats write whole milliseconds unless told otherwise; readers accept this form.
+TIME_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def snake_case(name: str) -> str:
     """``"First Name"`` -> ``"first_name"``."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.text import null_tokens
-from lakeloom.sources.files import read_json, read_parquet
+from lakeloom.sources.files import TIME_FORMAT, read_json, read_parquet
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,7 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def _save(df: DataFrame, path: str, kind: str, mode: str, partition_cols: Sequence[str] = (),
           options: dict[str, str] | None = None) -> WriteResult:
     counted, seen = _counted(df)
-    writer = counted.write.format(kind).mode(mode).options(**(options or {}))
+    writer = counted.write.format(kind).mode(mode).options(**TIME_FORMAT, **(options or {}))
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.save(path)

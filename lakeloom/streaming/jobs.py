@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lakeloom.operators.ranking import latest_by_key
 from lakeloom.sources.changes import table_of
+from lakeloom.sources.files import TIME_FORMAT
 
 BATCH = "_batch"
 CUT = "_valid_until"
@@ -32,6 +33,7 @@ def land_by_table(records: DataFrame, path: str, checkpoint: str) -> DataStreamW
     return (
         records.withColumn("table_name", table_of(F.col("topic")))
         .writeStream.format("json")
+        .options(**TIME_FORMAT)
         .partitionBy("table_name")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
