@@ -15,7 +15,7 @@ def _events(d):
 
 def _split(d):
     rows = _events(d)
-    return rows.filter(f"ts < timestamp'{CUT}'"), rows
+    return rows.filter(f"ts < '{CUT}'"), rows
 
 
 @check(
@@ -35,8 +35,8 @@ def inc_01_append(d):
     f"""select {EVENT} from events where ts > timestamp '{CUT}' and ts <= timestamp '2024-01-20 00:00:00'""",
 )
 def inc_02_last_modified(d):
-    last = F.lit(CUT).cast("timestamp")
-    return inc.rows_changed(_events(d), "ts", last, F.lit("2024-01-20 00:00:00").cast("timestamp"))
+    last = F.lit(CUT)
+    return inc.rows_changed(_events(d), "ts", last, F.lit("2024-01-20 00:00:00"))
 
 
 NEWEST = "qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"
@@ -47,7 +47,7 @@ def inc_03_merge(d):
     stored, source = _split(d)
     state = inc.VersionedTable(d.spark, scratch_path(d.spark, "state"))
     state.replace(inc.latest_by_key(stored, ["user_id"], ["ts", "event_id"]))
-    state.merge(inc.rows_after(source, "ts", F.lit(CUT).cast("timestamp")), ["user_id"], ["ts", "event_id"])
+    state.merge(inc.rows_after(source, "ts", F.lit(CUT)), ["user_id"], ["ts", "event_id"])
     return state.read()
 
 
@@ -60,7 +60,7 @@ def inc_03_merge_with_deletes(d):
     stored, source = _split(d)
     old = inc.latest_by_key(stored, ["user_id"], ["ts", "event_id"])
     marked = old.withColumn(inc.OP, kind).filter(F.col(inc.OP) != inc.DELETE).drop(inc.OP)
-    delta = inc.rows_after(source, "ts", F.lit(CUT).cast("timestamp")).withColumn(inc.OP, kind)
+    delta = inc.rows_after(source, "ts", F.lit(CUT)).withColumn(inc.OP, kind)
     return inc.merge(marked, delta, ["user_id"], ["ts", "event_id"])
 
 
@@ -83,10 +83,9 @@ def _sync(d):
     root = scratch_path(d.spark, "sync")
     marks = inc.Bookmarks(d.spark, f"{root}/marks")
     orders = d.raw("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     plan = [
-        (inc.SyncRule("orders", ("o_orderkey",), "o_orderdate"), orders, "o_orderdate < timestamp'1998-01-01'"),
-        (inc.SyncRule("events", ("event_id",), "event_id", mode="append"), _events(d), f"ts < timestamp'{CUT}'"),
+        (inc.SyncRule("orders", ("o_orderkey",), "o_orderdate"), orders, "o_orderdate < '1998-01-01'"),
+        (inc.SyncRule("events", ("event_id",), "event_id", mode="append"), _events(d), f"ts < '{CUT}'"),
     ]
     targets = {rule.table: inc.VersionedTable(d.spark, f"{root}/{rule.table}") for rule, _, _ in plan}
     for rule, source, early in plan:

@@ -19,7 +19,7 @@ def _lake(d) -> Lake:
 
 
 PAYMENT_SCHEMA = (
-    "payment_id bigint, rental_id bigint, customer_id bigint, amount decimal(18,2), payment_date timestamp"
+    "payment_id bigint, rental_id bigint, customer_id bigint, amount decimal(18,2), payment_date timestamp_ntz"
 )
 PAYMENT_SQL = having("payment") + f"""select payment_id, rental_id, customer_id,
     cast(amount as double) as amount, {stamp('payment_date')} as payment_date from payment"""
@@ -94,7 +94,7 @@ SCHEMAS = {
     "payment": PAYMENT_SCHEMA,
     "rental": (
         "rental_id bigint, line_number bigint, film_id bigint, store_id bigint, customer_id bigint, "
-        "rental_date timestamp, return_date timestamp"
+        "rental_date timestamp_ntz, return_date timestamp_ntz"
     ),
     "film": (
         "film_id bigint, title string, description string, rating string, rental_rate decimal(18,2), "

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
     group by 1, 2, 3""",
 )
 def monthly_revenue(d):
-    return marts.monthly_revenue(d.payment(), d.rental_line(), d.film())
+    return marts.monthly_revenue(d.payment(), d.rental_line(), d.film(), unique=True)
 
 
 @check(
@@ -29,7 +29,7 @@ def monthly_revenue(d):
     group by 1, 2, 3""",
 )
 def monthly_revenue_by_category(d):
-    return marts.monthly_revenue_by_category(d.payment(), d.rental_line(), d.film_category())
+    return marts.monthly_revenue_by_category(d.payment(), d.rental_line(), d.film_category(), unique=True)
 
 
 @check(
@@ -73,7 +73,7 @@ def customer_lifetime_value(d):
     from totals""",
 )
 def film_performance(d):
-    return marts.film_performance(d.rental_line(), d.film(), d.payment())
+    return marts.film_performance(d.rental_line(), d.film(), d.payment(), unique=True)
 
 
 @check(
@@ -86,7 +86,7 @@ def film_performance(d):
     from rental r left join payment p on p.rental_id = r.rental_id group by 1, 2, 3""",
 )
 def store_performance(d):
-    return marts.store_performance(d.rental(), d.payment())
+    return marts.store_performance(d.rental(), d.payment(), unique=True)
 
 
 @check(
@@ -124,7 +124,7 @@ def category_sales(d):
     group by 1, 2, 3, 4""",
 )
 def customer_order_summary(d):
-    return marts.customer_order_summary(d.customers(), d.orders().filter("year(order_date) = 1996"))
+    return marts.customer_order_summary(d.customers(), d.orders().filter("order_date between '1996-01-01' and '1996-12-31'"))
 
 
 @check(

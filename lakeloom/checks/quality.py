@@ -6,7 +6,6 @@ from lakeloom.checks.registry import check, day, having, stamp
 from lakeloom.functions.money import money
 from lakeloom.functions.text import EMAIL_PATTERN
 from lakeloom.operators import quality
-from lakeloom.plans.binding import timestamp
 from lakeloom.sources.schemas import struct
 from pyspark.sql import functions as F
 
@@ -31,7 +30,7 @@ def _dirty_customer(d):
         F.split("c_name", "#")[1].alias("last_name"),
         F.when(key % 11 == 0, None).when(key % 7 == 0, "no address").otherwise(mail).alias("email"),
         F.when(key % 5 == 0, None).otherwise(F.col("c_acctbal") > 0).alias("active"),
-        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=(key % 24).cast("int"))).alias("last_update"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=(key % 24).cast("int"))).alias("last_update"),
     )
 
 
@@ -89,7 +88,7 @@ def _dirty_payment(d):
         F.nullif(key - F.when(key % 10 == 3, 1).otherwise(0), F.lit(40)).alias("payment_id"),
         F.col("o_custkey").alias("customer_id"),
         money(amount).alias("amount"),
-        timestamp("o_orderdate").alias("last_update"),
+        F.col("o_orderdate").alias("last_update"),
     )
 
 

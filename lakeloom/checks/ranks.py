@@ -60,7 +60,7 @@ def win_02_percent_rank(d):
 def win_03_rank_with_ties(d):
     coarse = (
         d.payment()
-        .filter("year(payment_date) = 1997")
+        .filter("payment_date >= '1997-01-01' and payment_date < '1998-01-01'")
         .groupBy("customer_id")
         .agg(F.floor(F.sum("amount") / 1000).cast("bigint").alias("k"))
         .withColumn("k", F.when(F.col("k") >= 50, F.col("k")))

@@ -107,7 +107,7 @@ def flt_06_null_safe_change(d):
     having count(*) > 2 and sum(cast(o_totalprice as decimal(18,2))) > 500000""",
 )
 def flt_07_having(d):
-    rows = d.raw("orders").filter("year(o_orderdate) = 1997").groupBy("o_custkey")
+    rows = d.raw("orders").filter("o_orderdate >= '1997-01-01' and o_orderdate < '1998-01-01'").groupBy("o_custkey")
     totals = rows.agg(F.count("*").alias("n"), F.sum(money("o_totalprice")).alias("total"))
     return totals.filter((F.col("n") > 2) & (F.col("total") > 500000))
 

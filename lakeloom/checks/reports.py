@@ -88,7 +88,8 @@ def actor_info(d):
 )
 def sales_by_store(d):
     return reports.sales_by_store(
-        d.payment(), d.rental_line(), d.store(), d.staff(), d.address(), d.city(), d.country()
+        d.payment(), d.rental_line(), d.store(), d.staff(), d.address(), d.city(), d.country(),
+        unique=True,
     )
 
 
@@ -100,7 +101,9 @@ def sales_by_store(d):
     join film using (film_id) join film_category using (film_id) group by 1""",
 )
 def sales_by_film_category(d):
-    return reports.sales_by_film_category(d.payment(), d.rental_line(), d.film_category())
+    return reports.sales_by_film_category(
+        d.payment(), d.rental_line(), d.film_category(), unique=True
+    )
 
 
 @check(

@@ -117,7 +117,7 @@ def fn_09_dates(d):
     from events""",
 )
 def fn_12_day_differences(d):
-    start = F.lit("2024-01-01 18:00:00").cast("timestamp")
+    start = F.lit("2024-01-01 18:00:00").cast("timestamp_ntz")
     return d.events().select(
         "event_id",
         days_between(F.col("ts"), start).alias("whole_days"),

@@ -9,7 +9,8 @@ value shared by a third of all rows is still one row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from decimal import Decimal, localcontext
 
 from pyspark.ml.feature import Bucketizer
@@ -56,65 +57,88 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _range_number(values: DataFrame, column: str, descending: bool) -> tuple[DataFrame, int]:
-    """Add ``_range``: a number that grows along the order, NULLs in the last one."""
-    stats = values.agg(F.count("*").alias("n")).first()
-    ranges = min(MAX_RANGES, max(MIN_RANGES, stats["n"] // VALUES_PER_RANGE))
-    as_double = values.withColumn("_at", F.col(column).cast("double"))
-    probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = as_double.approxQuantile("_at", probabilities, 0.25 / ranges)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+def _cut_points(values: list[float], n_rows: int) -> list[float]:
+    """Range bounds from evenly spaced quantiles, as many as the row count asks for."""
+    ranges = min(MAX_RANGES, max(MIN_RANGES, n_rows // VALUES_PER_RANGE))
+    found = {values[len(values) * i // ranges] for i in range(1, ranges)} if values else set()
+    return [float("-inf"), *sorted(found - {float("-inf"), float("inf")}), float("inf")]
+
+
+@dataclass(frozen=True)
+class RunningTotals:
+    """``table``: one row per distinct value, ``totals``: of the measures over all rows."""
+
+    table: DataFrame
+    totals: dict[str, object]
+
+
+def running_totals(
+    rows: DataFrame, column: str, measures: Mapping[str, Column], descending: bool = True
+) -> RunningTotals:
+    """Per distinct value, its measures and their totals over all rows before it.
+
+    ``measures`` are aggregates. The table has ``column``, the measures,
+    ``_position`` (1-based) and ``<measure>_before``. ``rows`` is read three
+    times (quantiles, totals per range, result), so it should be a stored
+    table. The range bounds and offsets are literals: a recomputed task gets
+    the same ones, and any bounds give the same result.
+    """
+    spark = rows.sparkSession
+    at = F.col(column).cast("double")
+    shares = F.expr("array(" + ",".join(f"{i / MAX_RANGES}D" for i in range(MAX_RANGES)) + ")")
+    spread = rows.agg(
+        F.count("*").alias("n"), F.percentile_approx(at, shares, 10 * MAX_RANGES).alias("q")
+    ).first()
+    splits = _cut_points(spread["q"] or [], spread["n"])
+
+    names = list(measures)
+    values = rows.groupBy(column).agg(*[c.alias(n) for n, c in measures.items()])
     cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_cut", handleInvalid="keep")
-    last = len(splits)
     direction = -1 if descending else 1
-    number = F.when(F.col("_at").isNull(), F.lit(last)).otherwise(
+    number = F.when(F.col("_at").isNull(), F.lit(len(splits))).otherwise(
         (F.col("_cut") * direction).cast("int")
     )
-    return cut.transform(as_double).withColumn("_range", number).drop("_at", "_cut"), last
-
+    ranged = cut.transform(values.withColumn("_at", at)).withColumn("_range", number).drop("_at", "_cut")
 
-def running_totals(
-    values: DataFrame, column: str, measures: Sequence[str], descending: bool = True
-) -> DataFrame:
-    """Totals of each measure over all rows strictly before a row in the order.
-
-    ``values`` holds one row per distinct ``column`` value. Adds ``_position``
-    (1-based) and ``<measure>_before``.
-    """
-    spark = values.sparkSession
-    ranged, _ = _range_number(materialize(values, "values"), column, descending)
+    kinds = dict(values.dtypes)
+    wide = {n: "decimal(38,2)" if kinds[n].startswith("decimal") else "bigint" for n in names}
     per_range = (
         ranged.groupBy("_range")
-        .agg(F.count("*").alias("_position"), *[F.sum(m).alias(m) for m in measures])
+        .agg(F.count("*").alias("_position"), *[F.sum(n).cast(wide[n]).alias(n) for n in names])
         .orderBy("_range")
         .collect()  # one row per range, at most MAX_RANGES + 1
     )
-    names = ["_position", *measures]
-    types = dict(ranged.select(F.lit(1).cast("bigint").alias("_position"), *measures).dtypes)
-    wide = {n: "decimal(38,2)" if types[n].startswith("decimal") else types[n] for n in names}
-    schema = "_range int, " + ", ".join(f"`{n}_offset` {wide[n]}" for n in names)
-    running = [Decimal(0) if wide[n].startswith("decimal") else 0 for n in names]
+    wide = {"_position": "bigint", **wide}
+    running = {n: Decimal(0) if t.startswith("decimal") else 0 for n, t in wide.items()}
     offsets = []
     with localcontext(prec=40):
         for row in per_range:
-            offsets.append((row["_range"], *running))
-            running = [r + row[n] if row[n] is not None else r for r, n in zip(running, names)]
+            offsets.append((row["_range"], *running.values()))
+            running = {n: r + row[n] if row[n] is not None else r for n, r in running.items()}
+    schema = "_range int, " + ", ".join(f"`{n}_offset` {t}" for n, t in wide.items())
     shift = spark.createDataFrame(offsets, schema)
+
     order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
     within = Window.partitionBy("_range").orderBy(order)
     before = within.rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.join(F.broadcast(shift), "_range")  # bounded by MAX_RANGES rows
-    zero = F.lit(0)
-    return placed.select(
-        *values.columns,
+    placed = ranged.join(F.broadcast(shift), "_range").select(  # at most MAX_RANGES + 1 rows
+        column,
+        *names,
         (F.row_number().over(within) + F.col("_position_offset")).alias("_position"),
         *[
-            (F.coalesce(F.sum(m).over(before), zero) + F.col(f"{m}_offset"))
-            .cast(wide[m])
-            .alias(f"{m}_before")
-            for m in measures
+            (F.coalesce(F.sum(n).over(before), F.lit(0)) + F.col(f"{n}_offset"))
+            .cast(wide[n])
+            .alias(f"{n}_before")
+            for n in names
         ],
     )
+    return RunningTotals(placed, running)
+
+
+def _attach(rows: DataFrame, by: str, found: list[Column], placed: DataFrame) -> DataFrame:
+    """Join per-value results back to the rows; NULL matches NULL."""
+    values = placed.select(F.col(by).alias("_value"), *found)
+    return rows.join(values, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def global_rank(
@@ -129,20 +153,14 @@ def global_rank(
     Equal to windows ordered by ``by`` alone, NULLs last.
     """
     rows = materialize(df, "ranked")
-    values = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    placed = running_totals(values, by, ["_n"], descending)
-    total = rows.count()
-    found = [F.col(by).alias("_value")]
+    run = running_totals(rows, by, {"_n": F.count("*")}, descending)
+    found = []
     if dense:
         found.append(F.col("_position").cast("bigint").alias(dense))
     if percentile:
-        found.append(
-            F.lit(0).cast("decimal(22,2)").alias(percentile)
-            if total < 2
-            else rounded_ratio(F.col("_n_before") * 100, F.lit(total - 1)).alias(percentile)
-        )
-    ranks = placed.select(*found)
-    return rows.join(ranks, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
+        others = F.lit(max(run.totals["_n"] - 1, 1))
+        found.append(rounded_ratio(F.col("_n_before") * 100, others).alias(percentile))
+    return _attach(rows, by, found, run.table)
 
 
 def cumulative_share(df: DataFrame, value: str, descending: bool = True) -> DataFrame:
@@ -152,13 +170,11 @@ def cumulative_share(df: DataFrame, value: str, descending: bool = True) -> Data
     window with the default frame.
     """
     rows = materialize(df, "share")
-    values = rows.groupBy(value).agg(F.sum(value).alias("_sum"))
-    placed = running_totals(values, value, ["_sum"], descending)
-    grand = rows.agg(F.sum(value)).first()[0]
+    run = running_totals(rows, value, {"_sum": F.sum(value)}, descending)
     running = F.col("_sum_before") + F.coalesce(F.col("_sum"), F.lit(0))
-    found = placed.select(F.col(value).alias("_value"), running.alias("running_total"))
-    out = rows.join(found, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
-    return out.withColumn("share_pct", percent(F.col("running_total"), F.lit(grand)))
+    grand = F.lit(run.totals["_sum"])
+    found = [running.alias("running_total"), percent(running, grand).alias("share_pct")]
+    return _attach(rows, value, found, run.table)
 
 
 def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -> DataFrame:
@@ -169,14 +185,9 @@ def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -
     total. Rows that tie are interchangeable, so distinct values with their
     counts are enough.
     """
-    values = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(value)
-        .agg(F.count("*").alias("_n"), F.sum(value).alias("_sum"))
-    )
-    placed = running_totals(values, value, ["_n", "_sum"])
-    totals = placed.agg(F.sum("_n").alias("n"), F.sum("_sum").alias("total")).first()
-    n, total = totals["n"] or 0, totals["total"] or 0
+    rows = materialize(df.select(value).filter(F.col(value).isNotNull()), "pareto")
+    run = running_totals(rows, value, {"_n": F.count("*"), "_sum": F.sum(value)})
+    n, total = run.totals["_n"], run.totals["_sum"]
     head = -(-n * head_pct // 100)
     with localcontext(prec=40):
         goal = total * target_pct  # in hundredths of the total
@@ -184,7 +195,7 @@ def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -
     missing = F.lit(goal) - F.col("_sum_before") * 100
     crossing = (missing > 0) & (F.col("_sum") * 100 >= missing)
     needed = F.col("_n_before") + F.ceil(F.try_divide(missing, F.col(value) * 100))
-    facts = placed.agg(
+    facts = run.table.agg(
         F.sum(taken * F.col(value)).alias("head_total"),
         F.min(F.when(crossing, needed)).cast("bigint").alias("rows_for_target"),
     )

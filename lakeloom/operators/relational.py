@@ -4,28 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.money import rounded_ratio
 from lakeloom.functions.text import tokens
 from lakeloom.session import materialize
 
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 2_000
 BOUND_CHARS = 64
+PIECES = 32
 
 
-def _text_bounds(df: DataFrame, column: str, chunks: int) -> list[str]:
-    """Ordered cut points from a bounded sample. Any cut points are correct."""
-    n = df.count()
-    if chunks < 2 or n == 0:
+def _text_bounds(df: DataFrame, column: str, pieces: int) -> list[str]:
+    """Ordered cut points from a bounded random sample. Any cut points are correct."""
+    texts = df.select(F.substring(column, 1, BOUND_CHARS).alias("v")).filter("v is not null")
+    sample = texts.orderBy(F.rand(7)).limit(SAMPLE_ROWS).collect()
+    found = sorted(r["v"].encode() for r in sample)
+    if not found:
         return []
-    rows = df.select(F.substring(column, 1, BOUND_CHARS).alias("v")).filter("v is not null")
-    if n > SAMPLE_ROWS:
-        rows = rows.sample(fraction=min(1.0, SAMPLE_ROWS / n), seed=7)
-    found = sorted(r["v"].encode() for r in rows.limit(2 * SAMPLE_ROWS).collect())
-    step = max(len(found) // chunks, 1)
-    return [b.decode() for b in sorted(set(found[step::step]))]
+    return [b.decode() for b in sorted({found[len(found) * i // pieces] for i in range(1, pieces)})]
+
+
+def _piece_number(column: Column, bounds: list[str], first: int = 0) -> Column:
+    """How many bounds are at most the value, by halving the list of bounds."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(column < bounds[middle], _piece_number(column, bounds[:middle], first)).otherwise(
+        _piece_number(column, bounds[middle + 1 :], first + middle + 1)
+    )
 
 
 def ordered_list(
@@ -34,45 +42,33 @@ def ordered_list(
     value: str,
     separator: str = ", ",
     distinct: bool = False,
-    chunks: int = 32,
     name: str | None = None,
+    cut_by: DataFrame | None = None,
 ) -> DataFrame:
     """Values of a group as one ordered, separated string; NULLs are skipped.
 
     A group is cut into value ranges that are sorted and joined in separate
     tasks; only the finished pieces meet in the group's row. So sorting a very
     large group is spread out, although its text must still fit in one row.
+    The cut points come from a sample of ``cut_by`` (a table with the value
+    column, such as the dimension the values stem from; default: ``df``).
     """
     name = name or value
     rows = df.select(*keys, value)
-    rows = materialize(rows.distinct() if distinct else rows, "list")
-    bounds = _text_bounds(rows, value, chunks)
-    if bounds:
-        cuts = F.array(*[F.lit(b) for b in bounds])
-        piece = F.size(F.filter(cuts, lambda b: b <= F.col(value)))
-    else:
-        piece = F.lit(0)
+    if distinct:
+        rows = rows.distinct()
+    if cut_by is None:
+        rows = cut_by = materialize(rows, "list")
+    bounds = _text_bounds(cut_by, value, PIECES)
     texts = (
-        rows.withColumn("_piece", F.coalesce(piece, F.lit(0)))
-        .groupBy(*keys, "_piece")
-        .agg(F.array_sort(F.collect_list(value)).alias("_v"))
-        .select(
-            *keys,
-            "_piece",
-            F.when(F.size("_v") > 0, F.array_join("_v", separator)).alias("_text"),
-        )
-    )
-    pieces = F.array_sort(
-        F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("_piece", "_text")))
+        rows.filter(F.col(value).isNotNull())
+        .groupBy(*keys, _piece_number(F.col(value), bounds).alias("_piece"))
+        .agg(F.array_join(F.array_sort(F.collect_list(value)), separator).alias("_text"))
     )
+    pieces = F.array_sort(F.collect_list(F.struct("_piece", "_text")))
     joined = texts.groupBy(*keys).agg(pieces.alias("_p"))
-    return joined.select(
-        *keys,
-        F.when(
-            F.size("_p") > 0,
-            F.array_join(F.transform("_p", lambda p: p["_text"]), separator),
-        ).alias(name),
-    )
+    text = F.array_join(F.transform("_p", lambda p: p["_text"]), separator)
+    return joined.select(*keys, text.alias(name))
 
 
 def hierarchy(df: DataFrame, key: str, parent: str, max_depth: int = 64) -> DataFrame:
@@ -107,13 +103,16 @@ def with_parent(df: DataFrame, key: str, parent: str, label: str, name: str) ->
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` that occur in ``keys`` (EXISTS)."""
-    return df.join(keys.select(*on), list(on), "left_semi")
+    """Rows of ``df`` that occur in ``keys`` (EXISTS).
+
+    Distinct keys first: a key repeated very often is dropped before the shuffle.
+    """
+    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
 def keep_missing(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` that do not occur in ``keys`` (NOT EXISTS)."""
-    return df.join(keys.select(*on), list(on), "left_anti")
+    return df.join(keys.select(*on).distinct(), list(on), "left_anti")
 
 
 def bucket(column: str, width: int):

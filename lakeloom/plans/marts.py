@@ -25,9 +25,22 @@ def rental_items(rental: DataFrame, inventory: DataFrame) -> DataFrame:
     return rental.join(inventory.select("inventory_id", "film_id", "store_id"), "inventory_id")
 
 
-def payments_by(payment: DataFrame, *columns: str | Column) -> DataFrame:
-    """Total, rows and non-NULL amounts per group."""
-    return payment.groupBy(*columns).agg(
+def payments_per_rental(payment: DataFrame, unique: bool, *more: Column) -> DataFrame:
+    """Payment totals per rental (and further groups).
+
+    With ``unique`` the caller vouches that no rental has two payments (the
+    key check in ``quality`` tells), and no aggregate or shuffle is needed.
+    """
+    if unique:
+        one = F.lit(1).cast("bigint")
+        return payment.select(
+            "rental_id",
+            *more,
+            F.col("amount").alias("paid"),
+            one.alias("n_payments"),
+            F.when(F.col("amount").isNotNull(), one).otherwise(F.lit(0)).alias("n_amounts"),
+        )
+    return payment.groupBy("rental_id", *more).agg(
         F.sum("amount").alias("paid"),
         F.count("*").alias("n_payments"),
         F.count("amount").alias("n_amounts"),
@@ -39,9 +52,9 @@ def period(column: str) -> list[Column]:
     return [F.year(column).alias("year"), F.month(column).alias("month")]
 
 
-def sales_fact(payment: DataFrame, rental: DataFrame) -> DataFrame:
+def sales_fact(payment: DataFrame, rental: DataFrame, unique: bool = False) -> DataFrame:
     """Payments by rental, month, film and store: the wide table other marts reuse."""
-    paid = payments_by(payment, "rental_id", *period("payment_date"))
+    paid = payments_per_rental(payment, unique, *period("payment_date"))
     return rental.select("rental_id", "film_id", "store_id").join(paid, "rental_id")
 
 
@@ -55,20 +68,21 @@ def _revenue(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     return totals.select(*keys, "total_revenue", "transaction_count", mean).orderBy(*keys)
 
 
-def monthly_revenue(payment: DataFrame, rental: DataFrame, film: DataFrame) -> DataFrame:
+def monthly_revenue(payment: DataFrame, rental: DataFrame, film: DataFrame,
+                    unique: bool = False) -> DataFrame:
     """Revenue, payments and average payment by month and film rating."""
-    fact = sales_fact(payment, rental).join(film.select("film_id", "rating"), "film_id")
+    fact = sales_fact(payment, rental, unique).join(film.select("film_id", "rating"), "film_id")
     return _revenue(fact, ["year", "month", "rating"])
 
 
 def monthly_revenue_by_category(
-    payment: DataFrame, rental: DataFrame, film_category: DataFrame
+    payment: DataFrame, rental: DataFrame, film_category: DataFrame, unique: bool = False
 ) -> DataFrame:
     """The same by film category; a film in two categories counts in both.
 
     Films are summed per month first, so the bridge multiplies totals, not rows.
     """
-    fact = sales_fact(payment, rental)
+    fact = sales_fact(payment, rental, unique)
     per_film = fact.groupBy("film_id", "year", "month").agg(
         *[F.sum(c).alias(c) for c in ("paid", "n_payments", "n_amounts")]
     )
@@ -110,9 +124,9 @@ def customer_lifetime_value(customer: DataFrame, payment: DataFrame, rental: Dat
     return global_rank(metrics, "total_spent", dense="clv_rank", percentile="clv_percentile")
 
 
-def _rentals_with_payments(rental: DataFrame, payment: DataFrame) -> DataFrame:
+def _rentals_with_payments(rental: DataFrame, payment: DataFrame, unique: bool) -> DataFrame:
     """Rentals with their payment totals; an unpaid rental counts as one row."""
-    paid = payments_by(payment, "rental_id")
+    paid = payments_per_rental(payment, unique)
     joined = rental.join(paid, "rental_id", "left")
     return joined.withColumn("_rows", F.coalesce("n_payments", F.lit(1)))
 
@@ -130,9 +144,10 @@ def _rental_totals(joined: DataFrame, keys: Sequence[str | Column], mean_name: s
 FILM_COLUMNS = ("title", "rating", "rental_rate", "replacement_cost")
 
 
-def film_performance(rental: DataFrame, film: DataFrame, payment: DataFrame) -> DataFrame:
+def film_performance(rental: DataFrame, film: DataFrame, payment: DataFrame,
+                     unique: bool = False) -> DataFrame:
     """Rentals and revenue per rented film, with a popularity rank."""
-    joined = _rentals_with_payments(rental.select("rental_id", "film_id"), payment)
+    joined = _rentals_with_payments(rental.select("rental_id", "film_id"), payment, unique)
     totals = _rental_totals(joined, ["film_id"], "avg_revenue_per_rental")
     films = totals.join(film.select("film_id", *FILM_COLUMNS), "film_id")
     ranked = global_rank(
@@ -144,9 +159,11 @@ def film_performance(rental: DataFrame, film: DataFrame, payment: DataFrame) ->
     return ranked.orderBy("popularity_rank", "film_id")
 
 
-def store_performance(rental: DataFrame, payment: DataFrame) -> DataFrame:
+def store_performance(rental: DataFrame, payment: DataFrame, unique: bool = False) -> DataFrame:
     """Rentals and revenue per store and month of rental."""
-    joined = _rentals_with_payments(rental.select("rental_id", "store_id", "rental_date"), payment)
+    joined = _rentals_with_payments(
+        rental.select("rental_id", "store_id", "rental_date"), payment, unique
+    )
     totals = _rental_totals(joined, ["store_id", *period("rental_date")], "avg_transaction")
     return totals.orderBy("store_id", "year", "month")
 

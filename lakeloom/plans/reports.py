@@ -15,7 +15,7 @@ from lakeloom.functions.dates import days_between, previous_month
 from lakeloom.functions.text import capitalise
 from lakeloom.operators.ranking import latest_by_key
 from lakeloom.operators.relational import keep_matching, keep_missing, ordered_list
-from lakeloom.plans.marts import payments_by
+from lakeloom.plans.marts import payments_per_rental
 
 
 def full_name(first: str = "first_name", last: str = "last_name") -> Column:
@@ -74,7 +74,7 @@ def film_list(film: DataFrame, film_category: DataFrame, film_actor: DataFrame,
         first, last = capitalise(first), capitalise(last)
     names = actor.select("actor_id", F.concat(first, F.lit(" "), last).alias("_name"))
     cast = film_actor.select("film_id", "actor_id").join(names, "actor_id")
-    actors = ordered_list(cast, ["film_id"], "_name", name="actors")
+    actors = ordered_list(cast, ["film_id"], "_name", name="actors", cut_by=names)
     bridge = film_category.select("film_id", "category")
     return (
         film.join(bridge, "film_id", "left")
@@ -97,7 +97,7 @@ def actor_info(actor: DataFrame, film_actor: DataFrame, film_category: DataFrame
     """Per actor the films by category as one text; actors without films get NULL."""
     titles = film.select("film_id", "title").join(film_category.select("film_id", "category"), "film_id")
     played = film_actor.select("film_id", "actor_id").join(titles, "film_id")
-    by_category = ordered_list(played, ["actor_id", "category"], "title", name="_titles")
+    by_category = ordered_list(played, ["actor_id", "category"], "title", name="_titles", cut_by=film)
     entries = by_category.select(
         "actor_id", "category", F.concat(F.col("category"), F.lit(": "), F.col("_titles")).alias("_entry")
     )
@@ -110,12 +110,13 @@ def actor_info(actor: DataFrame, film_actor: DataFrame, film_category: DataFrame
 
 
 def sales_by_store(payment: DataFrame, rental: DataFrame, store: DataFrame, staff: DataFrame,
-                   address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
+                   address: DataFrame, city: DataFrame, country: DataFrame,
+                   unique: bool = False) -> DataFrame:
     """Total sales per store with its place and manager, by country and city.
 
     Sales are summed per store before the descriptive tables are joined.
     """
-    paid = payments_by(payment, "rental_id")
+    paid = payments_per_rental(payment, unique)
     sold = (
         rental.select("rental_id", "store_id")
         .join(paid, "rental_id")
@@ -137,9 +138,10 @@ def sales_by_store(payment: DataFrame, rental: DataFrame, store: DataFrame, staf
     )
 
 
-def sales_by_film_category(payment: DataFrame, rental: DataFrame, film_category: DataFrame) -> DataFrame:
+def sales_by_film_category(payment: DataFrame, rental: DataFrame, film_category: DataFrame,
+                           unique: bool = False) -> DataFrame:
     """Total sales per category, best first; a film counts in each of its categories."""
-    paid = payments_by(payment, "rental_id")
+    paid = payments_per_rental(payment, unique)
     per_film = (
         rental.select("rental_id", "film_id")
         .join(paid, "rental_id")
@@ -163,7 +165,8 @@ def rewards(customer: DataFrame, payment: DataFrame, as_of: str, min_purchases:
         raise ValueError("minimum monthly amount must be > 0")
     first, last = previous_month(F.lit(as_of).cast("date"))
     good = (
-        payment.filter(F.to_date("payment_date").between(first, last))
+        payment.filter(F.col("payment_date") >= first)
+        .filter(F.col("payment_date") < F.date_add(last, 1))
         .groupBy("customer_id")
         .agg(F.sum("amount").alias("_sum"), F.count("customer_id").alias("_n"))
         .filter((F.col("_sum") > F.lit(str(min_amount)).cast("decimal(18,2)")) & (F.col("_n") > min_purchases))
@@ -177,7 +180,7 @@ def balances(customer: DataFrame, rental: DataFrame, film: DataFrame, payment: D
 
     Each day beyond the allowed ones costs one; open rentals add none.
     """
-    until = F.lit(as_of).cast("timestamp")
+    until = F.lit(as_of)  # takes the column's own type, so the filter reaches the scan
     kept = days_between(F.col("return_date"), F.col("rental_date"))
     over = F.greatest(kept - F.col("rental_duration"), F.lit(0))
     late = F.when(F.col("return_date").isNotNull(), over).otherwise(0)

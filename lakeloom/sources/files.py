@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 # Text formats write whole milliseconds unless told otherwise; readers accept this form.
-TIME_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+TIME_FORMAT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def snake_case(name: str) -> str:
