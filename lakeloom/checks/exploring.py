@@ -1,7 +1,7 @@
 """Exploratory queries on labelled documents."""
 
 from lakeloom.checks.registry import check, having, ratio
-from lakeloom.operators.relational import rate_by_value
+from lakeloom.operators.relational import condition_effects, rate_by_value
 from lakeloom.plans import explore
 
 
@@ -40,7 +40,7 @@ def _effect_sql(condition: str, column: str) -> str:
 )
 def condition_effect(d):
     cases = explore.with_hypertension(d.cases(), "n_chars", 2000)
-    return explore.condition_effects(cases, ["toxic", "hypertension"], "quality")
+    return condition_effects(cases, ["toxic", "hypertension"], "quality")
 
 
 @check(

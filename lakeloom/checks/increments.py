@@ -45,9 +45,13 @@ NEWEST = "qualify row_number() over (partition by user_id order by ts desc, even
 @check("inc_03_merge", f"select {EVENT} from events {NEWEST}")
 def inc_03_merge(d):
     stored, source = _split(d)
-    state = inc.VersionedTable(d.spark, scratch_path(d.spark, "state"))
-    state.replace(inc.latest_by_key(stored, ["user_id"], ["ts", "event_id"]))
-    state.merge(inc.rows_after(source, "ts", F.lit(CUT)), ["user_id"], ["ts", "event_id"])
+    root = scratch_path(d.spark, "state")
+    state = inc.VersionedTable(d.spark, root, ("user_id",), ("ts", "event_id"))
+    state.add(stored)
+    delta = inc.rows_after(source, "ts", F.lit(CUT))
+    state.add(delta)
+    state.compact()
+    state.add(delta)  # delivered again: no change
     return state.read()
 
 
@@ -84,15 +88,15 @@ def _sync(d):
     marks = inc.Bookmarks(d.spark, f"{root}/marks")
     orders = d.raw("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     plan = [
-        (inc.SyncRule("orders", ("o_orderkey",), "o_orderdate"), orders, "o_orderdate < '1998-01-01'"),
-        (inc.SyncRule("events", ("event_id",), "event_id", mode="append"), _events(d), f"ts < '{CUT}'"),
+        (inc.SyncRule("orders", "o_orderdate", ("o_orderkey",)), orders, "o_orderdate < '1998-01-01'"),
+        (inc.SyncRule("events", "event_id"), _events(d), f"ts < '{CUT}'"),
     ]
-    targets = {rule.table: inc.VersionedTable(d.spark, f"{root}/{rule.table}") for rule, _, _ in plan}
     for rule, source, early in plan:
-        inc.sync_table(source.filter(early), targets[rule.table], marks, rule)
+        inc.sync_table(source.filter(early), f"{root}/{rule.table}", marks, rule)
+    targets = {}
     for rule, source, _ in plan:
-        inc.sync_table(source, targets[rule.table], marks, rule)
-        inc.sync_table(source, targets[rule.table], marks, rule)  # nothing new: no change
+        inc.sync_table(source, f"{root}/{rule.table}", marks, rule)
+        targets[rule.table] = inc.sync_table(source, f"{root}/{rule.table}", marks, rule)  # nothing new
     return targets, marks
 
 

@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.money import percent, rounded_ratio
-from lakeloom.session import materialize
+from lakeloom.session import materialize_counted
 
 MAX_RANGES = 2000
 VALUES_PER_RANGE = 500_000
 MIN_RANGES = 4
+SAMPLE_ROWS = 2_000_000
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
@@ -61,7 +62,8 @@ def _cut_points(values: list[float], n_rows: int) -> list[float]:
     """Range bounds from evenly spaced quantiles, as many as the row count asks for."""
     ranges = min(MAX_RANGES, max(MIN_RANGES, n_rows // VALUES_PER_RANGE))
     found = {values[len(values) * i // ranges] for i in range(1, ranges)} if values else set()
-    return [float("-inf"), *sorted(found - {float("-inf"), float("inf")}), float("inf")]
+    inner = sorted(found - {float("-inf"), float("inf")}) or [0.0]
+    return [float("-inf"), *inner, float("inf")]
 
 
 @dataclass(frozen=True)
@@ -73,23 +75,27 @@ class RunningTotals:
 
 
 def running_totals(
-    rows: DataFrame, column: str, measures: Mapping[str, Column], descending: bool = True
+    rows: DataFrame,
+    n_rows: int,
+    column: str,
+    measures: Mapping[str, Column],
+    descending: bool = True,
 ) -> RunningTotals:
     """Per distinct value, its measures and their totals over all rows before it.
 
     ``measures`` are aggregates. The table has ``column``, the measures,
     ``_position`` (1-based) and ``<measure>_before``. ``rows`` is read three
     times (quantiles, totals per range, result), so it should be a stored
-    table. The range bounds and offsets are literals: a recomputed task gets
-    the same ones, and any bounds give the same result.
+    table. Quantiles come from a bounded sample; they only balance the ranges,
+    any bounds give the same result. Bounds and offsets are literals, so a
+    recomputed task gets the same ones.
     """
     spark = rows.sparkSession
     at = F.col(column).cast("double")
     shares = F.expr("array(" + ",".join(f"{i / MAX_RANGES}D" for i in range(MAX_RANGES)) + ")")
-    spread = rows.agg(
-        F.count("*").alias("n"), F.percentile_approx(at, shares, 10 * MAX_RANGES).alias("q")
-    ).first()
-    splits = _cut_points(spread["q"] or [], spread["n"])
+    sampled = rows if n_rows <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n_rows, seed=7)
+    quantiles = sampled.agg(F.percentile_approx(at, shares, 2 * MAX_RANGES)).first()[0]
+    splits = _cut_points(quantiles or [], n_rows)
 
     names = list(measures)
     values = rows.groupBy(column).agg(*[c.alias(n) for n, c in measures.items()])
@@ -152,8 +158,8 @@ def global_rank(
 
     Equal to windows ordered by ``by`` alone, NULLs last.
     """
-    rows = materialize(df, "ranked")
-    run = running_totals(rows, by, {"_n": F.count("*")}, descending)
+    rows, n = materialize_counted(df, "ranked")
+    run = running_totals(rows, n, by, {"_n": F.count("*")}, descending)
     found = []
     if dense:
         found.append(F.col("_position").cast("bigint").alias(dense))
@@ -169,8 +175,8 @@ def cumulative_share(df: DataFrame, value: str, descending: bool = True) -> Data
     Rows with equal values are peers and get the same running total, as in a
     window with the default frame.
     """
-    rows = materialize(df, "share")
-    run = running_totals(rows, value, {"_sum": F.sum(value)}, descending)
+    rows, n = materialize_counted(df, "share")
+    run = running_totals(rows, n, value, {"_sum": F.sum(value)}, descending)
     running = F.col("_sum_before") + F.coalesce(F.col("_sum"), F.lit(0))
     grand = F.lit(run.totals["_sum"])
     found = [running.alias("running_total"), percent(running, grand).alias("share_pct")]
@@ -185,8 +191,8 @@ def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -
     total. Rows that tie are interchangeable, so distinct values with their
     counts are enough.
     """
-    rows = materialize(df.select(value).filter(F.col(value).isNotNull()), "pareto")
-    run = running_totals(rows, value, {"_n": F.count("*"), "_sum": F.sum(value)})
+    rows, n = materialize_counted(df.select(value).filter(F.col(value).isNotNull()), "pareto")
+    run = running_totals(rows, n, value, {"_n": F.count("*"), "_sum": F.sum(value)})
     n, total = run.totals["_n"], run.totals["_sum"]
     head = -(-n * head_pct // 100)
     with localcontext(prec=40):

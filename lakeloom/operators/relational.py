@@ -130,20 +130,37 @@ def rate_by_value(
     return grouped.withColumn("rate", rounded_ratio(F.col("positives"), F.col("n"), digits))
 
 
-def condition_effect(df: DataFrame, condition: str, outcome: str, digits: int = 4) -> DataFrame:
-    """Outcome rate with and without a 0/1 condition, and their ratio, as one row."""
-    has = F.col(condition) == 1
+def condition_effects(
+    df: DataFrame, conditions: Sequence[str], outcome: str, digits: int = 4
+) -> DataFrame:
+    """Outcome rate with and without each 0/1 condition, and their ratio.
+
+    One row per condition; all conditions are counted in one pass.
+    """
     hit = F.col(outcome) == 1
-    totals = df.agg(
-        F.count_if(has).alias("n_with"),
-        F.count_if(has & hit).alias("positives_with"),
-        F.count_if(~has).alias("n_without"),
-        F.count_if(~has & hit).alias("positives_without"),
-    )
+    counts = []
+    for i, condition in enumerate(conditions):
+        has = F.col(condition) == 1
+        counts += [
+            F.count_if(has).alias(f"w{i}"),
+            F.count_if(has & hit).alias(f"wp{i}"),
+            F.count_if(~has).alias(f"o{i}"),
+            F.count_if(~has & hit).alias(f"op{i}"),
+        ]
+    rows = [
+        F.struct(
+            F.lit(condition).alias("condition"),
+            F.col(f"w{i}").alias("n_with"),
+            F.col(f"wp{i}").alias("positives_with"),
+            F.col(f"o{i}").alias("n_without"),
+            F.col(f"op{i}").alias("positives_without"),
+        )
+        for i, condition in enumerate(conditions)
+    ]
+    totals = df.agg(*counts).select(F.inline(F.array(*rows)))
     crossed = F.col("positives_with") * F.col("n_without")
     against = F.col("positives_without") * F.col("n_with")
     return totals.select(
-        F.lit(condition).alias("condition"),
         "*",
         rounded_ratio(F.col("positives_with"), F.col("n_with"), digits).alias("rate_with"),
         rounded_ratio(F.col("positives_without"), F.col("n_without"), digits).alias("rate_without"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.ranking import most_frequent
-from lakeloom.operators.relational import bucket, condition_effect
+from lakeloom.operators.relational import bucket
 
 
 def common_value_by_group(cases: DataFrame, group: str, width: int, value: str) -> DataFrame:
@@ -21,15 +21,6 @@ def common_value_by_group(cases: DataFrame, group: str, width: int, value: str)
     return most_frequent(grouped, ["group_start"], value).orderBy("group_start")
 
 
-def condition_effects(cases: DataFrame, conditions: Sequence[str], outcome: str) -> DataFrame:
-    """Effect of several 0/1 conditions on a 0/1 outcome, one row each."""
-    rows = [condition_effect(cases, c, outcome) for c in conditions]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
-    return out
-
-
 def with_hypertension(cases: DataFrame, pressure: str = "systolic", limit: int = 140) -> DataFrame:
     """Add a 0/1 flag for high blood pressure."""
     return cases.withColumn("hypertension", (F.col(pressure) >= limit).cast("int"))

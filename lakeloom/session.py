@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings every job in this package relies on. They can be set on a
 # live session, so the package also works on a session built by someone else.
@@ -89,7 +90,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives lost executors."""
+    return materialize_counted(df, label)[0]
+
+
+def materialize_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """The same, with the row count taken by the writing job."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(seen.get.get("n", 0))

@@ -69,7 +69,7 @@ def main(arguments: list[str]) -> int:
         try:
             problem = compare(spark, db, REGISTRY[name], folder)
         except Exception as failure:
-            problem = f"{type(failure).__name__}: {str(failure)[:1500]}"
+            problem = f"{type(failure).__name__}: {" ".join(str(failure).split())[:1500]}"
         bad += problem is not None
         print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
     print(f"{len(names) - bad} of {len(names)} match")
