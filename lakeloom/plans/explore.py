@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.ranking import most_frequent
+from lakeloom.operators.ranking import most_frequent, running_totals
 from lakeloom.operators.relational import bucket
+from lakeloom.session import materialize_counted, scratch_path
 
 
 def common_value_by_group(cases: DataFrame, group: str, width: int, value: str) -> DataFrame:
@@ -32,6 +33,22 @@ def split_cases(cases: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFr
     return cases.filter(slot < train_pct), cases.filter(slot >= train_pct)
 
 
+def area_under_curve(scored: DataFrame, n_rows: int, score: str, label: str) -> DataFrame:
+    """Probability that a positive case scores above a negative one (ties count half).
+
+    Exact, from the running counts over distinct scores; NULL without both
+    kinds of cases. ``scored`` should be a stored table.
+    """
+    positive = F.sum(F.col(label).cast("bigint"))
+    run = running_totals(
+        scored, n_rows, score, {"_pos": positive, "_neg": F.count("*") - positive}
+    )
+    pairs = run.totals["_pos"] * run.totals["_neg"]
+    ahead = F.col("_pos_before") * 2 + F.col("_pos")
+    won = F.sum(F.col("_neg").cast("decimal(19,0)") * ahead.cast("decimal(19,0)"))
+    return run.table.agg((won.cast("double") / F.lit(2.0 * pairs if pairs else None)).alias("auc"))
+
+
 def outcome_model(cases: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str],
                   outcome: str, iterations: int = 50) -> DataFrame:
     """Train a logistic regression and report its quality on unseen cases, as one row."""
@@ -45,10 +62,19 @@ def outcome_model(cases: DataFrame, key: str, numeric: Sequence[str], categorica
         StandardScaler(inputCol="_raw", outputCol="features"),
         LogisticRegression(maxIter=iterations, regParam=0.01),
     ]
-    scored = Pipeline(stages=stages).fit(train).transform(test)
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
-    return scored.agg(
-        F.count("*").alias("n_test"),
-        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
-        F.lit(float(auc)).alias("auc"),
+    # The stored model is used for scoring: a freshly trained one still refers to
+    # its training session, which cannot be shipped to tasks once metrics were observed.
+    stored = scratch_path(cases.sparkSession, "model")
+    Pipeline(stages=stages).fit(train).write().save(stored)
+    model = PipelineModel.load(stored)
+    scores, n = materialize_counted(
+        model.transform(test).select(
+            "label", "prediction", vector_to_array("probability")[1].alias("score")
+        ),
+        "scores",
+    )
+    auc = area_under_curve(scores, n, "score", "label").first()["auc"]
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return scores.agg(
+        F.count("*").alias("n_test"), right.alias("accuracy"), F.lit(auc).cast("double").alias("auc")
     )

@@ -150,3 +150,15 @@ def test_rounding_is_half_up_and_exact(spark):
     df = spark.createDataFrame(rows, "s decimal(18,2), n bigint")
     got = [r[0] for r in df.select(rounded_ratio(F.col("s"), F.col("n"))).collect()]
     assert [None if v is None else str(v) for v in got] == ["0.51", "-0.51", "0.02", "3.33", None, None]
+
+
+def test_area_under_curve_equals_brute_force(spark):
+    from lakeloom.plans.explore import area_under_curve
+
+    pick = random.Random(6)
+    rows = [(float(pick.randrange(20)) / 20, float(pick.random() < 0.4)) for _ in range(300)]
+    won = sum((a > b) + (a == b) / 2 for a, x in rows if x for b, y in rows if not y)
+    pairs = sum(1 for _, x in rows if x) * sum(1 for _, x in rows if not x)
+    df = spark.createDataFrame(rows, "s double, y double")
+    assert area_under_curve(df, 300, "s", "y").first().auc == pytest.approx(won / pairs)
+    assert area_under_curve(df.filter("y = 1"), 300, "s", "y").first().auc is None
