@@ -3,8 +3,8 @@
 A window without a partition key sends every row to one task. Here a global
 order is cut into value ranges instead: the range bounds and the totals of the
 ranges before each one are small literals, so every range is ranked on its own
-and shifted by its offset. Ranks are computed on distinct order values, so a
-value shared by a third of all rows is still one row.
+and shifted by its offset. A value shared by very many rows gets a range of its
+own, in which every row has the same rank, so it may be spread over tasks.
 """
 
 from __future__ import annotations
@@ -12,16 +12,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal, localcontext
+from itertools import pairwise
+from math import inf, isfinite, nextafter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.functions.money import percent, rounded_ratio
+from lakeloom.functions.money import percent, rank_percent, rounded_ratio
 from lakeloom.session import materialize_counted
 
 MAX_RANGES = 2000
-VALUES_PER_RANGE = 500_000
+ROWS_PER_RANGE = 50_000
 MIN_RANGES = 4
 SAMPLE_ROWS = 2_000_000
 
@@ -58,93 +60,126 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _cut_points(values: list[float], n_rows: int) -> list[float]:
-    """Range bounds from evenly spaced quantiles, as many as the row count asks for."""
-    ranges = min(MAX_RANGES, max(MIN_RANGES, n_rows // VALUES_PER_RANGE))
-    found = {values[len(values) * i // ranges] for i in range(1, ranges)} if values else set()
-    inner = sorted(found - {float("-inf"), float("inf")}) or [0.0]
-    return [float("-inf"), *inner, float("inf")]
+def _cut_points(quantiles: list[float], n_rows: int) -> list[float]:
+    """Range bounds: as many quantiles as the row count asks for, heavy values apart.
+
+    A value met at several neighbouring quantiles is heavy and gets a range of
+    its own, from itself up to the next representable number.
+    """
+    ranges = min(MAX_RANGES, max(MIN_RANGES, n_rows // ROWS_PER_RANGE))
+    n = len(quantiles)
+    cuts = {quantiles[n * i // ranges] for i in range(1, ranges)} if n else set()
+    for low, high in pairwise(quantiles):
+        if low == high:
+            cuts |= {low, nextafter(low, inf)}
+    inner = sorted(c for c in cuts if isfinite(c)) or [0.0]
+    return [-inf, *inner, inf]
+
+
+def _with_range(df: DataFrame, column: str, descending: bool, source: DataFrame, n_rows: int) -> DataFrame:
+    """Add ``_range``, a number that grows along the order; NULLs are in the last one."""
+    at = F.col(column).cast("double")
+    shares = F.expr("array(" + ",".join(f"{i / MAX_RANGES}D" for i in range(MAX_RANGES)) + ")")
+    sampled = source if n_rows <= SAMPLE_ROWS else source.sample(SAMPLE_ROWS / n_rows, seed=7)
+    quantiles = sampled.agg(F.percentile_approx(at, shares, 2 * MAX_RANGES)).first()[0]
+    splits = _cut_points(quantiles or [], n_rows)
+    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_cut", handleInvalid="keep")
+    direction = -1 if descending else 1
+    number = F.when(F.col("_at").isNull(), F.lit(len(splits))).otherwise(
+        (F.col("_cut") * direction).cast("int")
+    )
+    return cut.transform(df.withColumn("_at", at)).withColumn("_range", number).drop("_at", "_cut")
 
 
 @dataclass(frozen=True)
-class RunningTotals:
-    """``table``: one row per distinct value, ``totals``: of the measures over all rows."""
+class Placed:
+    """Rows with their range and the totals before it; ``totals`` over all rows."""
 
     table: DataFrame
     totals: dict[str, object]
 
 
-def running_totals(
-    rows: DataFrame,
-    n_rows: int,
+def place(
+    df: DataFrame,
     column: str,
-    measures: Mapping[str, Column],
+    source: DataFrame,
+    n_rows: int,
     descending: bool = True,
-) -> RunningTotals:
+    sums: Sequence[str] = (),
+    count_values: bool = False,
+) -> Placed:
+    """Cut the order of a column into ranges and add up what lies before each.
+
+    Adds ``_range``, ``_one_value`` (the range holds a single value) and, for
+    ``rows``, the ``sums`` columns and (on request) distinct ``values``, the
+    total before the range ``_before_<name>`` and in it ``_inside_<name>``.
+    Quantiles come from a bounded sample of ``source`` (``n_rows`` rows); they
+    only balance the ranges, any bounds give the same result. Bounds and
+    totals are literals, so a recomputed task gets the same ones.
+    """
+    spark = df.sparkSession
+    ranged = _with_range(df, column, descending, source, n_rows)
+    kinds = dict(df.dtypes)
+    wide = {n: "decimal(38,2)" if kinds[n].startswith("decimal") else "bigint" for n in sums}
+    added = [F.sum(n).cast(wide[n]).alias(n) for n in sums]
+    if count_values:
+        per_value = ranged.groupBy("_range", column).agg(F.count("*").alias("rows"), *added)
+        per_range = per_value.groupBy("_range").agg(
+            F.sum("rows").alias("rows"),
+            F.count("*").alias("values"),
+            *added,
+            (F.count("*") == 1).alias("_one_value"),
+        )
+    else:
+        per_range = ranged.groupBy("_range").agg(
+            F.count("*").alias("rows"),
+            *added,
+            F.min(column).eqNullSafe(F.max(column)).alias("_one_value"),
+        )
+    found = per_range.orderBy("_range").collect()  # one row per range, a few thousand at most
+    wide = {"rows": "bigint", **({"values": "bigint"} if count_values else {}), **wide}
+    zero = {n: Decimal(0) if t.startswith("decimal") else 0 for n, t in wide.items()}
+    running, lines = dict(zero), []
+    with localcontext(prec=40):
+        for row in found:
+            inside = {n: zero[n] if row[n] is None else row[n] for n in wide}
+            lines.append((row["_range"], row["_one_value"], *running.values(), *inside.values()))
+            running = {n: running[n] + inside[n] for n in wide}
+    schema = ["_range int", "_one_value boolean"]
+    schema += [f"`_before_{n}` {t}" for n, t in wide.items()]
+    schema += [f"`_inside_{n}` {t}" for n, t in wide.items()]
+    shift = spark.createDataFrame(lines, ", ".join(schema))
+    return Placed(ranged.join(F.broadcast(shift), "_range"), running)
+
+
+def _within(column: str, descending: bool):
+    """Order inside a range. A one-value range needs no order and is spread over tasks."""
+    order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
+    spread = F.when(F.col("_one_value"), F.spark_partition_id()).otherwise(F.lit(0))
+    return Window.partitionBy("_range", spread).orderBy(order)
+
+
+def running_totals(
+    rows: DataFrame, n_rows: int, column: str, measures: Mapping[str, Column], descending: bool = True
+) -> Placed:
     """Per distinct value, its measures and their totals over all rows before it.
 
-    ``measures`` are aggregates. The table has ``column``, the measures,
-    ``_position`` (1-based) and ``<measure>_before``. ``rows`` is read three
-    times (quantiles, totals per range, result), so it should be a stored
-    table. Quantiles come from a bounded sample; they only balance the ranges,
-    any bounds give the same result. Bounds and offsets are literals, so a
-    recomputed task gets the same ones.
+    ``measures`` are aggregates. The table has ``column``, the measures and
+    ``<measure>_before``. ``rows`` should be a stored table.
     """
-    spark = rows.sparkSession
-    at = F.col(column).cast("double")
-    shares = F.expr("array(" + ",".join(f"{i / MAX_RANGES}D" for i in range(MAX_RANGES)) + ")")
-    sampled = rows if n_rows <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n_rows, seed=7)
-    quantiles = sampled.agg(F.percentile_approx(at, shares, 2 * MAX_RANGES)).first()[0]
-    splits = _cut_points(quantiles or [], n_rows)
-
     names = list(measures)
     values = rows.groupBy(column).agg(*[c.alias(n) for n, c in measures.items()])
-    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_cut", handleInvalid="keep")
-    direction = -1 if descending else 1
-    number = F.when(F.col("_at").isNull(), F.lit(len(splits))).otherwise(
-        (F.col("_cut") * direction).cast("int")
-    )
-    ranged = cut.transform(values.withColumn("_at", at)).withColumn("_range", number).drop("_at", "_cut")
-
-    kinds = dict(values.dtypes)
-    wide = {n: "decimal(38,2)" if kinds[n].startswith("decimal") else "bigint" for n in names}
-    per_range = (
-        ranged.groupBy("_range")
-        .agg(F.count("*").alias("_position"), *[F.sum(n).cast(wide[n]).alias(n) for n in names])
-        .orderBy("_range")
-        .collect()  # one row per range, at most MAX_RANGES + 1
-    )
-    wide = {"_position": "bigint", **wide}
-    running = {n: Decimal(0) if t.startswith("decimal") else 0 for n, t in wide.items()}
-    offsets = []
-    with localcontext(prec=40):
-        for row in per_range:
-            offsets.append((row["_range"], *running.values()))
-            running = {n: r + row[n] if row[n] is not None else r for n, r in running.items()}
-    schema = "_range int, " + ", ".join(f"`{n}_offset` {t}" for n, t in wide.items())
-    shift = spark.createDataFrame(offsets, schema)
-
-    order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
-    within = Window.partitionBy("_range").orderBy(order)
-    before = within.rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.join(F.broadcast(shift), "_range").select(  # at most MAX_RANGES + 1 rows
+    placed = place(values, column, rows, n_rows, descending, names)
+    before = _within(column, descending).rowsBetween(Window.unboundedPreceding, -1)
+    table = placed.table.select(
         column,
         *names,
-        (F.row_number().over(within) + F.col("_position_offset")).alias("_position"),
         *[
-            (F.coalesce(F.sum(n).over(before), F.lit(0)) + F.col(f"{n}_offset"))
-            .cast(wide[n])
-            .alias(f"{n}_before")
+            (F.coalesce(F.sum(n).over(before), F.lit(0)) + F.col(f"_before_{n}")).alias(f"{n}_before")
             for n in names
         ],
     )
-    return RunningTotals(placed, running)
-
-
-def _attach(rows: DataFrame, by: str, found: list[Column], placed: DataFrame) -> DataFrame:
-    """Join per-value results back to the rows; NULL matches NULL."""
-    values = placed.select(F.col(by).alias("_value"), *found)
-    return rows.join(values, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
+    return Placed(table, placed.totals)
 
 
 def global_rank(
@@ -159,14 +194,16 @@ def global_rank(
     Equal to windows ordered by ``by`` alone, NULLs last.
     """
     rows, n = materialize_counted(df, "ranked")
-    run = running_totals(rows, n, by, {"_n": F.count("*")}, descending)
+    placed = place(rows, by, rows, n, descending, count_values=dense is not None)
+    within = _within(by, descending)
     found = []
     if dense:
-        found.append(F.col("_position").cast("bigint").alias(dense))
+        found.append((F.dense_rank().over(within) + F.col("_before_values")).alias(dense))
     if percentile:
-        others = F.lit(max(run.totals["_n"] - 1, 1))
-        found.append(rounded_ratio(F.col("_n_before") * 100, others).alias(percentile))
-    return _attach(rows, by, found, run.table)
+        ahead = F.rank().over(within) - 1 + F.col("_before_rows")
+        others = F.lit(max(placed.totals["rows"] - 1, 1)).cast("bigint")
+        found.append(rank_percent(ahead, others).alias(percentile))
+    return placed.table.select(*rows.columns, *found)
 
 
 def cumulative_share(df: DataFrame, value: str, descending: bool = True) -> DataFrame:
@@ -176,11 +213,17 @@ def cumulative_share(df: DataFrame, value: str, descending: bool = True) -> Data
     window with the default frame.
     """
     rows, n = materialize_counted(df, "share")
-    run = running_totals(rows, n, value, {"_sum": F.sum(value)}, descending)
-    running = F.col("_sum_before") + F.coalesce(F.col("_sum"), F.lit(0))
-    grand = F.lit(run.totals["_sum"])
-    found = [running.alias("running_total"), percent(running, grand).alias("share_pct")]
-    return _attach(rows, value, found, run.table)
+    placed = place(rows, value, rows, n, descending, [value])
+    inside = F.when(F.col("_one_value"), F.col(f"_inside_{value}")).otherwise(
+        F.sum(value).over(_within(value, descending))
+    )
+    running = F.col(f"_before_{value}") + F.coalesce(inside, F.lit(0))
+    share = percent(F.col("running_total"), F.lit(placed.totals[value]))
+    return (
+        placed.table.withColumn("running_total", running)
+        .withColumn("share_pct", share)
+        .select(*rows.columns, "running_total", "share_pct")
+    )
 
 
 def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -> DataFrame:
