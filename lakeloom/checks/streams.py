@@ -19,7 +19,7 @@ def _records(d, damage: bool = False):
     value = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
     if damage:
         value = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), "event_id")).otherwise(value)
-    files = int(d.spark.conf.get("spark.sql.shuffle.partitions"))
+    files = max(d.spark.sparkContext.defaultParallelism, 3)
     d.events().select(
         F.concat(F.lit("shop.public."), "event_type").alias("topic"),
         F.col("user_id").cast("string").alias("key"),
