@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import simhash
+from lakeloom.llm import decontam, langid, pieces, pseudonyms, simhash
 from lakeloom.llm.shared import session, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,42 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return langid.identify(table(spark, folder, "documents"), folds=4, fold=2)
+
+
+def piece_model() -> bytes:
+    """The public piece file; another path is the caller's choice in ``pieces.model_bytes``."""
+    import public_tokenizers
+
+    return pieces.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return pieces.round_trip(table(spark, folder, "documents"), piece_model())
+
+
+PSEUDONYM_KEY = "example key; a real one comes from the caller's secret store"
+
+
+@query
+def op4_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(session(spark), folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_replaced")
+
+
+@query
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return decontam.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)
