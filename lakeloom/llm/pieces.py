@@ -29,12 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.shared import batches_of, over_batches, ragged, texts
+from lakeloom.llm.shared import Remembered, batches_of, on_worker, over_batches, texts
 
 MARKER = "▁"
 MARKER_BYTES = MARKER.encode()
 UNKNOWN_PENALTY = 10.0  # below the worst piece, for a character in byte fallback
-REMEMBERED_BYTES = 96 << 20
 LONG_WORD = 96  # bytes; longer words are segmented one by one
 
 # A word: blanks and what follows up to the next blank or line break. A line break, or a
@@ -242,32 +241,16 @@ class Encoder:
 
     def __init__(self, model: bytes):
         self.pieces = Pieces(model)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.empty(0, np.int32)
-        self.starts = self.lengths = np.empty(0, np.int64)
-        self.held = 0
-
-    def _learn(self, words: set[bytes]) -> None:
-        if self.held > REMEMBERED_BYTES:
-            self._forget()
-        new = [w for w in words if w not in self.known]
-        found = self.pieces.segment([w.replace(b" ", MARKER_BYTES) for w in new])
+        self.words = Remembered(self._segment)
+
+    def _segment(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.pieces.segment([w.replace(b" ", MARKER_BYTES) for w in words])
         alone = {b"\n": [10], MARKER_BYTES: list(MARKER_BYTES)}
-        for i, word in enumerate(new):
+        for i, word in enumerate(words):
             if word in alone:
                 found[i] = self.pieces.byte_id[alone[word]].tolist()
-        first = len(self.starts)
-        self.known.update(zip(new, range(first, first + len(new))))
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        starts = len(self.flat) + np.cumsum(lengths) - lengths
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-        self.flat = np.concatenate([self.flat, flat])
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.held += sum(map(len, new)) + 4 * len(flat) + 160 * len(new)
+        return np.fromiter((i for ids in found for i in ids), np.int32, lengths.sum()), lengths
 
     def encode(self, batch: list[bytes]) -> list[np.ndarray]:
         """Piece ids of each text; an empty text has none."""
@@ -283,16 +266,12 @@ class Encoder:
 
     def _encode(self, batch: list[bytes]) -> list[np.ndarray]:
         split = [WORD.findall(b" " + t) if t else [] for t in batch]
-        words = set().union(*split) if split else set()
-        if not words <= self.known.keys():
-            self._learn(words)
-            if not words <= self.known.keys():  # the memory was emptied
-                self._learn(words)
-        results = []
-        for found in split:
-            at = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
-            results.append(self.flat[ragged(self.starts[at], self.lengths[at])])
-        return results
+        distinct = list(set().union(*split))
+        place = dict(zip(distinct, self.words.places(distinct).tolist()))
+        return [
+            self.words.ids(np.fromiter(map(place.__getitem__, found), np.int64, len(found)))
+            for found in split
+        ]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text; the marker put in front is dropped."""
@@ -318,7 +297,7 @@ def encode(
     )
 
     def run(batches):
-        encoder = Encoder(model)
+        encoder = on_worker(f"pieces_{zlib.crc32(model)}", lambda: Encoder(model))
         for batch in batches_of(batches):
             there = [v.as_py() for v in batch.column("_text").is_valid()]
             found = encoder.encode(texts(batch, "_text"))
@@ -369,7 +348,7 @@ def round_trip(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     )
 
     def run(batches):
-        encoder = Encoder(model)
+        encoder = on_worker(f"pieces_{zlib.crc32(model)}", lambda: Encoder(model))
         pieces = encoder.pieces
         is_byte = np.zeros(len(pieces.bytes_of), bool)
         is_byte[pieces.byte_id] = True

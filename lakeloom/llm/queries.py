@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import decontam, langid, pieces, pseudonyms, simhash
+from lakeloom.llm import decontam, langid, pieces, pseudonyms, rans, simhash
 from lakeloom.llm.shared import session, table
+from lakeloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +47,17 @@ def op4_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_replaced")
 
 
+@query
+def op7_rans_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    session(spark)
+    path = scratch_path(spark, "rans")
+    definition = rans.definition_of(public_tokenizers.path("word_bpe_49k.json"))
+    rans.write(table(spark, folder, "documents"), definition, path, end_id=1)
+    return rans.digests(spark, path)
+
+
 @query
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)

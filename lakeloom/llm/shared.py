@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import importlib
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -142,3 +144,48 @@ def _checksum(links: DataFrame) -> tuple[int, int]:
 def batches_of(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches that have rows."""
     return (b for b in iterator if b.num_rows)
+
+
+def on_worker(name: str, make: Callable):
+    """What ``make`` gives, kept by a Python worker for the tasks that come after."""
+    store = sys.modules.setdefault("_lakeloom_worker", types.ModuleType("_lakeloom_worker"))
+    if name not in vars(store):
+        setattr(store, name, make())
+    return getattr(store, name)
+
+
+class Remembered:
+    """Token ids of words; ``encode`` maps a list of words to (ids, number of each word).
+
+    What is remembered is bounded: beyond ``limit`` bytes all is forgotten and learnt anew.
+    """
+
+    def __init__(self, encode: Callable, limit: int = 96 << 20):
+        self.encode, self.limit = encode, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict = {}
+        self.flat = np.empty(0, np.int32)
+        self.starts = self.lengths = np.empty(0, np.int64)
+        self.held = 0
+
+    def places(self, words: list) -> np.ndarray:
+        """Where the words are in ``starts`` and ``lengths``, until the next call."""
+        new = [w for w in words if w not in self.known]
+        if new and self.held > self.limit:
+            self._forget()
+            new = list(dict.fromkeys(words))
+        if new:
+            flat, lengths = self.encode(new)
+            first = len(self.starts)
+            self.known.update(zip(new, range(first, first + len(new))))
+            starts = len(self.flat) + np.cumsum(lengths) - lengths
+            self.flat = np.concatenate([self.flat, flat])
+            self.starts = np.concatenate([self.starts, starts])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.held += sum(map(len, new)) + 4 * len(flat) + 160 * len(new)
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def ids(self, places: np.ndarray) -> np.ndarray:
+        return self.flat[ragged(self.starts[places], self.lengths[places])]
