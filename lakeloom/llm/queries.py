@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import decontam, langid, pieces, pseudonyms, rans, simhash
+from lakeloom.llm import decontam, langid, pieces, pseudonyms, rans, simhash, vectors
 from lakeloom.llm.shared import session, table
 from lakeloom.session import scratch_path
 
@@ -66,6 +66,12 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+@query
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return vectors.near_duplicates(table(spark, folder, "embeddings"), threshold=0.93)
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)
