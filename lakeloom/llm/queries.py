@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import decontam, langid, pieces, pseudonyms, rans, simhash, vectors
+from lakeloom.llm import chat, decontam, langid, licenses, pieces, pseudonyms, rans, simhash, vectors
 from lakeloom.llm.shared import session, table
 from lakeloom.session import scratch_path
 
@@ -19,6 +19,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
 @query
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)
@@ -47,6 +53,15 @@ def op4_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_replaced")
 
 
+@query
+def op6_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return chat.perspectives(table(spark, folder, "conversations"))
+
+
+ORACLES["op6_chat_perspectives"] = chat.ORACLE
+
+
 @query
 def op7_rans_token_files(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
