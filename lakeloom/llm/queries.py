@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import chat, decontam, langid, licenses, pieces, pseudonyms, rans, simhash, vectors
+from lakeloom.llm import (
+    chat,
+    decontam,
+    langid,
+    licenses,
+    masked_lm,
+    pieces,
+    pseudonyms,
+    rans,
+    simhash,
+    vectors,
+)
 from lakeloom.llm.shared import session, table
 from lakeloom.session import scratch_path
 
@@ -53,6 +64,13 @@ def op4_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count="n_replaced")
 
 
+@query
+def op5_masked_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    docs = table(spark, folder, "documents")
+    return masked_lm.score(docs, *masked_lm.fit(docs))
+
+
 @query
 def op6_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)
