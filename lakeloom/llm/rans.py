@@ -96,7 +96,7 @@ class WordTokenizer:
             else:
                 rest.append(i)
         lengths = np.zeros(len(words), np.int64)
-        pieces: list[np.ndarray | None] = [None] * len(words)
+        pieces = [np.empty(0, np.int32)] * len(words)  # an empty word has no ids
         if parts:
             groups = [parts[k : k + 500] for k in range(0, len(parts), 500)]
             codes = self.bare.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)

@@ -17,8 +17,8 @@ from lakeloom.session import materialize, tune
 
 # Bounds on what one Arrow batch holds; a text longer than this is a batch of its own.
 BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -160,7 +160,7 @@ class Remembered:
     What is remembered is bounded: beyond ``limit`` bytes all is forgotten and learnt anew.
     """
 
-    def __init__(self, encode: Callable, limit: int = 96 << 20):
+    def __init__(self, encode: Callable, limit: int = 48 << 20):
         self.encode, self.limit = encode, limit
         self._forget()
 
