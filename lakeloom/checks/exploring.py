@@ -54,6 +54,17 @@ def outcome_rate_by_source(d):
     return rate_by_value(d.cases(), ["source", "toxic"], "quality")
 
 
+# The data part of the model: which cases are learnt from and which are judged.
+@check(
+    "outcome_split",
+    having("cases")
+    + """select case when (doc_id % 100 * 37) % 100 < 80 then 'train' else 'test' end as split,
+        cast(quality as bigint) as quality, count(*) as n from cases group by 1, 2""",
+)
+def outcome_split(d):
+    return explore.split_counts(d.cases(), "doc_id", "quality")
+
+
 # Model training has no SQL form.
 @check("outcome_model")
 def outcome_model(d):

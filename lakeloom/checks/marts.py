@@ -112,19 +112,20 @@ def category_sales(d):
     return marts.category_sales(d.sales())
 
 
-# Orders of one year only, so that some customers have none.
+# The orders of every seventh customer count for nobody, so that some customers have none.
 @check(
     "customer_order_summary",
     having("customers")
     + f"""select c.customer_id, first_name, last_name, country, count(o_orderkey) as total_orders,
            cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total_spent,
            {avg2('sum(cast(o_totalprice as decimal(18,2)))', 'count(o_totalprice)')} as avg_order_value
-    from customers c left join (select * from orders where year(o_orderdate) = 1996) o
-      on o.o_custkey = c.customer_id
+    from customers c left join orders o
+      on case when o_custkey % 7 <> 0 then o_custkey else -1 - o_custkey end = c.customer_id
     group by 1, 2, 3, 4""",
 )
 def customer_order_summary(d):
-    return marts.customer_order_summary(d.customers(), d.orders().filter("order_date between '1996-01-01' and '1996-12-31'"))
+    buyer = F.when(F.col("customer_id") % 7 != 0, F.col("customer_id")).otherwise(-1 - F.col("customer_id"))
+    return marts.customer_order_summary(d.customers(), d.orders().withColumn("customer_id", buyer))
 
 
 @check(

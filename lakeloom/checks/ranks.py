@@ -44,14 +44,13 @@ def win_02_percent_rank(d):
     return ranked.select("customer_id", "percentile")
 
 
-# Ties and NULLs: spending of one year in thousands, NULL below 50 thousand.
+# Ties and NULLs: spending in thousands, NULL from two million on.
 @check(
     "win_03_rank_with_ties",
     having("payment")
     + f""", coarse as (
-        select customer_id, cast(floor(sum(amount) / 1000) as bigint) as k from payment
-        where year(payment_date) = 1997 group by 1),
-    valued as (select customer_id, case when k >= 50 then k end as k from coarse)
+        select customer_id, cast(floor(sum(amount) / 1000) as bigint) as k from payment group by 1),
+    valued as (select customer_id, case when k < 2000 then k end as k from coarse)
     select customer_id, k, r as rank_asc, {ratio('ahead * 100', 'others')} as percentile
     from (select customer_id, k, dense_rank() over (order by k nulls last) as r,
                  rank() over (order by k nulls last) - 1 as ahead, count(*) over () - 1 as others
@@ -60,10 +59,9 @@ def win_02_percent_rank(d):
 def win_03_rank_with_ties(d):
     coarse = (
         d.payment()
-        .filter("payment_date >= '1997-01-01' and payment_date < '1998-01-01'")
         .groupBy("customer_id")
         .agg(F.floor(F.sum("amount") / 1000).cast("bigint").alias("k"))
-        .withColumn("k", F.when(F.col("k") >= 50, F.col("k")))
+        .withColumn("k", F.when(F.col("k") < 2000, F.col("k")))
     )
     return global_rank(coarse, "k", dense="rank_asc", percentile="percentile", descending=False)
 

@@ -81,7 +81,7 @@ def flt_04_text_predicate(d):
     + "where return_date is null",
 )
 def flt_05_open_rentals(d):
-    rows = d.rental().filter(F.col("return_date").isNull())
+    rows = d.rental(only_open=True)
     return rows.select(
         "rental_id", "line_number", "film_id", "store_id", "customer_id",
         F.to_date("rental_date").alias("rented"),
@@ -103,11 +103,11 @@ def flt_06_null_safe_change(d):
 @check(
     "flt_07_having",
     """select o_custkey, count(*) as n, cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
-    from orders where year(o_orderdate) = 1997 group by 1
+    from orders group by 1
     having count(*) > 2 and sum(cast(o_totalprice as decimal(18,2))) > 500000""",
 )
 def flt_07_having(d):
-    rows = d.raw("orders").filter("o_orderdate >= '1997-01-01' and o_orderdate < '1998-01-01'").groupBy("o_custkey")
+    rows = d.raw("orders").groupBy("o_custkey")
     totals = rows.agg(F.count("*").alias("n"), F.sum(money("o_totalprice")).alias("total"))
     return totals.filter((F.col("n") > 2) & (F.col("total") > 500000))
 
@@ -193,18 +193,37 @@ def jn_15_manager(d):
     return with_parent(_team(d), "id", "reports_to", "name", "manager")
 
 
-@check(
-    "jn_15_hierarchy_depth",
-    f"""with recursive {STAFF_SQL}, levels as (
-        select id, reports_to, 0 as depth from team where reports_to is null
+WALK_SQL = """levels as (
+        select id, reports_to, 0 as depth, 'reached' as state from team where reports_to is null
         union all
-        select t.id, t.reports_to, depth + 1 from team t join levels l on t.reports_to = l.id)
-    select id, reports_to, cast(depth as bigint) as depth from levels""",
-)
+        select id, reports_to, cast(null as integer), 'orphan' from team
+        where reports_to is not null and reports_to not in (select id from team)
+        union all
+        select t.id, t.reports_to, depth + 1, l.state from team t join levels l on t.reports_to = l.id)
+    select t.id, t.reports_to, cast(l.depth as bigint) as depth, coalesce(l.state, 'cycle') as state
+    from team t left join levels l on l.id = t.id"""
+
+
+@check("jn_15_hierarchy_depth", f"with recursive {STAFF_SQL}, {WALK_SQL}")
 def jn_15_hierarchy_depth(d):
     return hierarchy(_team(d), "id", "reports_to")
 
 
+# Every customer whose number ends in 7 left the team; those ending in 3 report to each other.
+@check(
+    "jn_15_hierarchy_gaps",
+    f"""with recursive team as (
+        select c_custkey as id, case when c_custkey % 10 = 3 then c_custkey - c_custkey % 20 + (c_custkey + 10) % 20
+            when c_custkey > 0 then c_custkey // 10 end as reports_to
+        from customer where c_custkey % 10 <> 7), {WALK_SQL}""",
+)
+def jn_15_hierarchy_gaps(d):
+    key = F.col("c_custkey")
+    above = F.when(key % 10 == 3, key - key % 20 + (key + 10) % 20).when(key > 0, F.floor(key / 10))
+    team = d.raw("customer").filter(key % 10 != 7).select(key.alias("id"), above.alias("reports_to"))
+    return hierarchy(team, "id", "reports_to")
+
+
 @check(
     "agg_03_count_column",
     f"""select o_custkey, count(*) as n, count(priority) as n_priority,

@@ -177,7 +177,7 @@ def items_out(d):
 )
 def item_holder(d):
     newest = ("rental_date", "rental_id", "line_number")
-    return reports.item_holder(d.inventory(), d.rental(), COPY_KEY, newest)
+    return reports.item_holder(d.inventory(), d.rental(only_open=True), COPY_KEY, newest)
 
 
 @check(

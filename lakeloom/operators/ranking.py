@@ -1,10 +1,11 @@
 """Latest rows, top rows and global ranks without a single-task sort.
 
-A window without a partition key sends every row to one task. Here a global
-order is cut into value ranges instead: the range bounds and the totals of the
-ranges before each one are small literals, so every range is ranked on its own
-and shifted by its offset. A value shared by very many rows gets a range of its
-own, in which every row has the same rank, so it may be spread over tasks.
+A window without a partition key sends every row to one task. A rank or a running total
+depends on distinct values only, so those are counted first: a value shared by very many
+rows becomes one row. The distinct values are sorted by range over as many partitions as
+the session shuffles to and written once with their partition's number; totals per
+partition, one row each, give every partition its offset, and the finished numbers are
+joined back to the rows by value.
 """
 
 from __future__ import annotations
@@ -12,28 +13,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal, localcontext
-from itertools import pairwise
-from math import inf, isfinite, nextafter
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.money import percent, rank_percent, rounded_ratio
-from lakeloom.session import materialize_counted
-
-MAX_RANGES = 2000
-ROWS_PER_RANGE = 50_000
-MIN_RANGES = 4
-SAMPLE_ROWS = 2_000_000
+from lakeloom.session import materialize
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
     """The row with the greatest ``newest`` columns per key.
 
     The remaining columns break ties, so the result is deterministic. It is an
-    aggregate, not a window: each task first keeps one row per key, so a key
-    with very many versions never gathers in one task.
+    aggregate, not a window: each task first sorts its rows and keeps one per key,
+    so a key with very many versions never gathers in one task.
     """
     others = [c for c in df.columns if c not in keys]
     order = [*newest, *(c for c in others if c not in newest)]
@@ -60,126 +53,60 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _cut_points(quantiles: list[float], n_rows: int) -> list[float]:
-    """Range bounds: as many quantiles as the row count asks for, heavy values apart.
-
-    A value met at several neighbouring quantiles is heavy and gets a range of
-    its own, from itself up to the next representable number.
-    """
-    ranges = min(MAX_RANGES, max(MIN_RANGES, n_rows // ROWS_PER_RANGE))
-    n = len(quantiles)
-    cuts = {quantiles[n * i // ranges] for i in range(1, ranges)} if n else set()
-    for low, high in pairwise(quantiles):
-        if low == high:
-            cuts |= {low, nextafter(low, inf)}
-    inner = sorted(c for c in cuts if isfinite(c)) or [0.0]
-    return [-inf, *inner, inf]
-
-
-def _with_range(df: DataFrame, column: str, descending: bool, source: DataFrame, n_rows: int) -> DataFrame:
-    """Add ``_range``, a number that grows along the order; NULLs are in the last one."""
-    at = F.col(column).cast("double")
-    shares = F.expr("array(" + ",".join(f"{i / MAX_RANGES}D" for i in range(MAX_RANGES)) + ")")
-    sampled = source if n_rows <= SAMPLE_ROWS else source.sample(SAMPLE_ROWS / n_rows, seed=7)
-    quantiles = sampled.agg(F.percentile_approx(at, shares, 2 * MAX_RANGES)).first()[0]
-    splits = _cut_points(quantiles or [], n_rows)
-    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_cut", handleInvalid="keep")
-    direction = -1 if descending else 1
-    number = F.when(F.col("_at").isNull(), F.lit(len(splits))).otherwise(
-        (F.col("_cut") * direction).cast("int")
-    )
-    return cut.transform(df.withColumn("_at", at)).withColumn("_range", number).drop("_at", "_cut")
-
-
 @dataclass(frozen=True)
-class Placed:
-    """Rows with their range and the totals before it; ``totals`` over all rows."""
+class Totals:
+    """Distinct values with what lies before each; ``totals`` over all rows."""
 
     table: DataFrame
     totals: dict[str, object]
 
 
-def place(
-    df: DataFrame,
-    column: str,
-    source: DataFrame,
-    n_rows: int,
-    descending: bool = True,
-    sums: Sequence[str] = (),
-    count_values: bool = False,
-) -> Placed:
-    """Cut the order of a column into ranges and add up what lies before each.
-
-    Adds ``_range``, ``_one_value`` (the range holds a single value) and, for
-    ``rows``, the ``sums`` columns and (on request) distinct ``values``, the
-    total before the range ``_before_<name>`` and in it ``_inside_<name>``.
-    Quantiles come from a bounded sample of ``source`` (``n_rows`` rows); they
-    only balance the ranges, any bounds give the same result. Bounds and
-    totals are literals, so a recomputed task gets the same ones.
-    """
-    spark = df.sparkSession
-    ranged = _with_range(df, column, descending, source, n_rows)
-    kinds = dict(df.dtypes)
-    wide = {n: "decimal(38,2)" if kinds[n].startswith("decimal") else "bigint" for n in sums}
-    added = [F.sum(n).cast(wide[n]).alias(n) for n in sums]
-    if count_values:
-        per_value = ranged.groupBy("_range", column).agg(F.count("*").alias("rows"), *added)
-        per_range = per_value.groupBy("_range").agg(
-            F.sum("rows").alias("rows"),
-            F.count("*").alias("values"),
-            *added,
-            (F.count("*") == 1).alias("_one_value"),
-        )
-    else:
-        per_range = ranged.groupBy("_range").agg(
-            F.count("*").alias("rows"),
-            *added,
-            F.min(column).eqNullSafe(F.max(column)).alias("_one_value"),
-        )
-    found = per_range.orderBy("_range").collect()  # one row per range, a few thousand at most
-    wide = {"rows": "bigint", **({"values": "bigint"} if count_values else {}), **wide}
-    zero = {n: Decimal(0) if t.startswith("decimal") else 0 for n, t in wide.items()}
-    running, lines = dict(zero), []
-    with localcontext(prec=40):
-        for row in found:
-            inside = {n: zero[n] if row[n] is None else row[n] for n in wide}
-            lines.append((row["_range"], row["_one_value"], *running.values(), *inside.values()))
-            running = {n: running[n] + inside[n] for n in wide}
-    schema = ["_range int", "_one_value boolean"]
-    schema += [f"`_before_{n}` {t}" for n, t in wide.items()]
-    schema += [f"`_inside_{n}` {t}" for n, t in wide.items()]
-    shift = spark.createDataFrame(lines, ", ".join(schema))
-    return Placed(ranged.join(F.broadcast(shift), "_range"), running)
-
-
-def _within(column: str, descending: bool):
-    """Order inside a range. A one-value range needs no order and is spread over tasks."""
-    order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
-    spread = F.when(F.col("_one_value"), F.spark_partition_id()).otherwise(F.lit(0))
-    return Window.partitionBy("_range", spread).orderBy(order)
-
-
 def running_totals(
-    rows: DataFrame, n_rows: int, column: str, measures: Mapping[str, Column], descending: bool = True
-) -> Placed:
+    rows: DataFrame, column: str, measures: Mapping[str, Column], descending: bool = True
+) -> Totals:
     """Per distinct value, its measures and their totals over all rows before it.
 
-    ``measures`` are aggregates. The table has ``column``, the measures and
-    ``<measure>_before``. ``rows`` should be a stored table.
+    ``measures`` are aggregates whose values add up. The table has ``column`` (NULL last),
+    the measures and ``<measure>_before``. ``rows`` is read once.
     """
     names = list(measures)
-    values = rows.groupBy(column).agg(*[c.alias(n) for n, c in measures.items()])
-    placed = place(values, column, rows, n_rows, descending, names)
-    before = _within(column, descending).rowsBetween(Window.unboundedPreceding, -1)
-    table = placed.table.select(
+    order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
+    values = (
+        rows.groupBy(column)
+        .agg(*[c.alias(n) for n, c in measures.items()])
+        .repartitionByRange(order)
+        .withColumn("_range", F.spark_partition_id())
+    )
+    stored = materialize(values, "values")
+    kinds = dict(stored.dtypes)
+    wide = {n: "decimal(38,2)" if kinds[n].startswith("decimal") else "bigint" for n in names}
+    sums = [F.coalesce(F.sum(n).cast(wide[n]), F.lit(0).cast(wide[n])).alias(n) for n in names]
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each partition of the values.
+    offsets = stored.groupBy("_range").agg(*sums).select(
+        "_range", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_offset_{n}") for n in names]
+    )
+    within = Window.partitionBy("_range").orderBy(order)
+    above = within.rowsBetween(Window.unboundedPreceding, -1)
+    table = stored.join(offsets, "_range").select(
         column,
         *names,
         *[
-            (F.coalesce(F.sum(n).over(before), F.lit(0)) + F.col(f"_before_{n}")).alias(f"{n}_before")
+            (F.coalesce(F.sum(n).over(above), F.lit(0)) + F.col(f"_offset_{n}"))
+            .cast(wide[n])
+            .alias(f"{n}_before")
             for n in names
         ],
     )
-    return Placed(table, placed.totals)
+    found = stored.agg(*sums).first().asDict()
+    zero = {n: Decimal(0) if t.startswith("decimal") else 0 for n, t in wide.items()}
+    return Totals(table, {n: zero[n] if found[n] is None else found[n] for n in names})
+
+
+def _by_value(rows: DataFrame, column: str, numbers: DataFrame) -> DataFrame:
+    """Join per-value numbers to the rows; adaptive execution splits a value with many rows."""
+    named = numbers.withColumnRenamed(column, "_value")
+    return rows.join(named, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def global_rank(
@@ -191,19 +118,20 @@ def global_rank(
 ) -> DataFrame:
     """Dense rank and percent rank (times 100, two decimals) over the whole table.
 
-    Equal to windows ordered by ``by`` alone, NULLs last.
+    Equal to windows ordered by ``by`` alone, NULLs last. ``df`` is written once, as it is
+    read twice; jobs run while the plan is built.
     """
-    rows, n = materialize_counted(df, "ranked")
-    placed = place(rows, by, rows, n, descending, count_values=dense is not None)
-    within = _within(by, descending)
+    rows = materialize(df, "ranked")
+    run = running_totals(
+        rows, by, {"_rows": F.count("*"), "_values": F.lit(1).cast("bigint")}, descending
+    )
+    others = F.lit(max(run.totals["_rows"] - 1, 1)).cast("bigint")
     found = []
     if dense:
-        found.append((F.dense_rank().over(within) + F.col("_before_values")).alias(dense))
+        found.append((F.col("_values_before") + 1).cast("int").alias(dense))
     if percentile:
-        ahead = F.rank().over(within) - 1 + F.col("_before_rows")
-        others = F.lit(max(placed.totals["rows"] - 1, 1)).cast("bigint")
-        found.append(rank_percent(ahead, others).alias(percentile))
-    return placed.table.select(*rows.columns, *found)
+        found.append(rank_percent(F.col("_rows_before"), others).alias(percentile))
+    return _by_value(rows, by, run.table.select(by, *found))
 
 
 def cumulative_share(df: DataFrame, value: str, descending: bool = True) -> DataFrame:
@@ -212,18 +140,13 @@ def cumulative_share(df: DataFrame, value: str, descending: bool = True) -> Data
     Rows with equal values are peers and get the same running total, as in a
     window with the default frame.
     """
-    rows, n = materialize_counted(df, "share")
-    placed = place(rows, value, rows, n, descending, [value])
-    inside = F.when(F.col("_one_value"), F.col(f"_inside_{value}")).otherwise(
-        F.sum(value).over(_within(value, descending))
-    )
-    running = F.col(f"_before_{value}") + F.coalesce(inside, F.lit(0))
-    share = percent(F.col("running_total"), F.lit(placed.totals[value]))
-    return (
-        placed.table.withColumn("running_total", running)
-        .withColumn("share_pct", share)
-        .select(*rows.columns, "running_total", "share_pct")
+    rows = materialize(df, "share")
+    run = running_totals(rows, value, {"_sum": F.sum(value)}, descending)
+    running = F.col("_sum_before") + F.coalesce("_sum", F.lit(0))
+    shares = run.table.select(value, running.alias("running_total")).withColumn(
+        "share_pct", percent(F.col("running_total"), F.lit(run.totals["_sum"]))
     )
+    return _by_value(rows, value, shares)
 
 
 def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -> DataFrame:
@@ -234,8 +157,8 @@ def pareto(df: DataFrame, value: str, head_pct: int = 1, target_pct: int = 80) -
     total. Rows that tie are interchangeable, so distinct values with their
     counts are enough.
     """
-    rows, n = materialize_counted(df.select(value).filter(F.col(value).isNotNull()), "pareto")
-    run = running_totals(rows, n, value, {"_n": F.count("*"), "_sum": F.sum(value)})
+    rows = df.select(value).filter(F.col(value).isNotNull())
+    run = running_totals(rows, value, {"_n": F.count("*"), "_sum": F.sum(value)})
     n, total = run.totals["_n"], run.totals["_sum"]
     head = -(-n * head_pct // 100)
     with localcontext(prec=40):

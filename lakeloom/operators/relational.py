@@ -4,36 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.money import rounded_ratio
 from lakeloom.functions.text import tokens
-from lakeloom.session import materialize
-
-SAMPLE_ROWS = 2_000
-BOUND_CHARS = 64
-PIECES = 32
-
-
-def _text_bounds(df: DataFrame, column: str, pieces: int) -> list[str]:
-    """Ordered cut points from a bounded random sample. Any cut points are correct."""
-    texts = df.select(F.substring(column, 1, BOUND_CHARS).alias("v")).filter("v is not null")
-    sample = texts.orderBy(F.rand(7)).limit(SAMPLE_ROWS).collect()
-    found = sorted(r["v"].encode() for r in sample)
-    if not found:
-        return []
-    return [b.decode() for b in sorted({found[len(found) * i // pieces] for i in range(1, pieces)})]
-
-
-def _piece_number(column: Column, bounds: list[str], first: int = 0) -> Column:
-    """How many bounds are at most the value, by halving the list of bounds."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(column < bounds[middle], _piece_number(column, bounds[:middle], first)).otherwise(
-        _piece_number(column, bounds[middle + 1 :], first + middle + 1)
-    )
+from lakeloom.session import materialize, materialize_counted
+
+REACHED, ORPHAN, CYCLE = "reached", "orphan", "cycle"
 
 
 def ordered_list(
@@ -43,57 +21,62 @@ def ordered_list(
     separator: str = ", ",
     distinct: bool = False,
     name: str | None = None,
-    cut_by: DataFrame | None = None,
 ) -> DataFrame:
     """Values of a group as one ordered, separated string; NULLs are skipped.
 
-    A group is cut into value ranges that are sorted and joined in separate
-    tasks; only the finished pieces meet in the group's row. So sorting a very
-    large group is spread out, although its text must still fit in one row.
-    The cut points come from a sample of ``cut_by`` (a table with the value
-    column, such as the dimension the values stem from; default: ``df``).
+    One shuffle by the keys. The text of a group must fit in one row, as the result
+    asks for it; ``distinct`` values are made so in each task before the shuffle.
     """
-    name = name or value
-    rows = df.select(*keys, value)
-    if distinct:
-        rows = rows.distinct()
-    if cut_by is None:
-        rows = cut_by = materialize(rows, "list")
-    bounds = _text_bounds(cut_by, value, PIECES)
-    texts = (
-        rows.filter(F.col(value).isNotNull())
-        .groupBy(*keys, _piece_number(F.col(value), bounds).alias("_piece"))
-        .agg(F.array_join(F.array_sort(F.collect_list(value)), separator).alias("_text"))
-    )
-    pieces = F.array_sort(F.collect_list(F.struct("_piece", "_text")))
-    joined = texts.groupBy(*keys).agg(pieces.alias("_p"))
-    text = F.array_join(F.transform("_p", lambda p: p["_text"]), separator)
-    return joined.select(*keys, text.alias(name))
+    values = F.collect_set(value) if distinct else F.collect_list(value)
+    text = F.array_join(F.array_sort(values), separator)
+    present = df.filter(F.col(value).isNotNull())
+    return present.groupBy(*keys).agg(text.alias(name or value))
 
 
-def hierarchy(df: DataFrame, key: str, parent: str, max_depth: int = 64) -> DataFrame:
+def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:
     """Depth of every row below its root, for a self reference ``parent -> key``.
 
-    Walks level by level: each step joins the rows of the last level to their
-    children and writes the new level once. Stops when a level is empty; a
-    reference cycle under a root cannot occur, and rows in a rootless cycle are
-    not reached.
+    Returns every row as ``key, parent, depth, state``. Rows below a parent that does not
+    exist are ``orphan``, rows in or below a reference cycle ``cycle``; both have a NULL
+    depth. Each round doubles the distance a row looks up, so the number of rounds is the
+    logarithm of the depth, whatever the depth; rows without an end after that many rounds
+    as the row count allows are in a cycle. Each round is written once (jobs run while the
+    plan is built). A repeated key counts once as a parent.
     """
-    level = materialize(
-        df.filter(F.col(parent).isNull()).select(key, parent, F.lit(0).alias("depth")), "level"
+    start = F.when(F.col(parent).isNull(), F.lit(0).cast("bigint"))
+    rows, n = materialize_counted(
+        df.select(
+            key,
+            parent,
+            F.col(parent).alias("_above"),
+            F.lit(1).cast("bigint").alias("_steps"),
+            start.alias("depth"),
+            F.when(start.isNotNull(), REACHED).alias("state"),
+        ),
+        "hierarchy",
     )
-    found = level
-    for depth in range(1, max_depth + 1):
-        above = level.select(F.col(key).alias("_above"))
-        level = materialize(
-            df.join(above, F.col(parent) == F.col("_above"))
-            .select(key, parent, F.lit(depth).alias("depth")),
-            "level",
+    for _ in range(n.bit_length() + 1):
+        if rows.filter("state is null").isEmpty():
+            break
+        ends = F.struct("depth", "state", "_above", "_steps")
+        above = rows.groupBy(F.col(key).alias("_key")).agg(F.min(ends).alias("_up"))
+        up = F.col("_up")
+        looked = (
+            rows.filter("state is null")
+            .join(above, F.col("_above") == F.col("_key"), "left")
+            .select(
+                key,
+                parent,
+                up["_above"].alias("_above"),
+                (F.col("_steps") + up["_steps"]).alias("_steps"),
+                (F.col("_steps") + up["depth"]).alias("depth"),
+                F.when(up.isNull(), ORPHAN).otherwise(up["state"]).alias("state"),
+            )
         )
-        if level.isEmpty():
-            return found
-        found = found.unionByName(level)
-    raise ValueError(f"hierarchy is deeper than {max_depth} levels")
+        rows = materialize(rows.filter("state is not null").unionByName(looked), "hierarchy")
+    return rows.select(
+        key, parent, "depth", F.coalesce("state", F.lit(CYCLE)).alias("state")
+    )
 
 
 def with_parent(df: DataFrame, key: str, parent: str, label: str, name: str) -> DataFrame:
@@ -175,13 +158,7 @@ def search_tokens(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 
 def search(df: DataFrame, key: str, columns: Sequence[str], terms: Sequence[str]) -> DataFrame:
-    """Rows whose text contains every search term."""
+    """Rows whose text contains every search term; judged row by row, no shuffle."""
     wanted = sorted({t.lower() for t in terms})
-    hits = (
-        search_tokens(df, key, columns)
-        .filter(F.col("token").isin(wanted))
-        .groupBy(key)
-        .agg(F.countDistinct("token").alias("_hits"))
-        .filter(F.col("_hits") == len(wanted))
-    )
-    return keep_matching(df, hits, [key])
+    words = tokens(F.concat_ws(" ", *[F.col(c) for c in columns]))
+    return df.filter(F.size(F.array_intersect(words, F.array(*map(F.lit, wanted)))) == len(wanted))

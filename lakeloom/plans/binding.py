@@ -136,15 +136,21 @@ class Domain:
             F.when(F.col("l_linestatus") != "O", F.col("l_quantity").cast("int")).alias("days_kept"),
         )
 
-    def rental(self) -> DataFrame:
-        """Rentals; a line with status O is open, others were kept ``l_quantity`` days."""
+    def rental(self, only_open: bool = False) -> DataFrame:
+        """Rentals; a line with status O is open, others were kept ``l_quantity`` days.
+
+        ``only_open`` leaves out the returned ones before the orders are joined.
+        """
+        lines = self.rental_line()
+        if only_open:
+            lines = lines.filter(F.col("days_kept").isNull())
         dates = self.raw("orders").select(
             F.col("o_orderkey").alias("rental_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("rental_date"),
         )
         returned = F.col("rental_date") + F.make_dt_interval(F.col("days_kept"))
-        return self.rental_line().join(dates, "rental_id").withColumn("return_date", returned)
+        return lines.join(dates, "rental_id").withColumn("return_date", returned)
 
     def inventory(self) -> DataFrame:
         return self.rental_line().select(*COPY_KEY).distinct()

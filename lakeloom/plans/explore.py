@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.ranking import most_frequent, running_totals
 from lakeloom.operators.relational import bucket
-from lakeloom.session import materialize_counted, scratch_path
+from lakeloom.session import materialize, scratch_path
 
 
 def common_value_by_group(cases: DataFrame, group: str, width: int, value: str) -> DataFrame:
@@ -28,21 +28,31 @@ def with_hypertension(cases: DataFrame, pressure: str = "systolic", limit: int =
 
 
 def split_cases(cases: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Reproducible split by a hash of the key, independent of row order."""
-    slot = F.pmod(F.xxhash64(key), F.lit(100))
+    """Reproducible split by a whole-number key, independent of row order.
+
+    A prime multiple modulo 100 spreads neighbouring keys; a NULL key is unseen.
+    """
+    slot = F.coalesce(F.pmod(F.col(key).cast("bigint") % 100 * 37, F.lit(100)), F.lit(99))
     return cases.filter(slot < train_pct), cases.filter(slot >= train_pct)
 
 
-def area_under_curve(scored: DataFrame, n_rows: int, score: str, label: str) -> DataFrame:
+def split_counts(cases: DataFrame, key: str, outcome: str) -> DataFrame:
+    """Cases per split and outcome, as the model uses them."""
+    train, test = split_cases(cases, key)
+    both = train.withColumn("split", F.lit("train")).unionByName(
+        test.withColumn("split", F.lit("test"))
+    )
+    return both.groupBy("split", outcome).agg(F.count("*").alias("n"))
+
+
+def area_under_curve(scored: DataFrame, score: str, label: str) -> DataFrame:
     """Probability that a positive case scores above a negative one (ties count half).
 
     Exact, from the running counts over distinct scores; NULL without both
-    kinds of cases. ``scored`` should be a stored table.
+    kinds of cases.
     """
     positive = F.sum(F.col(label).cast("bigint"))
-    run = running_totals(
-        scored, n_rows, score, {"_pos": positive, "_neg": F.count("*") - positive}
-    )
+    run = running_totals(scored, score, {"_pos": positive, "_neg": F.count("*") - positive})
     pairs = run.totals["_pos"] * run.totals["_neg"]
     ahead = F.col("_pos_before") * 2 + F.col("_pos")
     won = F.sum(F.col("_neg").cast("decimal(19,0)") * ahead.cast("decimal(19,0)"))
@@ -51,14 +61,25 @@ def area_under_curve(scored: DataFrame, n_rows: int, score: str, label: str) ->
 
 def outcome_model(cases: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str],
                   outcome: str, iterations: int = 50) -> DataFrame:
-    """Train a logistic regression and report its quality on unseen cases, as one row."""
-    train, test = split_cases(cases.withColumn("label", F.col(outcome).cast("double")), key)
+    """Train a logistic regression and report its quality on unseen cases, as one row.
+
+    A missing number counts as the training cases' mean, a missing category as one of its
+    own, so every case with an outcome is used; cases without one are counted apart.
+    Jobs run while the plan is built.
+    """
+    typed = cases.withColumns(
+        {"label": F.col(outcome).cast("double"), **{c: F.col(c).cast("double") for c in numeric}}
+    )
+    judged = typed.filter("label is not null")
+    train, test = split_cases(judged, key)
+    filled = [f"_{c}_filled" for c in numeric]
     indexed = [f"_{c}_index" for c in categorical]
     encoded = [f"_{c}_code" for c in categorical]
     stages = [
         StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
-        VectorAssembler(inputCols=[*numeric, *encoded], outputCol="_raw", handleInvalid="skip"),
+        Imputer(inputCols=list(numeric), outputCols=filled, strategy="mean"),
+        VectorAssembler(inputCols=[*filled, *encoded], outputCol="_raw", handleInvalid="error"),
         StandardScaler(inputCol="_raw", outputCol="features"),
         LogisticRegression(maxIter=iterations, regParam=0.01),
     ]
@@ -67,14 +88,18 @@ def outcome_model(cases: DataFrame, key: str, numeric: Sequence[str], categorica
     stored = scratch_path(cases.sparkSession, "model")
     Pipeline(stages=stages).fit(train).write().save(stored)
     model = PipelineModel.load(stored)
-    scores, n = materialize_counted(
+    scores = materialize(
         model.transform(test).select(
             "label", "prediction", vector_to_array("probability")[1].alias("score")
         ),
         "scores",
     )
-    auc = area_under_curve(scores, n, "score", "label").first()["auc"]
+    auc = area_under_curve(scores, "score", "label").first()["auc"]
+    without = typed.filter("label is null").count()
     right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     return scores.agg(
-        F.count("*").alias("n_test"), right.alias("accuracy"), F.lit(auc).cast("double").alias("auc")
+        F.count("*").alias("n_test"),
+        right.alias("accuracy"),
+        F.lit(auc).cast("double").alias("auc"),
+        F.lit(without).cast("bigint").alias("n_without_outcome"),
     )

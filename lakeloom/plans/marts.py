@@ -68,24 +68,27 @@ def _revenue(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     return totals.select(*keys, "total_revenue", "transaction_count", mean).orderBy(*keys)
 
 
+def _per_film(fact: DataFrame) -> DataFrame:
+    """Films summed per month, so that later joins move and multiply totals, not payments."""
+    return fact.groupBy("film_id", "year", "month").agg(
+        *[F.sum(c).alias(c) for c in ("paid", "n_payments", "n_amounts")]
+    )
+
+
 def monthly_revenue(payment: DataFrame, rental: DataFrame, film: DataFrame,
                     unique: bool = False) -> DataFrame:
     """Revenue, payments and average payment by month and film rating."""
-    fact = sales_fact(payment, rental, unique).join(film.select("film_id", "rating"), "film_id")
-    return _revenue(fact, ["year", "month", "rating"])
+    per_film = _per_film(sales_fact(payment, rental, unique))
+    return _revenue(
+        per_film.join(film.select("film_id", "rating"), "film_id"), ["year", "month", "rating"]
+    )
 
 
 def monthly_revenue_by_category(
     payment: DataFrame, rental: DataFrame, film_category: DataFrame, unique: bool = False
 ) -> DataFrame:
-    """The same by film category; a film in two categories counts in both.
-
-    Films are summed per month first, so the bridge multiplies totals, not rows.
-    """
-    fact = sales_fact(payment, rental, unique)
-    per_film = fact.groupBy("film_id", "year", "month").agg(
-        *[F.sum(c).alias(c) for c in ("paid", "n_payments", "n_amounts")]
-    )
+    """The same by film category; a film in two categories counts in both."""
+    per_film = _per_film(sales_fact(payment, rental, unique))
     return _revenue(
         per_film.join(film_category.select("film_id", "category"), "film_id"),
         ["year", "month", "category"],

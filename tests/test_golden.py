@@ -205,7 +205,7 @@ def test_ordered_list_equals_sorted(spark):
         want = sorted((v for j, v in rows_ if j == k), key=lambda v: v.encode())
         assert got[k] == "|".join(want)
     assert 9 not in got
-    distinct = {r.k: r.v for r in ordered_list(df, ["k"], "v", "|", distinct=True, cut_by=df).collect()}
+    distinct = {r.k: r.v for r in ordered_list(df, ["k"], "v", "|", distinct=True).collect()}
     assert distinct[0] == "|".join(sorted({v for j, v in rows_ if j == 0}, key=lambda v: v.encode()))
 
 

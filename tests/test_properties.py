@@ -134,14 +134,19 @@ def test_accepted_and_rejected_make_the_input(spark):
 
 def test_hierarchy_depth(spark):
     rows = [(i, None if i == 0 else (i - 1) // 3) for i in range(200)] + [(500, 501), (501, 500)]
-    got = {r.id: r.depth for r in hierarchy(spark.createDataFrame(rows, "id int, up int"), "id", "up").collect()}
+    rows += [(600, 999), (601, 600), (602, 601), (700, 500), (800, 800)]
+    rows += [(1000 + i, 999 + i if i else None) for i in range(300)]
+    found = hierarchy(spark.createDataFrame(rows, "id int, up int"), "id", "up").collect()
 
     def depth(i):
         return 0 if i == 0 else 1 + depth((i - 1) // 3)
 
-    assert got == {i: depth(i) for i in range(200)}
-    with pytest.raises(ValueError):
-        hierarchy(spark.createDataFrame([(i, i - 1 or None) for i in range(1, 9)], "id int, up int"), "id", "up", 3)
+    want = {i: (depth(i), "reached") for i in range(200)}
+    want |= {i: (None, "cycle") for i in (500, 501, 700, 800)}
+    want |= {i: (None, "orphan") for i in (600, 601, 602)}
+    want |= {1000 + i: (i, "reached") for i in range(300)}
+    assert len(found) == len(rows)
+    assert {r.id: (r.depth, r.state) for r in found} == want
 
 
 def test_rounding_is_half_up_and_exact(spark):
@@ -160,5 +165,18 @@ def test_area_under_curve_equals_brute_force(spark):
     won = sum((a > b) + (a == b) / 2 for a, x in rows if x for b, y in rows if not y)
     pairs = sum(1 for _, x in rows if x) * sum(1 for _, x in rows if not x)
     df = spark.createDataFrame(rows, "s double, y double")
-    assert area_under_curve(df, 300, "s", "y").first().auc == pytest.approx(won / pairs)
-    assert area_under_curve(df.filter("y = 1"), 300, "s", "y").first().auc is None
+    assert area_under_curve(df, "s", "y").first().auc == pytest.approx(won / pairs)
+    assert area_under_curve(df.filter("y = 1"), "s", "y").first().auc is None
+
+
+def test_model_judges_cases_with_missing_numbers(spark):
+    from lakeloom.plans.explore import outcome_model, split_cases
+
+    pick = random.Random(2)
+    rows = [(i, None if i % 3 else float(i % 7), pick.choice(["a", "b", None]), pick.choice([0, 1, 1, None]))
+            for i in range(600)]
+    cases = spark.createDataFrame(rows, "id bigint, x double, c string, y int")
+    _, test = split_cases(cases.filter("y is not null"), "id")
+    report = outcome_model(cases, "id", ["x"], ["c"], "y", iterations=5).first()
+    assert report.n_test == test.count()
+    assert report.n_without_outcome == sum(r[3] is None for r in rows)
