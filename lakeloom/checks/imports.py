@@ -110,7 +110,7 @@ def src_08_json_scan(d):
 )
 def snk_02_csv_report(d):
     path = scratch_path(d.spark, "report")
-    write_csv(marts.product_sales(d.sales()), path, single_file=True)
+    write_csv(marts.product_sales(d.sales()), path, single_file=True, sort_by=[F.desc("total_revenue"), "product"])
     return files.read_csv(d.spark, path, "product string, total_quantity bigint, total_revenue decimal(28,2)")
 
 

@@ -60,12 +60,17 @@ def inc_03_merge(d):
     f"select * from (select {EVENT} from events {NEWEST}) where event_type <> 'error'",
 )
 def inc_03_merge_with_deletes(d):
-    kind = F.when(F.col("event_type") == "error", "D").otherwise("U")
+    """Deltas with and without operations, folded; then older changes of all keys arrive."""
+    kind = F.when(F.col("event_type") == "error", inc.DELETE).otherwise(inc.UPDATE)
     stored, source = _split(d)
-    old = inc.latest_by_key(stored, ["user_id"], ["ts", "event_id"])
-    marked = old.withColumn(inc.OP, kind).filter(F.col(inc.OP) != inc.DELETE).drop(inc.OP)
-    delta = inc.rows_after(source, "ts", F.lit(CUT)).withColumn(inc.OP, kind)
-    return inc.merge(marked, delta, ["user_id"], ["ts", "event_id"])
+    table = inc.VersionedTable(d.spark, scratch_path(d.spark, "deletes"), ("user_id",), ("ts", "event_id"))
+    table.add(stored.withColumn(inc.OP, kind))
+    recent = inc.rows_after(source, "ts", F.lit(CUT))
+    table.add(recent.filter("event_type <> 'error'"))
+    table.add(recent.filter("event_type = 'error'").withColumn(inc.OP, F.lit(inc.DELETE)))
+    table.compact()
+    table.add(stored.filter("event_type <> 'error'"))
+    return table.read()
 
 
 @check(
@@ -83,13 +88,15 @@ def inc_04_timestamp_and_key_poll(d):
 
 
 def _sync(d):
-    """Two runs of a two-table sync: first up to a cut, then everything."""
+    """Two runs of a two-table sync, then everything. The first cut falls inside equal days."""
     root = scratch_path(d.spark, "sync")
     marks = inc.Bookmarks(d.spark, f"{root}/marks")
     orders = d.raw("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    days = d.events().select("event_id", F.to_date("ts").alias("day"))  # no key, many ties
     plan = [
-        (inc.SyncRule("orders", "o_orderdate", ("o_orderkey",)), orders, "o_orderdate < '1998-01-01'"),
+        (inc.SyncRule("orders", "o_orderdate", ("o_orderkey",)), orders, "o_orderdate < '1997-12-31' or o_orderdate < '1998-01-01' and o_orderkey % 2 = 0"),
         (inc.SyncRule("events", "event_id"), _events(d), f"ts < '{CUT}'"),
+        (inc.SyncRule("days", "day"), days, "day < '2024-01-12' and event_id % 3 > 0 or day < '2024-01-11'"),
     ]
     for rule, source, early in plan:
         inc.sync_table(source.filter(early), f"{root}/{rule.table}", marks, rule)
@@ -103,7 +110,8 @@ def _sync(d):
 @check(
     "inc_05_sync_tables",
     """select 'orders' as table_name, o_orderkey as key, o_totalprice as value from orders
-    union all select 'events', event_id, value from events""",
+    union all select 'events', event_id, value from events
+    union all select 'days', event_id, cast(day(ts) as double) from events""",
 )
 def inc_05_sync_tables(d):
     targets, _ = _sync(d)
@@ -111,7 +119,10 @@ def inc_05_sync_tables(d):
         F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("value")
     )
     events = targets["events"].read().select(F.lit("events").alias("table_name"), F.col("event_id").alias("key"), "value")
-    return orders.unionByName(events)
+    days = targets["days"].read().select(
+        F.lit("days").alias("table_name"), F.col("event_id").alias("key"), F.day("day").cast("double").alias("value")
+    )
+    return orders.unionByName(events).unionByName(days)
 
 
 @check(
@@ -161,7 +172,8 @@ def inc_08_touched_rows(d):
 @check(
     "inc_09_bookmarks",
     f"""select 'orders' as source, {day('max(o_orderdate)')} as last from orders
-    union all select 'events', cast(max(event_id) as varchar) from events""",
+    union all select 'events', cast(max(event_id) as varchar) from events
+    union all select 'days', cast(cast(max(ts) as date) as varchar) from events""",
 )
 def inc_09_bookmarks(d):
     _, marks = _sync(d)

@@ -243,6 +243,40 @@ def med_06_layout_report(d):
     )
 
 
+def _store_layout_sql(name: str, column: str) -> str:
+    return f"""select '{name}' as layout, count(*) as partitions, cast(sum(n) as bigint) as n_rows, max(n) as max_rows,
+        count(*) filter (where a) as touched_by_date, count(*) filter (where b) as touched_by_store,
+        count(*) filter (where c) as touched_by_customer,
+        cast((2 * cast(max(n) as hugeint) * count(*) * 100 + sum(n)) // (2 * sum(n)) as double) / 100 as skew_ratio
+    from (select {column} as part, count(*) as n, bool_or(rental_date = timestamp '1998-03-05') as a,
+                 bool_or(store_id = 3) as b, bool_or(customer_id = 77) as c from rental group by 1)"""
+
+
+@check(
+    "med_06_layout_by_store",
+    having("rental")
+    + _store_layout_sql("by_month", day("date_trunc('month', rental_date)"))
+    + " union all "
+    + _store_layout_sql("by_store", "store_id")
+    + " union all "
+    + _store_layout_sql("by_customer", "customer_id"),
+)
+def med_06_layout_by_store(d):
+    return layout_report(
+        d.rental(),
+        {
+            "by_month": F.trunc("rental_date", "month"),
+            "by_store": F.col("store_id"),
+            "by_customer": F.col("customer_id"),
+        },
+        {
+            "date": F.col("rental_date") == F.lit("1998-03-05").cast("timestamp_ntz"),
+            "store": F.col("store_id") == 3,
+            "customer": F.col("customer_id") == 77,
+        },
+    )
+
+
 @check(
     "med_07_pruned_read",
     having("payment")

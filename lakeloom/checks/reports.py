@@ -6,7 +6,7 @@ from lakeloom.operators.relational import search
 from lakeloom.plans import reports
 from lakeloom.plans.binding import COPY_KEY
 from lakeloom.session import scratch_path
-from lakeloom.sources.federation import register_folders, register_frames
+from lakeloom.sources.federation import register_folders, register_frames, unused_system
 from lakeloom.sources.relational import FolderSource, import_table
 from pyspark.sql import functions as F
 
@@ -250,11 +250,12 @@ def _kept(df, label):
     + """select customer_id, first_name, email from cust where active order by customer_id limit 5""",
 )
 def federated_join(d):
-    register_folders(d.spark, "lake", {"customer_active": _lake_folder(d)})
+    lake = unused_system("lake")
+    register_folders(d.spark, lake, {"customer_active": _lake_folder(d)})
     register_frames(d.spark, "live", {"customer": d.customer()})
     joined = d.spark.sql(
-        """select l.customer_id, l.first_name, p.email
-        from lake.customer_active l join live_customer p on l.customer_id = p.customer_id"""
+        f"""select l.customer_id, l.first_name, p.email
+        from {lake}.customer_active l join live_customer p on l.customer_id = p.customer_id"""
     )
     return top_rows(joined, [F.col("customer_id")], 5)
 
@@ -270,9 +271,10 @@ def federated_metrics(d):
     metrics = d.payment().groupBy("customer_id").agg(
         F.sum("amount").alias("total_spent"), F.max("payment_date").alias("last_seen")
     )
-    register_folders(d.spark, "gold", {"customer_metrics": _kept(metrics, "metrics")})
+    gold = unused_system("gold")
+    register_folders(d.spark, gold, {"customer_metrics": _kept(metrics, "metrics")})
     register_frames(d.spark, "live", {"customer": d.customer()})
     return d.spark.sql(
-        """select c.first_name, c.last_name, c.email, m.total_spent, m.last_seen
-        from live_customer c join gold.customer_metrics m on c.customer_id = m.customer_id"""
+        f"""select c.first_name, c.last_name, c.email, m.total_spent, m.last_seen
+        from live_customer c join {gold}.customer_metrics m on c.customer_id = m.customer_id"""
     )

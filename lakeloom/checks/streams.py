@@ -5,23 +5,30 @@ from lakeloom.functions.money import money
 from lakeloom.session import scratch_path
 from lakeloom.sources.changes import BAD, parse_changes, read_change_files
 from lakeloom.sources.files import TIME_FORMAT
+from lakeloom.sources.schemas import CHANGE_RECORD
 from lakeloom.streaming import jobs
 from pyspark.sql import functions as F
 
 ROW = "event_id bigint, user_id bigint, event_type string, value double"
-# Longer than the table's time range, so no event counts as late.
-DELAY = "60 days"
 
 
-def _records(d, damage: bool = False):
+def _span(d) -> str:
+    """A delay as long as the table's time range: no event counts as late."""
+    ends = d.events().agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    return f"{(ends.b - ends.a).days + 1 if ends.a else 1} days"
+
+
+def _records(d, damage: bool = False, events=None, schema=None):
     """Change records of all events as JSON files; returns folder and files per batch."""
     path = scratch_path(d.spark, "records")
+    schema = F.lit("public") if schema is None else schema
     value = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
     if damage:
         value = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), "event_id")).otherwise(value)
     files = max(d.spark.sparkContext.defaultParallelism, 3)
-    d.events().select(
-        F.concat(F.lit("shop.public."), "event_type").alias("topic"),
+    rows = d.events() if events is None else events
+    rows.select(
+        F.concat(F.lit("shop."), schema, F.lit("."), "event_type").alias("topic"),
         F.col("user_id").cast("string").alias("key"),
         value.alias("value"),
         F.col("ts").cast("timestamp").alias("ts"),
@@ -61,15 +68,19 @@ def str_01_parsed_changes(d):
     return d.spark.read.parquet(path).withColumnRenamed(BAD, "bad")
 
 
+# Two schemas have tables of the same names.
 @check(
     "str_02_landed_by_table",
-    f"""select event_type as table_name, cast(user_id as varchar) as key, {stamp('ts')} as ts from events""",
+    f"""select 'shop.' || case when event_id % 2 = 0 then 'public' else 'audit' end || '.' || event_type as topic,
+        cast(user_id as varchar) as key, {stamp('ts')} as ts from events""",
 )
 def str_02_landed_by_table(d):
     path, checkpoint = _place(d, "landed")
-    jobs.drain(jobs.land_by_table(_stream(d), path, checkpoint))
-    schema = "topic string, key string, value string, ts timestamp, table_name string"
-    return d.spark.read.schema(schema).json(path).select("table_name", "key", "ts")
+    schema = F.when(F.col("event_id") % 2 == 0, "public").otherwise("audit")
+    records = read_change_files(d.spark, *_records(d, schema=schema))
+    jobs.drain(jobs.land_by_table(records, path, checkpoint))
+    columns = "key string, value string, ts timestamp, topic string"
+    return d.spark.read.schema(columns).json(path).select("topic", "key", "ts")
 
 
 @check("str_03_exactly_once", f"select {EVENT} from events")
@@ -89,7 +100,9 @@ def str_03_exactly_once(d):
 def str_04_latest_state(d):
     path, checkpoint = _place(d, "state")
     keys, newest = ["user_id"], ["ts", "event_id"]
-    jobs.drain(jobs.keep_latest(_typed(d), path, checkpoint, keys, newest))
+    rows = _typed(d)
+    jobs.drain(jobs.keep_latest(rows, path, checkpoint, keys, newest))
+    jobs.fold_batches(d.spark, path, keys, newest)
     return jobs.latest_state(d.spark, path, keys, newest)
 
 
@@ -111,7 +124,8 @@ def _zoned(rows):
 
 def _speed_view(d):
     path, checkpoint = _place(d, "speed")
-    jobs.drain(jobs.publish_updates(_daily(_typed(d), DELAY), path, checkpoint))
+    jobs.drain(jobs.publish_updates(_daily(_typed(d), _span(d)), path, checkpoint))
+    jobs.fold_batches(d.spark, path, WINDOW_KEYS)
     return jobs.read_updates(d.spark, path, WINDOW_KEYS)
 
 
@@ -124,7 +138,7 @@ def str_05_speed_view(d):
 def str_06_served_view(d):
     cut = "2024-01-20 00:00:00"
     batch = jobs.stamp_batch_view(_daily(_zoned(d.events().filter(f"ts < '{cut}'"))), cut)
-    return jobs.serve(batch, _speed_view(d))
+    return jobs.serve(batch, _speed_view(d), cut)
 
 
 @check("str_07_redelivered", f"select {EVENT} from events")
@@ -134,5 +148,31 @@ def str_07_redelivered(d):
     once = parse_changes(read_change_files(d.spark, folder, per_batch), ROW)
     again = parse_changes(read_change_files(d.spark, folder, per_batch), ROW)
     rows = once.unionByName(again).select("event_id", "ts", "user_id", "event_type", "value")
-    jobs.drain(jobs.append_rows(jobs.dedupe(rows, ["event_id"], "ts", DELAY), path, checkpoint))
+    jobs.drain(jobs.append_rows(jobs.dedupe(rows, ["event_id"], "ts", _span(d)), path, checkpoint))
     return d.spark.read.parquet(path)
+
+
+# The newer events come first; of the older ones only those in windows that end after the
+# watermark, 20 days before the newest event, still count.
+@check(
+    "str_08_late_rows",
+    DAILY.replace(
+        "from events",
+        f"""from events where ts >= timestamp '2024-01-16 00:00:00'
+        or date_trunc('day', ts) + interval 1 day > (select max(ts) - interval 20 day from events)""",
+    ),
+)
+def str_08_late_rows(d):
+    path, checkpoint = _place(d, "late")
+    newer, older = (d.events().filter(f"ts {sign} '2024-01-16 00:00:00'") for sign in (">=", "<"))
+    source, _ = _records(d, events=newer)
+
+    def drain():
+        rows = parse_changes(read_change_files(d.spark, source), ROW)
+        jobs.drain(jobs.publish_updates(_daily(rows, "20 days"), path, checkpoint))
+
+    drain()
+    late, _ = _records(d, events=older)
+    d.spark.read.schema(CHANGE_RECORD).json(late).write.options(**TIME_FORMAT).mode("append").json(source)
+    drain()
+    return jobs.read_updates(d.spark, path, WINDOW_KEYS)

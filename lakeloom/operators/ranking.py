@@ -81,13 +81,19 @@ def running_totals(
     kinds = dict(stored.dtypes)
     wide = {n: "decimal(38,2)" if kinds[n].startswith("decimal") else "bigint" for n in names}
     sums = [F.coalesce(F.sum(n).cast(wide[n]), F.lit(0).cast(wide[n])).alias(n) for n in names]
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each partition of the values.
-    offsets = stored.groupBy("_range").agg(*sums).select(
-        "_range", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_offset_{n}") for n in names]
+    # One row for each partition of the values: as many as the session shuffles to.
+    found = sorted(stored.groupBy("_range").agg(*sums).collect(), key=lambda r: r["_range"])
+    running = {n: Decimal(0) if t.startswith("decimal") else 0 for n, t in wide.items()}
+    lines = []
+    with localcontext(prec=40):
+        for row in found:
+            lines.append((row["_range"], *running.values()))
+            running = {n: running[n] + row[n] for n in names}
+    schema = ["_range int", *[f"`_offset_{n}` {t}" for n, t in wide.items()]]
+    offsets = rows.sparkSession.createDataFrame(lines, ", ".join(schema))
+    above = (
+        Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    within = Window.partitionBy("_range").orderBy(order)
-    above = within.rowsBetween(Window.unboundedPreceding, -1)
     table = stored.join(offsets, "_range").select(
         column,
         *names,
@@ -98,9 +104,7 @@ def running_totals(
             for n in names
         ],
     )
-    found = stored.agg(*sums).first().asDict()
-    zero = {n: Decimal(0) if t.startswith("decimal") else 0 for n, t in wide.items()}
-    return Totals(table, {n: zero[n] if found[n] is None else found[n] for n in names})
+    return Totals(table, running)
 
 
 def _by_value(rows: DataFrame, column: str, numbers: DataFrame) -> DataFrame:

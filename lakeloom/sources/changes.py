@@ -54,5 +54,5 @@ def parse_changes(records: DataFrame, schema: str | T.StructType) -> DataFrame:
 
 
 def table_of(topic: Column) -> Column:
-    """Last part of a topic name."""
+    """Last part of a topic name; tables of several schemas may share it."""
     return F.element_at(F.split(topic, r"\."), -1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +12,33 @@ from lakeloom.session import scratch_path
 JDBC_CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 
 
+MADE_HERE = "lakeloom.registered"
+
+
 def register_folders(spark: SparkSession, system: str, folders: Mapping[str, str]) -> None:
-    """Make Parquet folders available as ``system.table`` (external tables)."""
+    """Make Parquet folders available as ``system.table`` (external tables).
+
+    A table of that name that was not registered here is an error and stays untouched;
+    one registered here is pointed to the new folder, its old folder stays. Concurrent jobs
+    should each use a system name of their own (``unused_system``).
+    """
     location = scratch_path(spark, f"catalog-{system}")
     spark.sql(f"create database if not exists `{system}` location '{location}'")
     for table, path in folders.items():
-        spark.sql(f"drop table if exists `{system}`.`{table}`")
-        spark.catalog.createTable(f"{system}.{table}", path=path, source="parquet")
+        if spark.catalog.tableExists(f"`{system}`.`{table}`"):
+            told = spark.sql(f"show tblproperties `{system}`.`{table}`").collect()
+            if (MADE_HERE, "true") not in {(r["key"], r["value"]) for r in told}:
+                raise ValueError(f"table {system}.{table} exists and was not registered here")
+            spark.sql(f"drop table `{system}`.`{table}`")  # external: its files stay
+        spark.sql(
+            f"create table `{system}`.`{table}` using parquet location '{path}'"
+            f" tblproperties ('{MADE_HERE}' = 'true')"
+        )
+
+
+def unused_system(label: str) -> str:
+    """A system name that no other job uses."""
+    return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
 def register_frames(spark: SparkSession, system: str, frames: Mapping[str, DataFrame]) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,10 +99,17 @@ class Lake:
         return read_parquet(self.spark, self.path("gold", name))
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> WriteResult:
-    """CSV with a header. ``single_file`` is for small, aggregated results only."""
-    return _save(df.coalesce(1) if single_file else df, path, "csv", "overwrite",
-                 options={"header": "true"})
+def write_csv(df: DataFrame, path: str, single_file: bool = False,
+              sort_by: Sequence[Column | str] = ()) -> WriteResult:
+    """CSV with a header. ``single_file`` is for small, aggregated results only.
+
+    The rows of a single file meet in one task after a shuffle, so what computes them stays
+    parallel; ``sort_by`` orders them there (an order from before would be lost).
+    """
+    rows = df.repartition(1) if single_file else df
+    if sort_by:
+        rows = rows.sortWithinPartitions(*sort_by)
+    return _save(rows, path, "csv", "overwrite", options={"header": "true"})
 
 
 def export_text(df: DataFrame, path: str, null_string: str = "null",

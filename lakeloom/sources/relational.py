@@ -8,10 +8,11 @@ the remote SQL for JDBC, into the file reader for Parquet.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -48,14 +49,18 @@ class JdbcSource:
             "numPartitions": str(parts),
         }
 
+    def bounds_query(self, table: str, column: str) -> str:
+        """What the database is asked for the ends of a column: one row comes back."""
+        return f"(select min({column}) as lo, max({column}) as hi from {table}) bounds"
+
     def read_split(self, spark: SparkSession, table: str, column: str, parts: int) -> DataFrame:
         """The whole table through several connections.
 
-        The bounds come from one min/max query that the database answers; they
-        only balance the connections, rows outside them are read as well.
+        The bounds are a query of their own that the database answers with one row; they
+        only balance the connections, rows outside them (and NULLs) are read as well.
         """
-        ends = self.read(spark, table).agg(F.min(column), F.max(column)).first()
-        if ends[0] is None:
+        ends = self.read(spark, self.bounds_query(table, column)).first()
+        if ends is None or ends[0] is None:
             return self.read(spark, table)
         return (
             spark.read.format("jdbc")
@@ -91,6 +96,10 @@ class FolderSource:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.root}/{table}{self.suffix}")
 
+    def read_split(self, spark: SparkSession, table: str, column: str, parts: int) -> DataFrame:
+        """Files are split by size as they are."""
+        return self.read(spark, table)
+
 
 @dataclass(frozen=True)
 class FrameSource:
@@ -105,6 +114,10 @@ class FrameSource:
         found = self.frames[table]
         return found() if callable(found) else found
 
+    def read_split(self, spark: SparkSession, table: str, column: str, parts: int) -> DataFrame:
+        """A DataFrame has its partitions already."""
+        return self.read(spark, table)
+
 
 def import_table(
     spark: SparkSession,
@@ -112,9 +125,13 @@ def import_table(
     table: str,
     where: Column | str | None = None,
     columns: Sequence[str] | None = None,
+    split: tuple[str, int] | None = None,
 ) -> DataFrame:
-    """One table, optionally with a row filter and a column list."""
-    df = source.read(spark, table)
+    """One table, optionally with a row filter and a column list.
+
+    ``split`` is the column and the number of connections to read a database table by.
+    """
+    df = source.read_split(spark, table, *split) if split else source.read(spark, table)
     if where is not None:
         df = df.filter(where)
     return df.select(*columns) if columns else df
@@ -131,20 +148,43 @@ class TableStatus:
     error: str = ""
 
 
-def for_each_table(tables: Sequence[str], job: Callable[[str], TableStatus]) -> list[TableStatus]:
-    """Run a job per table; a failing table is reported and does not stop the others."""
-    out = []
-    for table in tables:
+def for_each_table(
+    tables: Sequence[str], job: Callable[[str], TableStatus], at_once: int = 4
+) -> list[TableStatus]:
+    """Run a job per table, ``at_once`` at a time; results in the order of the tables.
+
+    A failing table is reported and does not stop the others. The jobs are only started
+    side by side here; the session's scheduler shares out the executors.
+    """
+
+    def run(table: str) -> TableStatus:
         try:
-            out.append(job(table))
+            return job(table)
         except Exception as failure:  # reported per table, by design
-            out.append(TableStatus(table, ok=False, error=str(failure).splitlines()[0]))
-    return out
+            return TableStatus(table, ok=False, error=(str(failure).splitlines() or [""])[0])
+
+    session = SparkSession.getActiveSession()
+    target = inheritable_thread_target(session)(run) if session else run
+    with ThreadPoolExecutor(max_workers=max(at_once, 1)) as pool:
+        return list(pool.map(target, tables))
 
 
-def import_all(spark: SparkSession, source, write: Callable[[DataFrame, str], TableStatus],
-               tables: Sequence[str] | None = None) -> list[TableStatus]:
-    """Import every table of a source with one writer."""
+def import_all(
+    spark: SparkSession,
+    source,
+    write: Callable[[DataFrame, str], TableStatus],
+    tables: Sequence[str] | None = None,
+    splits: Mapping[str, tuple[str, int]] | None = None,
+    at_once: int = 4,
+) -> list[TableStatus]:
+    """Import every table of a source with one writer.
+
+    ``splits`` names, per table, the column and number of connections to read it by; a
+    table without one is read through one connection.
+    """
+    split = (splits or {}).get
     return for_each_table(
-        list(tables or source.tables()), lambda t: write(import_table(spark, source, t), t)
+        list(tables or source.tables()),
+        lambda t: write(import_table(spark, source, t, split=split(t)), t),
+        at_once,
     )

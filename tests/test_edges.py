@@ -291,3 +291,119 @@ def test_late_records_leave_the_stream_view_and_the_batch_puts_them_right(spark,
 @pytest.mark.parametrize("table", sorted(RENTAL_STORE))
 def test_schemas_parse(table):
     assert struct(RENTAL_STORE[table]).fields
+
+
+def test_late_older_change_does_not_revive_a_deleted_key(spark, folder):
+    from lakeloom.operators.incremental import VersionedTable
+
+    schema = "k int, t int, x string, op string"
+    table = VersionedTable(spark, folder, ("k",), ("t",))
+    table.add(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, t int, x string"))
+    table.add(spark.createDataFrame([(1, 5, None, "D")], schema))  # with operation
+    table.add(spark.createDataFrame([(2, 2, "c")], "k int, t int, x string"))  # without
+    assert {r.k: r.x for r in table.read().collect()} == {2: "c"}
+    table.compact()
+    table.add(spark.createDataFrame([(1, 3, "late", "U")], schema))
+    assert {r.k: r.x for r in table.read().collect()} == {2: "c"}
+    table.compact(drop_deletes=F.col("t") < 4)  # not old enough
+    assert {r.k: r.x for r in table.read().collect()} == {2: "c"}
+    table.add(spark.createDataFrame([(1, 6, "new", "U")], schema))
+    assert {r.k: r.x for r in table.read().collect()} == {1: "new", 2: "c"}
+
+
+def test_sync_reads_ties_and_keeps_data_and_bookmark_together(spark, folder):
+    from lakeloom.operators.incremental import SyncRule, sync_table
+
+    marks = Bookmarks(spark, f"{folder}/marks")
+    rule = SyncRule("log", "day")
+    rows = [(1, 1), (2, 2), (3, 2)]
+    schema = "id int, day int"
+    sync_table(spark.createDataFrame(rows, schema), f"{folder}/log", marks, rule)
+    rows += [(4, 2), (4, 2), (5, 3)]
+    target = sync_table(spark.createDataFrame(rows, schema), f"{folder}/log", marks, rule)
+    assert sorted((r.id, r.day) for r in target.read().collect()) == sorted(rows)
+    # The report of a bookmark is lost: the data's own bookmark still counts.
+    lost = Bookmarks(spark, f"{folder}/other")
+    again = sync_table(spark.createDataFrame(rows, schema), f"{folder}/log", lost, rule)
+    assert again.mark() == "3" and again.read().count() == len(rows)
+
+
+def test_federation_leaves_other_tables_alone(spark, folder):
+    from lakeloom.sources.federation import register_folders, unused_system
+
+    system = unused_system("mine")
+    spark.sql(f"create database {system} location '{folder}/db'")
+    spark.sql(f"create table {system}.t using parquet as select 7 as x")
+    spark.range(3).write.parquet(f"{folder}/t")
+    with pytest.raises(ValueError):
+        register_folders(spark, system, {"t": f"{folder}/t"})
+    assert spark.table(f"{system}.t").first().x == 7
+    register_folders(spark, system, {"u": f"{folder}/t"})
+    spark.range(5).write.parquet(f"{folder}/u")
+    register_folders(spark, system, {"u": f"{folder}/u"})
+    assert spark.table(f"{system}.u").count() == 5
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+    spark.sql(f"drop database {system} cascade")
+
+
+def test_parallel_imports(spark):
+    from lakeloom.sources.relational import TableStatus
+
+    source = JdbcSource("jdbc:example:db", "org.example.Driver")
+    assert source.bounds_query("film", "film_id") == (
+        "(select min(film_id) as lo, max(film_id) as hi from film) bounds")
+    assert source.split_options(1, 9, "film_id", 4) == {
+        "partitionColumn": "film_id", "lowerBound": "1", "upperBound": "9", "numPartitions": "4"}
+    asked = []
+
+    class Source(FrameSource):
+        def read_split(self, spark, table, column, parts):
+            asked.append((table, column, parts))
+            return self.read(spark, table)
+
+    frames = {f"t{i}": spark.range(i) for i in range(6)}
+    status = import_all(spark, Source(frames), lambda df, t: TableStatus(t, True, df.count()),
+                        splits={"t3": ("id", 4)}, at_once=3)
+    assert [(s.table, s.rows) for s in status] == [(f"t{i}", i) for i in range(6)]
+    assert asked == [("t3", "id", 4)]
+
+
+def test_folded_and_uncommitted_batches(spark, folder):
+    def batch(number, rows, committed=True):
+        writer = spark.createDataFrame(rows, "k int, t int, x int").write
+        if not committed:
+            writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        writer.parquet(f"{folder}/{jobs.BATCH}={number}")
+
+    def state():
+        return {r.k: r.x for r in jobs.latest_state(spark, folder, ["k"], ["t"]).collect()}
+
+    batch(0, [(1, 1, 1), (2, 5, 2)])
+    batch(1, [(1, 2, 3), (2, 4, 4)])
+    batch(2, [(1, 9, 99)], committed=False)
+    assert state() == {1: 3, 2: 2}
+    jobs.fold_batches(spark, folder, ["k"], ["t"])
+    jobs.fold_batches(spark, folder, ["k"], ["t"])
+    assert state() == {1: 3, 2: 2}
+    batch(3, [(2, 6, 7), (3, 1, 8)])
+    assert state() == {1: 3, 2: 7, 3: 8}
+    assert jobs.read_batches(spark, folder).count() == 4
+
+
+@pytest.mark.parametrize("codec", ["zstd", "snappy"])
+def test_files_have_the_codec_asked_for(spark, folder, codec):
+    import pyarrow.parquet as pq
+
+    lake = Lake(spark, folder)
+    lake.write_silver(spark.range(100), "s", compression=codec)
+    lake.write_gold(spark.range(100), "g", compression=codec)
+    found = [p for p in Path(folder.removeprefix("file:")).rglob("*.parquet")]
+    assert len(found) >= 2
+    assert {pq.ParquetFile(p).metadata.row_group(0).column(0).compression for p in found} == {codec.upper()}
+
+
+def test_single_file_keeps_its_order(spark, folder):
+    write_csv(spark.range(1000).repartition(7), f"{folder}/one", single_file=True, sort_by=[F.desc("id")])
+    parts = list(Path(f"{folder}/one".removeprefix("file:")).glob("part-*.csv"))
+    assert len(parts) == 1
+    assert [int(x) for x in parts[0].read_text().split()[1:]] == list(range(999, -1, -1))

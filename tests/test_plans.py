@@ -76,3 +76,44 @@ def test_no_cross_join_and_no_single_task_sort(spark, name):
         if bad == "Exchange SinglePartition" and name == "orphans":
             continue  # one row of totals
         assert bad not in text, bad
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    """Plans as they are when no side is small."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def exchanges(df) -> int:
+    return plan(df).split("== Physical Plan ==")[1].split("== Initial")[0].count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize(("name", "most"), [
+    ("film_list", 6), ("actor_info", 8), ("item_holder", 5), ("flt_05_open_rentals", 2),
+    ("film_search", 0), ("agg_13_ordered_list", 1), ("agg_14_distinct_ordered_list", 4), ("monthly_revenue", 6)])
+def test_number_of_shuffles(spark, no_broadcasts, name, most):
+    assert exchanges(REGISTRY[name].run(spark, FOLDER)) <= most
+
+
+def test_open_rentals_are_filtered_before_the_join(domain, no_broadcasts):
+    tree = domain.rental(only_open=True)._jdf.queryExecution().executedPlan().toString()
+    join, condition = tree.index("Join"), tree.index("Filter (CASE WHEN NOT (l_linestatus")
+    assert condition > join  # the tree is printed from the top
+
+
+def test_small_delta_does_not_shuffle_the_table(spark, folder):
+    from lakeloom.operators.incremental import VersionedTable
+
+    table = VersionedTable(spark, folder, ("k",), ("t",))
+    table.add(spark.range(20_000).selectExpr("id as k", "1 as t", "uuid() as x"))
+    table.add(spark.range(3).selectExpr("id as k", "2 as t", "'new' as x"))
+    df = table.read()
+    assert len(df.collect()) == 20_000
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = [line for line in final.splitlines() if "LeftAnti" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)

@@ -30,3 +30,21 @@ def test_contract(spark):
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(REGISTRY) - set(contract.oracle_sql()) == {"outcome_model"}
+
+
+@pytest.mark.parametrize(("name", "order"), [
+    ("monthly_revenue", "year, month, rating"),
+    ("monthly_revenue_by_category", "year, month, category"),
+    ("product_sales", "total_revenue desc, product"),
+    ("category_sales", "total_revenue desc, category"),
+    ("common_value_by_group", "group_start"),
+])
+def test_sorted_results_are_in_order(spark, db, name, order):
+    check = REGISTRY[name]
+    df = check.run(spark, FOLDER)
+    want = db.sql(f"select * from ({check.sql}) order by {order}")
+    at = [want.columns.index(c) for c in df.columns]
+    keys = [c.split()[0] for c in order.split(", ")]
+    got = [tuple(r[k] for k in keys) for r in df.collect()]
+    rows = [tuple(r[i] for i in at) for r in want.fetchall()]
+    assert got == [tuple(r[df.columns.index(k)] for k in keys) for r in rows]
