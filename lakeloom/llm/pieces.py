@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.shared import Remembered, batches_of, on_worker, over_batches, texts
+from lakeloom.llm.shared import Remembered, batches_of, gathered, on_worker, over_batches, texts
 
 MARKER = "▁"
 MARKER_BYTES = MARKER.encode()
 UNKNOWN_PENALTY = 10.0  # below the worst piece, for a character in byte fallback
+TEXT_AT_ONCE = 8 << 20  # bytes
 LONG_WORD = 96  # bytes; longer words are segmented one by one
 
 # A word: blanks and what follows up to the next blank or line break. A line break, or a
@@ -259,7 +260,7 @@ class Encoder:
         for text in batch:
             some.append(text)
             size += len(text)
-            if size > 1 << 22:
+            if size > TEXT_AT_ONCE:
                 results += self._encode(some)
                 some, size = [], 0
         return results + self._encode(some)
@@ -298,7 +299,7 @@ def encode(
 
     def run(batches):
         encoder = on_worker(f"pieces_{zlib.crc32(model)}", lambda: Encoder(model))
-        for batch in batches_of(batches):
+        for batch in gathered(batches, "_text", TEXT_AT_ONCE):
             there = [v.as_py() for v in batch.column("_text").is_valid()]
             found = encoder.encode(texts(batch, "_text"))
             sizes = np.array([len(f) for f in found], np.int64)
@@ -353,7 +354,7 @@ def round_trip(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
         is_byte = np.zeros(len(pieces.bytes_of), bool)
         is_byte[pieces.byte_id] = True
         score = np.where(is_byte, pieces.unknown, pieces.score)
-        for batch in batches_of(batches):
+        for batch in gathered(batches, "_text", TEXT_AT_ONCE):
             values = texts(batch, "_text")
             found = encoder.encode(values)
             yield pa.RecordBatch.from_arrays(

@@ -38,12 +38,14 @@ from tokenizers import Tokenizer
 from lakeloom.llm.shared import (
     Remembered,
     batches_of,
+    gathered,
     on_worker,
     over_batches,
+    ragged,
     record_batch,
     session,
 )
-from lakeloom.session import scratch_path
+from lakeloom.session import materialize, scratch_path
 
 LANES = 512
 BLOCK = 1 << 18  # ids in a block
@@ -57,10 +59,13 @@ MAX_IDS = 1 << 24
 
 # --- tokenising --------------------------------------------------------------------
 
-# Latin letters that are lower-cased and encoded one by one, then plain punctuation: such a
-# word is at most two of the tokenizer's own pre-tokens. All other words go through the
-# whole tokenizer.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)([.,!?;:]*)")
+# A word of Latin letters is one pre-token of the tokenizer; it is encoded without its
+# normalising and splitting. Plain punctuation behind it is another one. All other words go
+# through the whole tokenizer as they are.
+LETTERS = re.compile("[a-zÀ-ÖØ-öø-įı-ɏ]*")
+TAIL = ".,!?;:"
+REMEMBERED_BYTES = 160 << 20
+TEXT_AT_ONCE = 12 << 20  # bytes; the more, the fewer words are looked up again
 
 
 def byte_letters() -> dict[int, str]:
@@ -81,52 +86,71 @@ class WordTokenizer:
         for token, i in self.bare.get_vocab(with_added_tokens=False).items():
             self.end[i] = token.endswith("</w>")
         self.letters = byte_letters()
-        self.words = Remembered(self._encode)
-
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found: list[np.ndarray] = []
-        simple, parts, counts, rest = [], [], [], []
-        for i, word in enumerate(words):
-            match = SIMPLE.fullmatch(word)
-            if match:
-                own = [p for p in (match[1].lower().translate(self.letters), match[2]) if p]
-                simple.append(i)
-                counts.append(len(own))
-                parts += own
-            else:
-                rest.append(i)
-        lengths = np.zeros(len(words), np.int64)
-        pieces = [np.empty(0, np.int32)] * len(words)  # an empty word has no ids
-        if parts:
-            groups = [parts[k : k + 500] for k in range(0, len(parts), 500)]
-            codes = self.bare.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
-            flat = np.concatenate([np.array(e.ids, np.int32) for e in codes])
-            stops = np.flatnonzero(self.end[flat]) + 1
-            if len(stops) != len(parts):
-                raise ValueError("a word's last token does not show its end")
-            cuts = np.r_[0, stops][np.cumsum(np.r_[0, counts])]
-            lengths[simple] = np.diff(cuts)
-            found = np.split(flat, cuts[1:-1])
-            for i, ids in zip(simple, found):
-                pieces[i] = ids
-        for i, code in zip(
-            rest, self.full.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)
-        ):
-            pieces[i] = np.array(code.ids, np.int32)
-            lengths[i] = len(code.ids)
-        return np.concatenate([*pieces, np.empty(0, np.int32)]), lengths
+        self.stems = Remembered(self._encode_stems, REMEMBERED_BYTES)
+        self.words = Remembered(self._encode_words, REMEMBERED_BYTES)
+
+    def _encode_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of words of letters; other stems, and the empty one, have no ids here."""
+        simple = [i for i, s in enumerate(stems) if s and LETTERS.fullmatch(s)]
+        parts = [
+            s if s.isascii() else s.lower().translate(self.letters)
+            for s in (stems[i] for i in simple)
+        ]
+        lengths = np.zeros(len(stems), np.int64)
+        if not parts:
+            return np.empty(0, np.int32), lengths
+        groups = [parts[k : k + 500] for k in range(0, len(parts), 500)]
+        codes = self.bare.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
+        flat = np.concatenate([np.array(e.ids, np.int32) for e in codes])
+        stops = np.flatnonzero(self.end[flat]) + 1
+        if len(stops) != len(parts):
+            raise ValueError("a word's last token does not show its end")
+        lengths[simple] = np.diff(np.r_[0, stops])
+        return flat, lengths
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        codes = self.full.encode_batch_fast(words, add_special_tokens=False)
+        found = [np.array(c.ids, np.int32) for c in codes]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.concatenate([*found, np.empty(0, np.int32)]), lengths
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; a null text has none."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         flat = split.flatten()
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-        if isinstance(flat, pa.ChunkedArray):
-            flat = flat.combine_chunks()
         coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        place = self.words.places([w for w in distinct])[coded.indices.to_numpy()]
-        return [self.words.ids(place[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+        words = coded.dictionary
+        # Distinct words are a stem and a tail of punctuation; few stems are no letters only.
+        trimmed = pc.utf8_rtrim(words, TAIL)
+        stem = pc.ascii_lower(trimmed).dictionary_encode()
+        first = self.stems.places(strings(stem.dictionary))[stem.indices.to_numpy()]
+        letters = pa.array(self.stems.lengths[first] > 0, pa.bool_())
+        longer = pc.not_equal(pc.binary_length(words), pc.binary_length(trimmed))
+        tail = pc.replace_with_mask(
+            pc.if_else(letters, "", words),
+            pc.and_(letters, longer),
+            pc.replace_substring_regex(
+                words.filter(pc.and_(letters, longer)), f"^.*?([{TAIL}]+)$", r"\1"
+            ),
+        ).dictionary_encode()
+        rest = self.words.places(strings(tail.dictionary))[tail.indices.to_numpy()]
+        # The ids of the distinct words, then those of the words in order.
+        ids = np.concatenate([self.stems.flat, self.words.flat])
+        starts = np.stack([self.stems.starts[first], self.words.starts[rest] + len(self.stems.flat)], 1)
+        lengths = np.stack([self.stems.lengths[first], self.words.lengths[rest]], 1)
+        ids = ids[ragged(starts.ravel(), lengths.ravel())]
+        lengths = lengths.sum(axis=1)
+        starts = np.cumsum(lengths) - lengths
+        at = coded.indices.to_numpy()
+        lengths = lengths[at]
+        line = ids[ragged(starts[at], lengths)]
+        ends = np.r_[0, np.cumsum(lengths)][offsets]
+        return [line[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def strings(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False)
 
 
 def tokenize(docs: DataFrame, definition: str, end_id: int, text: str = "text") -> DataFrame:
@@ -149,7 +173,7 @@ def tokenize(docs: DataFrame, definition: str, end_id: int, text: str = "text")
         tokenizer = on_worker(name, lambda: WordTokenizer(definition))
         kind = "<u2" if max(len(tokenizer.end), end_id + 1) <= 1 << 16 else "<u4"
         end = np.array([end_id], kind).tobytes()
-        for batch in batches_of(batches):
+        for batch in gathered(batches, "text", TEXT_AT_ONCE):
             found = tokenizer.encode(batch.column("text"))
             yield record_batch(
                 {
@@ -483,7 +507,8 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             total = crc32_joined(total, piece["crc"], 4 * piece["n"])
         return total
 
-    parts = _read(spark, path, crcs, "crc bigint")
+    # The files are decoded once, though their parts are asked for twice.
+    parts = materialize(_read(spark, path, crcs, "crc bigint"), "parts")
     alone = parts.where("n = total").select(
         "doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32")
     )

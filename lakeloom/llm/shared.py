@@ -6,6 +6,7 @@ import importlib
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -170,22 +171,40 @@ class Remembered:
         self.starts = self.lengths = np.empty(0, np.int64)
         self.held = 0
 
-    def places(self, words: list) -> np.ndarray:
+    def places(self, words) -> np.ndarray:
         """Where the words are in ``starts`` and ``lengths``, until the next call."""
-        new = [w for w in words if w not in self.known]
-        if new and self.held > self.limit:
+        found = self._look_up(words)
+        new = list(dict.fromkeys(words[i] for i in np.flatnonzero(found < 0).tolist()))
+        if not new:
+            return found
+        if self.held > self.limit:
             self._forget()
             new = list(dict.fromkeys(words))
-        if new:
-            flat, lengths = self.encode(new)
-            first = len(self.starts)
-            self.known.update(zip(new, range(first, first + len(new))))
-            starts = len(self.flat) + np.cumsum(lengths) - lengths
-            self.flat = np.concatenate([self.flat, flat])
-            self.starts = np.concatenate([self.starts, starts])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.held += sum(map(len, new)) + 4 * len(flat) + 160 * len(new)
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        flat, lengths = self.encode(new)
+        first = len(self.starts)
+        self.known.update(zip(new, range(first, first + len(new))))
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        self.flat = np.concatenate([self.flat, flat])
+        self.starts = np.concatenate([self.starts, starts])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.held += sum(map(len, new)) + 4 * len(flat) + 160 * len(new)
+        return self._look_up(words)
+
+    def _look_up(self, words) -> np.ndarray:
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
 
     def ids(self, places: np.ndarray) -> np.ndarray:
         return self.flat[ragged(self.starts[places], self.lengths[places])]
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in fewer batches, of about ``size`` bytes in the column or one row."""
+    held, total = [], 0
+    for batch in batches_of(batches):
+        held.append(batch)
+        total += batch.column(column).nbytes
+        if total >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
