@@ -47,15 +47,15 @@ from lakeloom.llm.shared import (
 )
 from lakeloom.session import materialize, scratch_path
 
-LANES = 512
+LANES = 1024
 BLOCK = 1 << 18  # ids in a block
-CHECKPOINT = 1 << 16  # ids between checkpoints, a multiple of LANES
+CHECKPOINT = 1 << 17  # ids between checkpoints, a multiple of LANES
 SHARD = 1 << 24  # ids in a shard, about
 LOW = np.uint64(1 << 31)  # states are from here up to 2^63
 WORD_BITS = np.uint64(32)
 HEADER = "<4sIIIII"  # magic, ids, documents, checkpoints, words, crc32 of the ids
 MAGIC = b"rANS"
-MAX_IDS = 1 << 24
+MAX_IDS = 1 << 20  # different ids: bounds what the driver and every task hold to 16 MB
 
 # --- tokenising --------------------------------------------------------------------
 
@@ -64,8 +64,8 @@ MAX_IDS = 1 << 24
 # through the whole tokenizer as they are.
 LETTERS = re.compile("[a-zÀ-ÖØ-öø-įı-ɏ]*")
 TAIL = ".,!?;:"
-REMEMBERED_BYTES = 160 << 20
-TEXT_AT_ONCE = 12 << 20  # bytes; the more, the fewer words are looked up again
+REMEMBERED_STEMS, REMEMBERED_WORDS = 96 << 20, 16 << 20  # bytes in a Python worker
+TEXT_AT_ONCE = 8 << 20  # bytes; the more, the fewer words are looked up again
 
 
 def byte_letters() -> dict[int, str]:
@@ -86,8 +86,8 @@ class WordTokenizer:
         for token, i in self.bare.get_vocab(with_added_tokens=False).items():
             self.end[i] = token.endswith("</w>")
         self.letters = byte_letters()
-        self.stems = Remembered(self._encode_stems, REMEMBERED_BYTES)
-        self.words = Remembered(self._encode_words, REMEMBERED_BYTES)
+        self.stems = Remembered(self._encode_stems, REMEMBERED_STEMS)
+        self.words = Remembered(self._encode_words, REMEMBERED_WORDS)
 
     def _encode_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Of words of letters; other stems, and the empty one, have no ids here."""
@@ -394,7 +394,7 @@ def write(docs: DataFrame, definition: str, path: str, end_id: int = 1) -> None:
     counted = over_batches(rows.select("ids", "n"), count, "id bigint, count bigint")
     counted.groupBy("id").agg(F.sum("count").alias("count")).write.parquet(f"{path}/tables")
     frequencies = read_table(spark, path)
-    total = sum(c for _, c in frequencies)
+    total = int(frequencies[:, 1].sum())
     shared = spark.sparkContext.broadcast(frequencies)  # at most one entry an id of the tokenizer
 
     def blocks(batches):
@@ -440,16 +440,17 @@ def write(docs: DataFrame, definition: str, path: str, end_id: int = 1) -> None:
     )
 
 
-def read_table(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+def read_table(spark: SparkSession, path: str) -> np.ndarray:
+    """Rows of (id, count), in ascending order of ids."""
     rows = spark.read.parquet(f"{path}/tables").limit(MAX_IDS + 1).collect()
     if len(rows) > MAX_IDS:
         raise ValueError(f"more than {MAX_IDS} different ids")
-    return sorted((r["id"], r["count"]) for r in rows)
+    both = np.array([(r["id"], r["count"]) for r in rows], np.int64).reshape(-1, 2)
+    return both[np.argsort(both[:, 0])]
 
 
-def table_of(frequencies: list[tuple[int, int]]) -> Table:
-    both = np.array(frequencies, np.int64).reshape(-1, 2)
-    return Table(both[:, 0], both[:, 1])
+def table_of(frequencies: np.ndarray) -> Table:
+    return Table(frequencies[:, 0], frequencies[:, 1])
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
