@@ -58,7 +58,11 @@ def build_session(
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session; they stay set.
+
+    Results depend on them (time zone, ANSI arithmetic), so a session that needs other
+    values should be another one (``spark.newSession()``).
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -83,9 +87,26 @@ def scratch_root(spark: SparkSession) -> str:
     return scratch_root(spark)
 
 
+_made_here: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _made_here.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders this process named; returns how many there were.
+
+    For callers that have read or stored all results: DataFrames that still refer to
+    scratch tables cannot be read afterwards.
+    """
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in _made_here]
+    found = [p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True) for p in paths]
+    _made_here.clear()
+    return sum(found)
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -407,3 +407,14 @@ def test_single_file_keeps_its_order(spark, folder):
     parts = list(Path(f"{folder}/one".removeprefix("file:")).glob("part-*.csv"))
     assert len(parts) == 1
     assert [int(x) for x in parts[0].read_text().split()[1:]] == list(range(999, -1, -1))
+
+
+def test_scratch_is_removed_on_request(spark, monkeypatch):
+    from lakeloom import session
+
+    monkeypatch.setattr(session, "_made_here", [])
+    first = session.materialize(spark.range(3), "gone")
+    assert first.count() == 3
+    path = session._made_here[0]
+    assert session.clear_scratch(spark) == 1 and session._made_here == []
+    assert not Path(path.removeprefix("file:")).exists()
