@@ -116,21 +116,22 @@ usable as (
       and len(list_filter(x, lambda v: v is null or not isfinite(v))) = 0
       and len(list_filter(x, lambda v: v <> 0)) > 0),
 links as (
-    select a.n, a.vec_id as source, b.vec_id as target
+    select a.n as source, b.n as target
     from usable a join usable b
       on a.label = b.label and len(a.x) = len(b.x) and a.n <> b.n
      and list_dot_product(a.x, b.x) * a.scale * b.scale >= 0.93),
 reach as (
-    select vec_id as source, vec_id as target from usable
+    select n as source, n as target from usable
     union
     select r.source, l.target from reach r join links l on r.target = l.source),
-lowest as (select source, min(target) as component_id from reach group by source),
-counts as (select n, count(*) as n_links from links group by n)
+lowest as (
+    select source, min(vec_id) as component_id from reach join usable on n = target
+    group by source),
+counts as (select source, count(*) as n_links from links group by source)
 select c.vec_id, coalesce(n_links, 0) as n_links,
        coalesce(component_id, c.vec_id) as component_id,
        coalesce(c.vec_id = coalesce(component_id, c.vec_id), false) as kept
-from cleaned c left join counts using (n)
-left join usable u using (n) left join lowest l on l.source = u.vec_id
+from cleaned c left join counts k on k.source = c.n left join lowest l on l.source = c.n
 """
 
 

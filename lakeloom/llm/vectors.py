@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 from lakeloom.llm.shared import batches_of, components, forest, over_batches, record_batch
 from lakeloom.session import materialize
 
-SHARD = 2048  # nodes of a block, about
+SHARD = 1024  # nodes of a block, about; larger shards are parted
+PER_PIVOT = 128  # a shard gets a pivot for so many members, ``PIVOTS`` at most
 PIVOTS = 256
 OVERLAP = 3
 CANDIDATES, DEGREE, ALPHA = 96, 24, 1.2
 LONG_LINKS = 8  # seeded random neighbours, without which a large group of copies is an island
-EXPANSIONS = 32  # nodes out of range that a search expands
+EXPANSIONS, BEAM = 24, 4  # nodes out of range that a search expands, and at a time
 QUERIES_AT_ONCE = 128
 MAX_LEVELS = 12
 
@@ -110,10 +111,9 @@ def part_once(members: DataFrame, sizes: DataFrame, level: int, threshold: float
     """
     large = sizes.select(
         "shard",
-        F.greatest(F.lit(1), (F.col("n") / F.least(F.lit(PIVOTS), 4 * F.col("n") / SHARD)).cast("bigint"))
-        .alias("every"),
+        F.greatest(F.lit(PER_PIVOT), (F.col("n") / PIVOTS).cast("int")).alias("every"),
         F.ceil(F.col("n") / (64 * SHARD)).cast("int").alias("salts"),
-    )
+    )
     hashed = F.xxhash64(F.col("cid"), F.lit(level))
     rows = members.join(large, "shard")
     pivots = rows.where(F.pmod(hashed, "every") == 0).select(
@@ -146,10 +146,10 @@ def part_once(members: DataFrame, sizes: DataFrame, level: int, threshold: float
                 pivots += data[a:middle]
                 if middle == b:
                     continue
-                if block is None:
-                    block = apart(np.array(pivots).reshape(len(pivots), -1), threshold)
                 x = np.array(data[middle:b])
-                yield assigned(current[0], ids[middle:b], x, block)
+                if block is None:
+                    block = apart(np.array(pivots).reshape(len(pivots), x.shape[1]), threshold)
+                yield assigned(current[0], ids[middle:b], x, block, threshold)
 
     def matrix_rows(column):
         return [np.frombuffer(v, "<f8") for v in column.to_pylist()]
@@ -171,14 +171,24 @@ def apart(pivots: np.ndarray, threshold: float) -> np.ndarray:
     return pivots[kept]
 
 
-def assigned(shard: str, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray) -> pa.RecordBatch:
-    if len(pivots) < 2:  # nothing parts this shard
-        names, rows, parted = [shard] * len(ids), np.arange(len(ids)), False
+def assigned(
+    shard: str, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, threshold: float
+) -> pa.RecordBatch:
+    """Members in the shards of their nearest pivots.
+
+    A member within the threshold of its nearest pivot goes there only: so do its near
+    copies, and a large group of them is not copied along with its whole neighbourhood.
+    """
+    if len(pivots) < 2:  # one: nothing parts this shard; none: the next level draws again
+        names, rows, parted = [shard] * len(ids), np.arange(len(ids)), len(pivots) == 0
     else:
-        k = min(OVERLAP, len(pivots))
-        best = np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :k]
-        names = [f"{shard}/{p}" for p in best.ravel().tolist()]
-        rows, parted = np.repeat(np.arange(len(ids)), k), True
+        cosine = x @ pivots.T
+        best = np.argsort(-cosine, axis=1, kind="stable")[:, :OVERLAP]
+        wanted = np.ones(best.shape, bool)
+        wanted[cosine.max(axis=1) >= threshold, 1:] = False
+        rows, place = np.nonzero(wanted)
+        names = [f"{shard}/{p}" for p in best[rows, place].tolist()]
+        parted = True
     return record_batch(
         {
             "cid": (ids[rows], pa.int64()),
@@ -310,14 +320,15 @@ def search(
         open_[:, medoid] = seen[:, medoid]
         expanded = np.zeros(len(q), np.int64)
         while True:
-            best = open_.argmax(axis=1)
-            top = open_[np.arange(len(q)), best]
-            go = (top >= threshold) | ((expanded < EXPANSIONS) & (top > -np.inf))
-            if not go.any():
-                break
             front = open_ >= threshold
-            front[go, best[go]] = True
+            more = np.flatnonzero((expanded < EXPANSIONS) & ~front.any(axis=1))
+            if len(more):
+                beam = min(BEAM, len(x))
+                best = np.argpartition(-open_[more], beam - 1, axis=1)[:, :beam]
+                front[more[:, None], best] = open_[more[:, None], best] > -np.inf
             qi, ni = np.nonzero(front)
+            if not len(qi):
+                break
             open_[qi, ni] = -np.inf
             expanded += front.sum(axis=1)
             fresh = np.zeros(seen.shape, bool)
@@ -443,8 +454,8 @@ def near_duplicates(
     vec_id reachable by links, ``kept`` tells whether that is the row's own. Rows with a null
     id, label, vector or component, with a zero or non-finite component vector, or without
     components link with nothing (a null id is not kept); vectors of different length never
-    link. A repeated id stays repeated and its rows share a component; equal vectors link.
-    Other columns are ignored.
+    link. Rows that repeat an id are vectors of their own, each with its own links; equal
+    vectors link. Other columns are ignored.
     """
     rows = materialize(units(vectors, id_column, vector, label), "units")
     classes = materialize(
@@ -463,17 +474,7 @@ def near_duplicates(
     members = materialize(shards(classes, threshold), "shards")
     found = materialize(links(members, adjacency(members), weights, threshold), "found")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    # Two classes may hold rows of one id; the id connects them.
-    ids = rows.where("key is not null").join(classes.select("key", "cid"), "key")
-    same_id = (
-        ids.groupBy("vec_id")
-        .agg(F.min("cid").alias("a"), F.max("cid").alias("b"))
-        .where("a < b")
-        .select("vec_id", "a")
-        .join(ids.select("vec_id", F.col("cid").alias("b")).distinct(), "vec_id")
-        .select("a", "b")
-    )
-    edges = found.select(F.col("cid").alias("a"), F.col("root").alias("b")).unionByName(same_id)
+    edges = found.select(F.col("cid").alias("a"), F.col("root").alias("b"))
     roots = components(edges).withColumnRenamed("node", "cid")
     named = classes.select("cid", "key", "first_id", "weight").join(roots, "cid", "left")
     named = named.withColumn("root", F.coalesce("root", "cid"))

@@ -36,8 +36,6 @@ def slow(rows, threshold):
             if len(units[i]) == len(units[j]) and units[i] @ units[j] >= threshold:
                 near[i][j] = near[j][i] = True
                 root[find(i)] = find(j)
-            if rows[i][0] == rows[j][0]:
-                root[find(i)] = find(j)
     out = []
     for i, r in enumerate(rows):
         low = r[0]
@@ -70,14 +68,22 @@ def test_one_block_matches_brute_force(spark):
 
 def test_parted_shards_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD", 64)
+    monkeypatch.setattr(vectors, "PER_PIVOT", 16)
     check(spark, clusters(60, 5, 0.1, seed=1))
 
 
 def test_hot_group_is_dealt_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD", 32)
+    monkeypatch.setattr(vectors, "PER_PIVOT", 8)
     check(spark, clusters(1, 150, 0.05, seed=2) + [(1000 + i, *r[1:]) for i, r in enumerate(clusters(30, 2, 0.1, 3))])
 
 
+def test_shards_without_a_pivot_are_drawn_again(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD", 8)
+    monkeypatch.setattr(vectors, "PER_PIVOT", 12)
+    check(spark, clusters(40, 3, 0.1, seed=5))
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
