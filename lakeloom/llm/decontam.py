@@ -31,7 +31,7 @@ from lakeloom.llm.shared import (
 )
 
 Q = 8  # one 64-bit word
-WINDOW_BYTES = 120
+WINDOW_BYTES = 80
 EDIT_RATE = 0.1
 SLICE_BYTES = 4 << 20  # benchmark text in one index; its size in memory is some 40 times that
 SCAN_BYTES = 1 << 20  # text scanned at once, and the length of a piece of a longer text

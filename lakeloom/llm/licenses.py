@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.shared import batches_of, over_batches, texts
+from lakeloom.llm.shared import batches_of, over_batches, texts, word_runs
 
 # Letters to lower case, all other ASCII but digits to blanks; bytes beyond ASCII are words.
 WORD_BYTES = bytes(
@@ -138,8 +138,8 @@ def automaton(phrases: dict[str, tuple[str, bool]]) -> ahocorasick.Automaton:
 
 def scan(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
     """The columns of ``licenses`` for one text."""
-    words = text.translate(WORD_BYTES).split()
-    line = (b" " + b" ".join(words) + b" ").decode("latin-1")
+    runs = [(len(w), b" ".join(w)) for w in word_runs(text.translate(WORD_BYTES))]
+    line = b" ".join([b"", *[run for _, run in runs], b""]).decode("latin-1")
     n_base, first, last, counted, place = 0, None, None, 0, -1
     base_labels, labels, score, degrees, tagged = set(), set(), 0.0, [], False
     starts = []
@@ -169,7 +169,7 @@ def scan(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
             labels |= names
             score = 1.0
     return (
-        len(words),
+        sum(n for n, _ in runs),
         n_base,
         first,
         last,

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.shared import batches_of, over_batches, record_batch, session, texts
+from lakeloom.llm.shared import batches_of, over_batches, record_batch, session, texts, word_runs
 from lakeloom.session import materialize
 
 CLASSES = CLASS_SIZE = 32
@@ -73,7 +73,8 @@ def vocabulary(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
 
         for batch in batches_of(batches):
             for text in texts(batch, "text"):
-                counts.update(text.translate(WORD_BYTES).split())
+                for words in word_runs(text.translate(WORD_BYTES)):
+                    counts.update(words)
                 if len(counts) > DISTINCT_AT_ONCE:
                     yield counted()
                     counts = Counter()
@@ -120,10 +121,11 @@ class Network:
 
     def tokens(self, text: bytes) -> np.ndarray:
         known, crc, first = self.ids.get, zlib.crc32, VOCABULARY - BUCKETS
-        words = text.translate(WORD_BYTES).split()
-        return np.fromiter(
-            [known(w) or first + crc(w) % BUCKETS for w in words], np.int32, len(words)
-        )
+        runs = [
+            np.array([known(w) or first + crc(w) % BUCKETS for w in words], np.int32)
+            for words in word_runs(text.translate(WORD_BYTES))
+        ]
+        return np.concatenate([np.empty(0, np.int32), *runs])
 
     def joined(self, batch: list[bytes]):
         """(tokens with edges between the texts, tokens' places, text of each token)."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import re
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -53,6 +54,22 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [v or b"" for v in values.cast(binary).to_pylist()]
 
 
+BLANK = re.compile(rb"[\x20\x09-\x0d]")
+RUN_BYTES = 1 << 22
+
+
+def word_runs(text: bytes) -> Iterator[list[bytes]]:
+    """The words between ASCII blanks, in lists of bounded size whatever the text's length."""
+    at = 0
+    while at < len(text):
+        cut = BLANK.search(text, at + RUN_BYTES)
+        end = cut.start() if cut else len(text)
+        words = text[at:end].split()
+        if words:
+            yield words
+        at = end
+
+
 def record_batch(columns: dict[str, tuple[object, pa.DataType]]) -> pa.RecordBatch:
     """A batch of named (values, type) columns."""
     arrays = [

@@ -30,6 +30,7 @@ from lakeloom.llm.shared import (
     over_batches,
     record_batch,
     texts,
+    word_runs,
 )
 from lakeloom.session import materialize
 
@@ -43,30 +44,35 @@ DENSE_GROUP = 512
 
 def fingerprint(text: bytes, shingle_words: int) -> int:
     """SimHash of one text: a bit is 1 if set in over half of the shingles' hashes."""
-    words = text.translate(ASCII_LOWER).split()
-    if not words:
-        return 0
+    votes, n, held = np.zeros(64, np.int64), 0, []
+    for words in word_runs(text.translate(ASCII_LOWER)):
+        words = held + words
+        if len(words) >= shingle_words:
+            found, votes_of = shingle_votes(words, shingle_words)
+            n, votes = n + found, votes + votes_of
+            words = words[len(words) - shingle_words + 1 :]
+        held = words
+    if not n and held:
+        n, votes = shingle_votes(held, len(held))
+    bits = np.packbits((2 * votes > n).astype(np.uint8), bitorder="little")
+    return int(bits.view("<i8")[0])
+
+
+def shingle_votes(words: list[bytes], size: int) -> tuple[int, np.ndarray]:
+    """(number of shingles, how many of their hashes have each bit set)."""
     line = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    n = max(1, len(words) - shingle_words + 1)
-    first = starts[:n].tolist()
-    last = ends[min(shingle_words, len(words)) - 1 :].tolist()
+    first = (ends - lengths)[: len(words) - size + 1].tolist()
+    last = ends[size - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
     votes = np.zeros(64, np.int64)
-    for i in range(0, n, SHINGLES_AT_ONCE):
-        hashes = np.array(
-            [
-                digest(line[s:e], SEED)
-                for s, e in zip(first[i : i + SHINGLES_AT_ONCE], last[i : i + SHINGLES_AT_ONCE])
-            ],
-            np.uint64,
-        )
-        octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
+    for i in range(0, len(first), SHINGLES_AT_ONCE):
+        some = slice(i, i + SHINGLES_AT_ONCE)
+        hashes = [digest(line[s:e], SEED) for s, e in zip(first[some], last[some])]
+        octets = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
         votes += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits((2 * votes > n).astype(np.uint8), bitorder="little")
-    return int(bits.view("<i8")[0])
+    return len(first), votes
 
 
 def fingerprints(

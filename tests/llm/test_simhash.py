@@ -57,6 +57,18 @@ def test_other_distances_match_brute_force(spark):
     check(documents(spark), 0)
 
 
+def test_runs_of_a_long_text_count_as_one(monkeypatch):
+    from lakeloom.llm import licenses, shared
+
+    texts = [f"{'ab cd ' * n}all rights reserved cc by\tx" for n in (0, 1, 3, 40)] + ["one", "", " a b c"]
+    phrases = licenses.automaton({p: (v, True) for p, v in licenses.BASE_PHRASES.items()})
+    whole = [(simhash.fingerprint(t.encode(), 4), licenses.scan(t.encode(), phrases)) for t in texts]
+    assert [f for f, _ in whole] == [np.array(slow_fingerprint(t), np.uint64).view(np.int64) for t in texts]
+    for size in (1, 5, 17):
+        monkeypatch.setattr(shared, "RUN_BYTES", size)
+        assert [(simhash.fingerprint(t.encode(), 4), licenses.scan(t.encode(), phrases)) for t in texts] == whole
+
+
 def test_awkward_rows(spark):
     check(awkward(spark), 4)
     assert simhash.near_duplicates(nothing(spark)).count() == 0
