@@ -258,9 +258,12 @@ def contamination(
     slice_bytes: int = SLICE_BYTES,
     keep: list[str] | None = None,
     text: str = "text",
+    inside: str | None = None,
 ) -> DataFrame:
     """The kept columns (default ``doc_id``) of every row, ``item_ids`` and ``min_edits``.
 
+    The text is a column, or a field of the kept struct column ``inside``.
+
     ``item_ids`` lists, sorted, the benchmark items of which a window lies in the text
     within ``edit_rate`` edits a byte; ``min_edits`` is the fewest (null if none). Null
     and blank texts match nothing; items with null id or text are ignored; an item of
@@ -272,7 +275,7 @@ def contamination(
     keep = keep or ["doc_id"]
     found = docs.select(
         *[F.col(f"`{c}`") for c in keep],
-        F.col(text).cast("string").alias("_text"),
+        *([] if inside else [F.col(text).cast("string").alias("_text")]),
         F.expr("cast(array() as array<bigint>)").alias("item_ids"),
         F.lit(None).cast("bigint").alias("min_edits"),
     )
@@ -280,10 +283,12 @@ def contamination(
         shared = spark.sparkContext.broadcast(items)
         schema = found.schema
 
+        path = (inside, text) if inside else ("_text",)
+
         def run(batches, shared=shared):
             index = Index(shared.value, window, edit_rate)
             for batch in batches_of(batches):
-                results = scan(index, texts(batch, "_text"))
+                results = scan(index, texts(batch, *path))
                 old = batch.column("item_ids").to_pylist()
                 ids = [sorted({*o, *r}) for o, r in zip(old, results)]
                 fewest = [
@@ -304,8 +309,6 @@ def keep_uncontaminated(
     docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_RATE
 ) -> DataFrame:
     """The rows of which no benchmark item was found, with all their columns as they are."""
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text")
-    )
-    judged = contamination(rows, benchmark, edit_rate, keep=["_row"])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    judged = contamination(rows, benchmark, edit_rate, keep=["_row"], inside="_row")
     return judged.where(F.size("item_ids") == 0).select("_row.*")

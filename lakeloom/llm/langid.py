@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.shared import batches_of, over_batches, record_batch
+from lakeloom.llm.shared import batches_of, nested, over_batches, record_batch
 from lakeloom.session import materialize
 
 DIMENSIONS = 512
@@ -98,21 +98,25 @@ def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return there, unit(joined.reshape(-1, DIMENSIONS).astype(np.float64))
 
 
-def profiles(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The kept columns and ``vector`` (null without letters) of every row."""
-    rows = docs.select(*keep, F.col(text).cast("string").alias("text"))
-    schema = rows.drop("text").schema.add("vector", "binary")
+def profiles(rows: DataFrame, *path: str) -> DataFrame:
+    """The rows with ``vector`` (null without letters) of the text at ``path``.
+
+    A text that is a column of its own is left out of the result.
+    """
+    alone = path[0] if len(path) == 1 else None
+    schema = (rows.drop(alone) if alone else rows.select("*")).schema.add("vector", "binary")
 
     def run(batches):
         profiler = Profiler()
         for batch in batches_of(batches):
             vectors = [
-                quantised(profiler.profile(t)) if t else None for t in batch.column("text").to_pylist()
+                quantised(profiler.profile(t)) if t else None
+                for t in nested(batch, path).to_pylist()
             ]
-            columns = [c for n, c in zip(batch.schema.names, batch.columns) if n != "text"]
+            kept = [n for n in batch.schema.names if n != alone]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(vectors, pa.binary())],
-                names=[n for n in batch.schema.names if n != "text"] + ["vector"],
+                [*[batch.column(n) for n in kept], pa.array(vectors, pa.binary())],
+                names=[*kept, "vector"],
             )
 
     return over_batches(rows, run, schema)
@@ -211,7 +215,7 @@ def identify(
         F.col(label).cast("string").alias("label"),
         F.col(text).cast("string").alias("text"),
     )
-    vectors = materialize(profiles(named, ["doc_id", "held_out", "label"]), "profiles")
+    vectors = materialize(profiles(named, "text"), "profiles")
     known = prototypes(vectors.where("not held_out"), "label")
     return predictions(vectors.drop("label"), known)
 
@@ -227,14 +231,12 @@ def keep_identified(
     0 +- 0.04; very short clean texts reach about 0.1). The columns stay as they are,
     whatever their names; rows are judged each for itself.
     """
-    rows = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"),
-        held_out(id_column, 4, 2).alias("held_out"),
-        F.col(label).cast("string").alias("label"),
-        F.col(text).cast("string").alias("text"),
+    training = docs.where(~held_out(id_column, 4, 2)).select(
+        F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")
     )
-    known = prototypes(profiles(rows.where("not held_out"), ["label"]), "label")
-    judged = predictions(profiles(rows, ["_row"]), known)
+    known = prototypes(profiles(training, "text"), "label")
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"))
+    judged = predictions(profiles(rows, "_row", text), known)
     kept = judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
     return kept.select(
         *[

@@ -47,9 +47,17 @@ def over_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
-    """The column's values as UTF-8 bytes; null becomes empty."""
-    values = batch.column(column)
+def nested(batch: pa.RecordBatch, path: tuple[str, ...]) -> pa.Array:
+    """A column, or a field of a struct column that has no nulls itself."""
+    values = batch.column(path[0])
+    for name in path[1:]:
+        values = values.field(name)
+    return values
+
+
+def texts(batch: pa.RecordBatch, *path: str) -> list[bytes]:
+    """A text column's (or field's) values as UTF-8 bytes; null becomes empty."""
+    values = nested(batch, path)
     binary = pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary()
     return [v or b"" for v in values.cast(binary).to_pylist()]
 
