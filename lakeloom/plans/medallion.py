@@ -15,14 +15,19 @@ from lakeloom.sources.relational import TableStatus, for_each_table, import_all,
 
 
 def run_bronze(lake: Lake, source, tables: Sequence[str] | None = None,
-               mode: str = "append", label: str = "import") -> list[TableStatus]:
-    """Land every table as raw JSON; a failing table does not stop the others."""
+               mode: str = "append", label: str = "import",
+               splits: Mapping[str, tuple[str, int]] | None = None,
+               at_once: int = 4) -> list[TableStatus]:
+    """Land every table as raw JSON; a failing table does not stop the others.
+
+    ``splits`` and ``at_once`` as in ``import_all``.
+    """
 
     def land(df: DataFrame, table: str) -> TableStatus:
         done = lake.write_bronze(df, table, source=label, mode=mode)
         return TableStatus(table, ok=True, rows=done.rows, path=done.path)
 
-    return import_all(lake.spark, source, land, tables)
+    return import_all(lake.spark, source, land, tables, splits, at_once)
 
 
 def run_silver(lake: Lake, schemas: Mapping[str, str | T.StructType],

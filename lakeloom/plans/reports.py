@@ -30,36 +30,31 @@ def located(df: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
     return df.join(cities, "city_id").join(countries, "country_id")
 
 
-def customer_list(customer: DataFrame, address: DataFrame, city: DataFrame,
-                  country: DataFrame) -> DataFrame:
-    """Customers with address, city and country; notes say whether they are active."""
-    places = located(address, city, country)
-    return customer.join(places, "address_id").select(
-        F.col("customer_id").alias("ID"),
+def _address_list(people: DataFrame, key: str, places: DataFrame, *more: Column) -> DataFrame:
+    """People with their address, city and country."""
+    return people.join(places, "address_id").select(
+        F.col(key).alias("ID"),
         full_name().alias("name"),
         "address",
         F.col("postal_code").alias("zip code"),
         "phone",
         "city",
         "country",
-        F.when(F.col("active"), "active").otherwise("").alias("notes"),
+        *more,
         F.col("store_id").alias("SID"),
     )
 
 
+def customer_list(customer: DataFrame, address: DataFrame, city: DataFrame,
+                  country: DataFrame) -> DataFrame:
+    """Customers with address, city and country; notes say whether they are active."""
+    notes = F.when(F.col("active"), "active").otherwise("").alias("notes")
+    return _address_list(customer, "customer_id", located(address, city, country), notes)
+
+
 def staff_list(staff: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
     """Staff with address, city and country."""
-    places = located(address, city, country)
-    return staff.join(places, "address_id").select(
-        F.col("staff_id").alias("ID"),
-        full_name().alias("name"),
-        "address",
-        F.col("postal_code").alias("zip code"),
-        "phone",
-        "city",
-        "country",
-        F.col("store_id").alias("SID"),
-    )
+    return _address_list(staff, "staff_id", located(address, city, country))
 
 
 def film_list(film: DataFrame, film_category: DataFrame, film_actor: DataFrame, actor: DataFrame,
