@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.shared import Remembered, batches_of, gathered, on_worker, over_batches, texts
+from lakeloom.llm.shared import Remembered, batches_of, on_worker, over_batches, texts
 
 MARKER = "▁"
 MARKER_BYTES = MARKER.encode()
 UNKNOWN_PENALTY = 10.0  # below the worst piece, for a character in byte fallback
-TEXT_AT_ONCE = 8 << 20  # bytes
+TEXT_AT_ONCE = 2 << 20  # bytes
+REMEMBERED_BYTES = 64 << 20
 LONG_WORD = 96  # bytes; longer words are segmented one by one
 
 # A word: blanks and what follows up to the next blank or line break. A line break, or a
@@ -238,11 +239,15 @@ class Pieces:
 
 
 class Encoder:
-    """Encodes and decodes texts; remembers the segmentation of words seen."""
+    """Encodes and decodes texts; remembers the segmentation of words seen in a task.
+
+    The pieces stay on the Python worker for later tasks; the words, which take most of the
+    memory, go with the task, so that other operators find the worker as small as before.
+    """
 
     def __init__(self, model: bytes):
-        self.pieces = Pieces(model)
-        self.words = Remembered(self._segment)
+        self.pieces = on_worker(f"pieces_{zlib.crc32(model)}", lambda: Pieces(model))
+        self.words = Remembered(self._segment, REMEMBERED_BYTES)
 
     def _segment(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found = self.pieces.segment([w.replace(b" ", MARKER_BYTES) for w in words])
@@ -298,8 +303,8 @@ def encode(
     )
 
     def run(batches):
-        encoder = on_worker(f"pieces_{zlib.crc32(model)}", lambda: Encoder(model))
-        for batch in gathered(batches, "_text", TEXT_AT_ONCE):
+        encoder = Encoder(model)
+        for batch in batches_of(batches):
             there = [v.as_py() for v in batch.column("_text").is_valid()]
             found = encoder.encode(texts(batch, "_text"))
             sizes = np.array([len(f) for f in found], np.int64)
@@ -349,12 +354,12 @@ def round_trip(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     )
 
     def run(batches):
-        encoder = on_worker(f"pieces_{zlib.crc32(model)}", lambda: Encoder(model))
+        encoder = Encoder(model)
         pieces = encoder.pieces
         is_byte = np.zeros(len(pieces.bytes_of), bool)
         is_byte[pieces.byte_id] = True
         score = np.where(is_byte, pieces.unknown, pieces.score)
-        for batch in gathered(batches, "_text", TEXT_AT_ONCE):
+        for batch in batches_of(batches):
             values = texts(batch, "_text")
             found = encoder.encode(values)
             yield pa.RecordBatch.from_arrays(
