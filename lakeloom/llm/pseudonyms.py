@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.shared import session
+from lakeloom.llm.shared import session, unused
 
 ROUNDS = 8
 
@@ -258,12 +258,13 @@ def pseudonymise(
 
     has = source.rlike("[0-9@]")  # all kinds hold one of these; most texts hold none
     names = [c for c in docs.columns if c != count]
+    values_name = unused(docs, "_found_values")
     marked = docs.select(
         *[F.col(f"`{c}`") for c in names],
         F.when(has, F.transform(values, lambda v: F.struct(v.alias("old"), pseudonym(v, key).alias("new"))))
-        .alias("_found_values"),
+        .alias(values_name),
     )
-    found = F.col("_found_values")
+    found = F.col(values_name)
     out = [
         F.when(F.size(found) > 0, replaced(F.transform(found, lambda x: x["new"])))
         .otherwise(source)

@@ -39,6 +39,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def over_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``function`` maps an iterator of record batches to one; Arrow on both sides."""
     session(df)
@@ -121,12 +129,10 @@ def components(edges: DataFrame) -> DataFrame:
     executors cost tasks only; the joins on a node with very many links are split by
     adaptive execution. Nothing but one checksum a round reaches the driver.
     """
-    # Rounds are small joins on a node: none shall move to the driver as a broadcast of
-    # unknown size, adaptive execution decides by the measured size.
     current = materialize(
-        edges.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
+        edges.where("a is not null and b is not null and a <> b").select(
+            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+        ),
         "links",
     )
     seen = _checksum(current)
@@ -139,7 +145,6 @@ def components(edges: DataFrame) -> DataFrame:
             both.where("v > u")
             .join(lowest, "u")
             .select(F.col("v").alias("a"), F.least("u", "m").alias("b"))
-            .distinct()
         )
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (

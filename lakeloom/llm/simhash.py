@@ -30,6 +30,7 @@ from lakeloom.llm.shared import (
     over_batches,
     record_batch,
     texts,
+    unused,
     word_runs,
 )
 from lakeloom.session import materialize
@@ -297,14 +298,10 @@ def keep_one(
     copy of anything and stay.
     """
     found = near_duplicates(docs, shingle_words, max_bits, id_column)
-    kept = (
-        found.where("doc_id = component_id")
-        .groupBy("doc_id")
-        .agg(F.min("fingerprint").alias("fingerprint"))
-        .select(F.col("doc_id").alias("_kept_id"))
-    )
+    name = unused(docs, "_kept_id")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     named = docs.where(F.col(id_column).isNotNull())
     first = named.join(
-        kept, F.col(id_column).cast("bigint") == F.col("_kept_id"), "left_semi"
+        kept, F.col(id_column).cast("bigint") == F.col(name), "left_semi"
     ).dropDuplicates([id_column])
     return first.unionByName(docs.where(F.col(id_column).isNull()))

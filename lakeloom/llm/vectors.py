@@ -218,7 +218,6 @@ def shards(classes: DataFrame, threshold: float) -> DataFrame:
     members = done[0].select("cid", "shard", "unit")
     for more in done[1:]:
         members = members.unionByName(more.select("cid", "shard", "unit"))
-    members = materialize(members, "members")
     blocks = members.groupBy("shard").agg(
         F.ceil(F.count("*") / SHARD).cast("int").alias("blocks")
     )

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, fp bigint, "
-    "label string, _row string, component_id bigint, ids string, `a.b` string"
+    "label string, _row string, component_id bigint, ids string, `a.b` string, "
+    "_kept_id bigint, _found_values string, _text string, vector string, item_ids string"
 )
 LONG = "lorem ipsum dolor sit amet, consectetur adipiscing elit " * 4000
 
@@ -28,7 +29,7 @@ def awkward(spark: SparkSession) -> DataFrame:
         (8, "Ünïcödé 漢字 😀 \u0000 ▁ end"),
     ]
     rows = [
-        (i, t, "xx" if k % 3 else None, None, None, k, "x", "y", -1, "z", "w")
+        (i, t, "xx" if k % 3 else None, None, None, k, "x", "y", -1, "z", "w", 9, "v", "t", "q", "r")
         for k, (i, t) in enumerate(texts)
     ]
     return spark.createDataFrame(rows, SCHEMA)
