@@ -52,7 +52,12 @@ def over_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     session(df)
     # Tasks carry this package's functions with them; executors need not have it installed.
     cloudpickle.register_pickle_by_value(importlib.import_module("lakeloom.llm"))
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()  # the worker waits for other tasks
+
+    return df.mapInArrow(run, schema)
 
 
 def nested(batch: pa.RecordBatch, path: tuple[str, ...]) -> pa.Array:
