@@ -135,9 +135,9 @@ def components(edges: DataFrame) -> DataFrame:
     adaptive execution. Nothing but one checksum a round reaches the driver.
     """
     current = materialize(
-        edges.where("a is not null and b is not null and a <> b").select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-        ),
+        edges.where("a is not null and b is not null and a <> b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .distinct(),  # tasks find the links of a large group again and again
         "links",
     )
     seen = _checksum(current)
