@@ -2,20 +2,22 @@
 
 Method. Vectors of one label are parted into overlapping cluster shards: pivots are
 sampled, none within the link threshold of another, and every vector goes to its nearest
-ones; shards still too large are parted again. In each shard a flat graph is built by
-robust pruning: of the nearest candidates, one that is much nearer to a chosen neighbour
-than to the vector itself is left out. A vector's adjacency lists of all its shards are
-united. Then every vector searches each of its shards: greedily from the shard's medoid to
+ones; near a pivot it goes to every cell from whose border it is at most half the
+threshold's angle away, so that linked vectors on two sides of a border share a cell. Shards
+still too large are parted again, as long as that saves comparisons. In each shard a flat
+graph is built by robust pruning: of the nearest candidates, one that is much nearer to a
+chosen neighbour than to the vector itself is left out. A vector's adjacency lists of all
+its shards are united. Then every vector searches each of its shards: greedily from the shard's medoid to
 the best unexpanded vector, and as soon as vectors are within the threshold, from all of
 them, until none in range is left. A found pair is a link only if its cosine in double
 precision reaches the threshold; a pair that meets in several shards counts in the first.
 An audit compares a bounded set of vectors with all others and stops the run if the recall
 is too low.
 
-Hot groups. Equal vectors are one node with a weight. A group of near copies that no pivots
-can part is dealt into blocks by a hash; blocks build their own graphs and each pair of
-blocks is searched, so links across blocks are found and no task holds the whole group. A
-task returns counts and a spanning forest, never its pairs.
+Hot groups. Equal vectors are one node with a weight. A group of near copies that pivots
+cannot part, or only with too many copies, is dealt into blocks by a hash; blocks build
+their own graphs and each pair of blocks is searched, so links across blocks are found and
+no task holds the whole group. A task returns counts and a spanning forest, never its pairs.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ SHARD = 1024  # nodes of a block, about; larger shards are parted
 PER_PIVOT = 128  # a shard gets a pivot for so many members, ``PIVOTS`` at most
 PIVOTS = 256
 OVERLAP = 3
+PROBES = 4  # members drawn for every pivot, to tell what parting would cost
+WORTH = 0.75  # parts only if the squared sizes of the parts add up to this share of the whole's
 CANDIDATES, DEGREE, ALPHA = 96, 24, 1.2
 LONG_LINKS = 8  # seeded random neighbours, without which a large group of copies is an island
 EXPANSIONS, BEAM = 24, 4  # nodes out of range that a search expands, and at a time
@@ -107,7 +111,7 @@ def part_once(members: DataFrame, sizes: DataFrame, level: int, threshold: float
     """Members of large shards, each in the shards of its nearest pivots.
 
     A shard's pivots and members meet in tasks of bounded size: members are salted by a hash
-    and the few pivots are copied to every salt.
+    and the few pivots and probes are copied to every salt.
     """
     large = sizes.select(
         "shard",
@@ -116,23 +120,24 @@ def part_once(members: DataFrame, sizes: DataFrame, level: int, threshold: float
     )
     hashed = F.xxhash64(F.col("cid"), F.lit(level))
     rows = members.join(large, "shard")
-    pivots = rows.where(F.pmod(hashed, "every") == 0).select(
+    drawn = F.pmod(hashed, "every")  # 0: a pivot, up to ``PROBES``: a probe
+    pivots = rows.where(drawn <= PROBES).select(
         "shard",
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        F.lit(0).alias("role"),
+        F.least(drawn, F.lit(1)).cast("int").alias("role"),
         "cid",
         "unit",
     )
     dealt = rows.select(
         "shard",
         F.pmod(F.xxhash64(F.lit("salt"), F.col("cid")), "salts").cast("int").alias("salt"),
-        F.lit(1).alias("role"),
+        F.lit(2).alias("role"),
         "cid",
         "unit",
     )
 
     def run(batches):
-        current, pivots, block = None, [], None
+        current, pivots, probes, block = None, [], [], None
         for batch in batches_of(batches):
             ids = batch.column("cid").to_numpy()
             roles = batch.column("role").to_numpy()
@@ -141,14 +146,17 @@ def part_once(members: DataFrame, sizes: DataFrame, level: int, threshold: float
             cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if keys[a] != current:
-                    current, pivots, block = keys[a], [], None
-                middle = a + int((roles[a:b] == 0).sum())
-                pivots += data[a:middle]
+                    current, pivots, probes, block = keys[a], [], [], None
+                first, middle = a + np.searchsorted(roles[a:b], [1, 2])
+                pivots += data[a:first]
+                probes += data[first:middle]
                 if middle == b:
                     continue
                 x = np.array(data[middle:b])
                 if block is None:
                     block = apart(np.array(pivots).reshape(len(pivots), x.shape[1]), threshold)
+                    if len(block) > 1 and not worth_parting(np.array(probes), block, threshold):
+                        block = block[:1]
                 yield assigned(current[0], ids[middle:b], x, block, threshold)
 
     def matrix_rows(column):
@@ -171,23 +179,48 @@ def apart(pivots: np.ndarray, threshold: float) -> np.ndarray:
     return pivots[kept]
 
 
+def cells(x: np.ndarray, pivots: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pivots' cells (columns) hold each member (rows).
+
+    The way from a member to a linked one in another cell crosses the border, the plane
+    between the two pivots, and one of the two is at most half the threshold's angle from
+    it. That one goes to the other's cell as well. This holds for members within twice the
+    threshold's angle of a pivot, so for all links of a member within the threshold of one;
+    members with no pivot that near go to the ``OVERLAP`` nearest.
+    """
+    angle = np.arccos(np.clip(threshold, -1, 1))
+    cosine = x @ pivots.T
+    nearest = cosine.argmax(axis=1)
+    top = cosine.max(axis=1)
+    between = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))[nearest]
+    slack = 1e-9  # a cell more does no harm
+    held = top[:, None] - cosine <= np.sin(angle / 2) * between + slack
+    held &= cosine >= np.cos(min(3 * angle, np.pi)) - slack
+    held &= top[:, None] >= np.cos(min(2 * angle, np.pi)) - slack
+    held[np.arange(len(x)), nearest] = True
+    far = np.flatnonzero(top < threshold)
+    best = np.argsort(-cosine[far], axis=1, kind="stable")[:, :OVERLAP]
+    held[far[:, None], best] = True
+    return held
+
+
+def worth_parting(probes: np.ndarray, pivots: np.ndarray, threshold: float) -> bool:
+    """Whether the cells, overlaps and all, hold fewer pairs than the shard does."""
+    if not len(probes):
+        return True
+    share = cells(probes, pivots, threshold).mean(axis=0)
+    return float(share @ share) <= WORTH
+
+
 def assigned(
     shard: str, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, threshold: float
 ) -> pa.RecordBatch:
-    """Members in the shards of their nearest pivots.
-
-    A member within the threshold of its nearest pivot goes there only: so do its near
-    copies, and a large group of them is not copied along with its whole neighbourhood.
-    """
+    """Members in the shards of the cells that hold them."""
     if len(pivots) < 2:  # one: nothing parts this shard; none: the next level draws again
         names, rows, parted = [shard] * len(ids), np.arange(len(ids)), len(pivots) == 0
     else:
-        cosine = x @ pivots.T
-        best = np.argsort(-cosine, axis=1, kind="stable")[:, :OVERLAP]
-        wanted = np.ones(best.shape, bool)
-        wanted[cosine.max(axis=1) >= threshold, 1:] = False
-        rows, place = np.nonzero(wanted)
-        names = [f"{shard}/{p}" for p in best[rows, place].tolist()]
+        rows, place = np.nonzero(cells(x, pivots, threshold))
+        names = [f"{shard}/{p}" for p in place.tolist()]
         parted = True
     return record_batch(
         {

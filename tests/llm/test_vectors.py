@@ -72,6 +72,24 @@ def test_parted_shards_match_brute_force(spark, monkeypatch):
     check(spark, clusters(60, 5, 0.1, seed=1))
 
 
+@pytest.mark.parametrize(("spread", "dims"), [(0.2, 16), (0.25, 6), (0.5, 3)])
+def test_links_across_cells_are_found(spark, monkeypatch, spread, dims):
+    monkeypatch.setattr(vectors, "SHARD", 64)
+    monkeypatch.setattr(vectors, "PER_PIVOT", 16)
+    check(spark, clusters(1, 500, spread, seed=6, dims=dims), min_recall=0)
+
+
+def test_linked_members_share_a_cell():
+    x = np.array([r[1] for r in clusters(3, 400, 0.4, seed=7, dims=4)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    pivots = vectors.apart(x[::8], 0.93)
+    held = vectors.cells(x, pivots, 0.93)
+    a, b = np.nonzero(x @ x.T >= 0.93)
+    near = (x @ pivots.T).max(axis=1) >= 0.93
+    assert len(pivots) > 5 and (held[a] & held[b]).any(axis=1)[near[a]].all()
+    assert held.sum() < 0.5 * held.size
+
+
 def test_hot_group_is_dealt_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD", 32)
     monkeypatch.setattr(vectors, "PER_PIVOT", 8)
