@@ -3,15 +3,19 @@
 Model. A token is predicted from ``SIDE`` tokens on either side: each place has its own
 embedding of the vocabulary, the embeddings are added and go through tanh, and a softmax
 in two steps (class of the word, then word in the class) gives the probability. The
-vocabulary is the corpus's most frequent words; all other words share hash buckets, so
-every token is predicted. A document's score is the sum of all its tokens' conditional
+network tells apart the corpus's most frequent words; all other words share hash buckets.
+A bucket's probability is divided among its words by their counts in the whole corpus; a
+word never seen counts as one occurrence. The table of all words and counts grows with the
+corpus and stays a table: tasks remember the shares of its most frequent words, the others
+are joined. A document's score is the sum of all its tokens' conditional
 log-probabilities, each token masked in turn.
 
 Training covers the whole corpus. Word counts come from all documents; then, in rounds
 over disjoint shares of the documents that together are all of them, every task trains
 on its own texts from the common parameters, and the parameters are averaged, weighted by
-tokens, in a shuffle. Only the vocabulary and one set of parameters (some hundred thousand
-numbers, whatever the corpus) reach the driver. Averages are taken of whole numbers, so
+tokens, in a shuffle. The network's words, the remembered shares and one set of parameters
+(some hundred thousand numbers each, whatever the corpus) reach the driver; the network is
+of fixed size, the table of words is not. Averages are taken of whole numbers, so
 they do not depend on the order of tasks.
 """
 
@@ -40,6 +44,8 @@ AT_ONCE = 8192  # small enough for a core's cache
 RATE = 0.1
 SCALE = 1e7  # parameters are averaged as whole numbers of this part
 DISTINCT_AT_ONCE = 400_000
+REMEMBERED = 1 << 17  # words whose shares tasks hold; all others are joined
+SHARE_SCALE = 1e9  # logarithms of shares are added as whole numbers of this part
 
 # Letters to lower case, all other ASCII but digits to blanks; bytes beyond ASCII are words.
 WORD_BYTES = bytes(
@@ -57,8 +63,8 @@ SHAPES = {
 }
 
 
-def vocabulary(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
-    """(id of each frequent word, counts of all ids), from all documents."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``word, n``: every word of the documents and how often it occurs."""
 
     def run(batches):
         counts: Counter = Counter()
@@ -81,12 +87,18 @@ def vocabulary(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
         if counts:
             yield counted()
 
-    counted = materialize(
-        over_batches(docs.select("text"), run, "word binary, n bigint")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n")),
+    rows = docs.select(F.col(text).cast("string").alias("text"))
+    return materialize(
+        over_batches(rows, run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
         "word-counts",
     )
+
+
+def vocabulary(
+    docs: DataFrame, counted: DataFrame | None = None
+) -> tuple[dict[bytes, int], np.ndarray]:
+    """(id of each frequent word, counts of all ids), from all documents."""
+    counted = word_counts(docs) if counted is None else counted
     top = counted.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     ids = {bytes(r["word"]): i + 1 for i, r in enumerate(top)}
     rest = (
@@ -101,6 +113,23 @@ def vocabulary(docs: DataFrame) -> tuple[dict[bytes, int], np.ndarray]:
     return ids, counts
 
 
+def shares(counted: DataFrame, ids: dict[bytes, int]) -> tuple[DataFrame, np.ndarray]:
+    """``word, n, share`` of the words in buckets, and the share of a word never seen, by bucket.
+
+    A share is the logarithm of the word's part of its bucket, in ``SHARE_SCALE`` parts.
+    """
+    known = counted.sparkSession.createDataFrame([(bytearray(w),) for w in ids], "word binary")
+    bucket = (F.crc32("word") % BUCKETS).cast("int")
+    rest = counted.join(F.broadcast(known), "word", "left_anti").withColumn("bucket", bucket)
+    total = np.zeros(BUCKETS)
+    for r in rest.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        total[r["bucket"]] = r["n"]
+    all_ = F.get(F.lit((total + 1).tolist()), F.col("bucket"))
+    share = F.round(F.log(F.col("n") / all_) * SHARE_SCALE).cast("bigint")
+    unseen = np.rint(-np.log(total + 1) * SHARE_SCALE).astype(np.int64)
+    return rest.select("word", "n", share.alias("share")), unseen
+
+
 def start(counts: np.ndarray) -> dict[str, np.ndarray]:
     """Small random embeddings; the biases give the words' own frequencies."""
     random = np.random.default_rng(7)
@@ -255,14 +284,18 @@ def one_round(
 
 
 def fit(
-    docs: DataFrame, rounds: int = 2, id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    rounds: int = 2,
+    id_column: str = "doc_id",
+    text: str = "text",
+    counted: DataFrame | None = None,
 ) -> tuple[dict[bytes, int], dict[str, np.ndarray]]:
     """(vocabulary, parameters) learnt from all documents, each used in one round."""
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(rounds)).alias("share"),
         F.col(text).cast("string").alias("text"),
     )
-    ids, counts = vocabulary(rows)
+    ids, counts = vocabulary(rows, counted)
     parameters = start(counts)
     for k in range(rounds):
         parameters = one_round(rows.where(F.col("share") == k), ids, parameters)
@@ -275,20 +308,34 @@ def score(
     parameters: dict[str, np.ndarray],
     id_column: str = "doc_id",
     text: str = "text",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``doc_id, n_tokens, pseudo_log_likelihood, mean_log_probability`` of every row.
 
     A text without words (null, empty) has no tokens, sum 0 and a null mean. Texts are
     scored whole, whatever their length; repeated rows stay; other columns are ignored.
+
+    ``counted`` is the table of ``word_counts``: with it a word in a bucket has its share of
+    the bucket's probability, without it the whole bucket's.
     """
     spark = session(docs)
-    shared = spark.sparkContext.broadcast((ids, parameters))
+    table = unseen = None
+    remembered: dict[bytes, int] = {}
+    if counted is not None:
+        table, unseen = shares(counted, ids)
+        table = materialize(table, "shares")
+        frequent = table.orderBy(F.desc("n"), "word").limit(REMEMBERED).toArrow()
+        words, values = frequent["word"].to_pylist(), frequent["share"].to_pylist()
+        remembered = dict(zip(words, values)) | dict.fromkeys(ids, 0)
+    shared = spark.sparkContext.broadcast((ids, parameters, remembered))
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
+    if counted is not None:
+        return with_shares(rows, shared, table, unseen)
 
     def run(batches):
-        network = Network(*shared.value)
+        network = Network(*shared.value[:2])
         for batch in batches_of(batches):
             line, at, text_of = network.joined(texts(batch, "text"))
             n = np.bincount(text_of, minlength=batch.num_rows)
@@ -308,3 +355,68 @@ def score(
         run,
         "doc_id bigint, n_tokens bigint, pseudo_log_likelihood double, mean_log_probability double",
     )
+
+
+def with_shares(rows: DataFrame, shared, table: DataFrame, unseen: np.ndarray) -> DataFrame:
+    """The scores with the words' shares of their buckets.
+
+    Each row is scored once and written with the words that tasks do not remember; their
+    shares are joined by word and added up by row.
+    """
+
+    def run(batches):
+        ids, parameters, remembered = shared.value
+        network, share_of = Network(ids, parameters), remembered.get
+        for batch in batches_of(batches):
+            found = texts(batch, "text")
+            line, at, text_of = network.joined(found)
+            known, others = [], []
+            for text in found:
+                total, rest = 0, []
+                for words in word_runs(text.translate(WORD_BYTES)):
+                    values = list(map(share_of, words))
+                    rest += [w for w, v in zip(words, values) if v is None]
+                    total += sum(filter(None, values))
+                known.append(total)
+                others.append(rest)
+            yield record_batch(
+                {
+                    "row": (batch.column("row"), pa.int64()),
+                    "doc_id": (batch.column("doc_id"), pa.int64()),
+                    "n_tokens": (np.bincount(text_of, minlength=batch.num_rows), pa.int64()),
+                    "total": (
+                        np.bincount(text_of, network.log_probabilities(line, at), batch.num_rows),
+                        pa.float64(),
+                    ),
+                    "known": (known, pa.int64()),
+                    "others": (others, pa.list_(pa.binary())),
+                }
+            )
+
+    scored = materialize(
+        over_batches(
+            rows.withColumn("row", F.monotonically_increasing_id()),
+            run,
+            "row bigint, doc_id bigint, n_tokens bigint, total double, known bigint, "
+            "others array<binary>",
+        ),
+        "scored",
+    )
+    bucket = (F.crc32("word") % BUCKETS).cast("int")
+    added = (
+        scored.select("row", F.explode("others").alias("word"))
+        .join(table.select("word", "share"), "word", "left")
+        .withColumn("share", F.coalesce("share", F.get(F.lit(unseen.tolist()), bucket)))
+        .groupBy("row")
+        .agg(F.sum("share").alias("added"))
+    )
+    total = F.col("total") + (F.col("known") + F.coalesce("added", F.lit(0))) / SHARE_SCALE
+    return (
+        scored.drop("others")
+        .join(added, "row", "left")
+        .select("doc_id", "n_tokens", total.alias("pseudo_log_likelihood"))
+        .withColumn(
+            "mean_log_probability",
+            F.when(F.col("n_tokens") > 0, F.col("pseudo_log_likelihood") / F.col("n_tokens")),
+        )
+    )

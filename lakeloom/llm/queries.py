@@ -68,7 +68,8 @@ def op4_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 def op5_masked_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)
     docs = table(spark, folder, "documents")
-    return masked_lm.score(docs, *masked_lm.fit(docs))
+    counted = masked_lm.word_counts(docs)
+    return masked_lm.score(docs, *masked_lm.fit(docs, counted=counted), counted=counted)
 
 
 @query

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
 from lakeloom.llm import masked_lm
-from tests.llm.data import awkward, documents, nothing
+from lakeloom.llm.queries import QUERIES
+from tests.llm.data import FOLDER, awkward, documents, nothing
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +122,57 @@ def test_awkward_rows(spark, model):
     ids, parameters = masked_lm.fit(nothing(spark))
     assert ids == {} and masked_lm.score(nothing(spark), ids, parameters).count() == 0
     assert len(masked_lm.score(awkward(spark), *masked_lm.fit(awkward(spark))).collect()) == 11
+
+
+@pytest.mark.parametrize("remembered", [1 << 17, 20])
+def test_words_have_their_share_of_a_bucket(spark, monkeypatch, remembered):
+    monkeypatch.setattr(masked_lm, "REMEMBERED", remembered)
+    seen = documents(spark).where("doc_id % 5 <> 0")
+    counted = masked_lm.word_counts(seen)
+    model = masked_lm.fit(seen, counted=counted)
+    network = masked_lm.Network(*model)
+    rows = masked_lm.score(documents(spark), *model, counted=counted).collect()
+    words: Counter = Counter()
+    for r in seen.collect():
+        words.update(r.text.encode().translate(masked_lm.WORD_BYTES).split())
+    buckets: Counter = Counter()
+    for w, n in words.items():
+        if w not in model[0]:
+            buckets[zlib.crc32(w) % masked_lm.BUCKETS] += n
+
+    def share(word):
+        if word in model[0]:
+            return 0.0
+        return np.log(max(words[word], 1) / (buckets[zlib.crc32(word) % masked_lm.BUCKETS] + 1))
+
+    texts = {r.doc_id: r.text for r in documents(spark).collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in sorted(rows)[:40]:
+        found = texts[r.doc_id].encode().translate(masked_lm.WORD_BYTES).split()
+        want = sum(slow_scores(network, texts[r.doc_id])) + sum(map(share, found))
+        assert r.n_tokens == len(found)
+        assert r.pseudo_log_likelihood == pytest.approx(want, rel=1e-4, abs=1e-3)
+        if found:
+            assert r.mean_log_probability == pytest.approx(want / len(found), rel=1e-4, abs=1e-3)
+
+
+def test_query_rates_unique_words_below_their_bucket(spark):
+    docs = documents(spark)
+    model = masked_lm.fit(docs)
+    whole = {r.doc_id: r.pseudo_log_likelihood for r in masked_lm.score(docs, *model).collect()}
+    rows = QUERIES["op5_masked_lm_scores"](spark, FOLDER).collect()
+    assert all(r.pseudo_log_likelihood <= whole[r.doc_id] + 1e-3 for r in rows)
+    assert sum(r.pseudo_log_likelihood for r in rows) < 1.1 * sum(whole.values())
+
+
+def test_awkward_rows_with_shares(spark):
+    counted = masked_lm.word_counts(awkward(spark))
+    model = masked_lm.fit(awkward(spark), counted=counted)
+    rows = masked_lm.score(awkward(spark), *model, counted=counted).collect()
+    assert len(rows) == 11
+    assert all(tuple(r)[1:] == (0, 0.0, None) for r in rows if r.doc_id in (2, 3, 4))
+    counted = masked_lm.word_counts(nothing(spark))
+    model = masked_lm.fit(nothing(spark), counted=counted)
+    assert masked_lm.score(nothing(spark), *model, counted=counted).count() == 0
+    # no counts: every word is one never seen
+    assert len(masked_lm.score(awkward(spark), *model, counted=counted).collect()) == 11
