@@ -35,7 +35,10 @@ PHONE = (
     r"|(?<![0-9(-])\([2-9][0-9]{2}\) ?[0-9]{3}-[0-9]{4}(?![0-9-])"
     r"|(?<![0-9-])[2-9][0-9]{2}-[0-9]{3}-[0-9]{4}(?![0-9-])"
 )
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+IBAN = (
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?(?![A-Za-z0-9])"
+)
 DATE = (
     r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
     r"|(?<![0-9./])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])"
@@ -119,19 +122,43 @@ def _only_digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
+def _longest(value: Column, least: int, border: str, valid, moved) -> Column:
+    """The longest valid prefix that ends at a border, moved, and the rest; else the value."""
+    ends = F.filter(
+        F.sequence(F.lit(least), F.greatest(F.length(value), F.lit(least))),
+        lambda k: F.substr(value, k, F.lit(2)).rlike(border) & valid(F.substr(value, F.lit(1), k)),
+    )
+    return F.transform(
+        F.array(F.array_max(ends)),
+        lambda k: F.when(k.isNull(), value).otherwise(
+            F.concat(moved(F.substr(value, F.lit(1), k)), F.substr(value, k + 1))
+        ),
+    )[0]
+
+
 def _card(value: Column, key: str) -> Column:
+    """The longest run of whole digit groups that is a card; what follows it stays."""
+
+    def valid(x: Column) -> Column:
+        digits = _only_digits(x)
+        return (F.length(digits) >= 13) & (_luhn_sum(digits, 1) % 10 == 0)
+
+    return _longest(value, 13, "^[0-9](?:[^0-9]|$)", valid, lambda x: _moved_card(x, key))
+
+
+def _moved_card(value: Column, key: str) -> Column:
     """All digits but the first and the check digit move; then the check digit is set."""
     body = F.concat(
         F.substr(value, F.lit(1), F.lit(1)),
         permute_text(F.substr(value, F.lit(2), F.length(value) - 2), key, "card", DIGITS),
     )
     check = (F.lit(10) - _luhn_sum(_only_digits(body), 0) % 10) % 10
-    valid = _luhn_sum(_only_digits(value), 1) % 10 == 0
-    return F.when(valid, F.concat(body, check.cast("string"))).otherwise(value)
+    return F.concat(body, check.cast("string"))
 
 
 def _mod_97(value: Column) -> Column:
     """The account number, country and check digits last, as a number modulo 97."""
+    value = F.replace(value, F.lit(" "), F.lit(""))
     turned = F.concat(F.substr(value, F.lit(5)), F.substr(value, F.lit(1), F.lit(4)))
     return F.aggregate(
         F.split(turned, ""),
@@ -143,12 +170,22 @@ def _mod_97(value: Column) -> Column:
 
 
 def _iban(value: Column, key: str) -> Column:
-    country = F.substr(value, F.lit(1), F.lit(2))
-    body = permute_text(F.substr(value, F.lit(5)), key, "iban")
-    check = F.lit(98) - _mod_97(F.concat(country, F.lit("00"), body))
-    return F.when(
-        _mod_97(value) == 1, F.concat(country, F.lpad(check.cast("string"), 2, "0"), body)
-    ).otherwise(value)
+    """The longest run of whole groups that is an account; blanks and what follows stay."""
+
+    def valid(x: Column) -> Column:
+        plain = F.replace(x, F.lit(" "), F.lit(""))
+        return F.length(plain).between(15, 34) & (_mod_97(x) == 1)
+
+    def moved(x: Column) -> Column:
+        country = F.substr(x, F.lit(1), F.lit(2))
+        body = permute_text(F.substr(x, F.lit(5)), key, "iban")
+        check = F.lit(98) - _mod_97(F.concat(country, F.lit("00"), body))
+        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), body)
+
+    found = _longest(value, 15, "^[A-Z0-9](?: |$)", valid, moved)
+    rest = F.substr(value, F.lit(6))  # a word like an account's first may precede a card
+    return F.when((found == value) & rest.rlike(f"^(?:{CARD})$"),
+        F.concat(F.substr(value, F.lit(1), F.lit(5)), _card(rest, key))).otherwise(found)
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -212,10 +249,26 @@ def _date(value: Column, key: str) -> Column:
             day.between(0, a * b - 1), F.date_format(F.date_add(first, moved), layout)
         ).otherwise(value)
 
+    def day_first() -> Column:
+        """Days after the 12th only: the permutation is repeated until it gives one again."""
+        layout = "dd/MM/yyyy"
+        day = F.datediff(F.try_to_date(value, layout), first)
+        late = lambda n: F.dayofmonth(F.date_add(first, n.cast("int"))) > 12
+        step = lambda n: permute_number(n, key, "date", a, b)
+        moved = F.aggregate(
+            F.sequence(F.lit(1), F.lit(64)),
+            step(day),
+            lambda n, _: F.when(late(n), n).otherwise(step(n)),
+        ).cast("int")
+        return F.when(
+            day.between(0, a * b - 1), F.date_format(F.date_add(first, moved), layout)
+        ).otherwise(value)
+
     return (
         F.when(value.contains("-"), written_as("yyyy-MM-dd"))
         .when(value.contains("."), written_as("dd.MM.yyyy"))
-        .otherwise(written_as("MM/dd/yyyy"))
+        .when(F.try_to_date(value, "MM/dd/yyyy").isNotNull(), written_as("MM/dd/yyyy"))
+        .otherwise(day_first())
     )
 
 

@@ -187,3 +187,25 @@ def test_awkward_rows(spark):
 def test_plan_is_native(spark):
     plan = pseudonyms.pseudonymise(documents(spark), KEY)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def test_cards_accounts_and_dates_as_they_are_printed(spark):
+    texts = [
+        "4111 1111 1111 1111 12/27",
+        "4111111111111111 123",
+        "DE89 3704 0044 0532 0130 00",
+        "GB82 WEST 1234 5698 7654 32 USD",
+        "AB12 4111 1111 1111 1111",
+        "25/12/2024",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [r.text for r in pseudonyms.pseudonymise(docs, KEY).orderBy("doc_id").collect()]
+    for old, new in zip(texts, got):
+        assert old != new and len(old) == len(new)
+    for k, tail in ((0, " 12/27"), (1, " 123")):
+        assert got[k].endswith(tail) and luhn(re.sub("[^0-9]", "", got[k][: -len(tail)]))
+    for k in (2, 3):
+        plain = got[k].removesuffix(" USD").replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert got[4].startswith("AB12 ") and luhn(got[4][5:].replace(" ", ""))
+    assert datetime.datetime.strptime(got[5], "%d/%m/%Y").day > 12
