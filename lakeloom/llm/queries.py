@@ -10,6 +10,7 @@ from lakeloom.llm import (
     chat,
     decontam,
     langid,
+    lexical,
     licenses,
     masked_lm,
     pieces,
@@ -140,3 +141,43 @@ from cleaned c left join counts k on k.source = c.n left join lowest l on l.sour
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle_words=4, max_bits=4)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+ORACLES["op12_lexical_search"] = r"""
+with words as (
+    select row_number() over () as doc, doc_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents),
+lengths as (select doc, doc_id, len(terms) as n from words where len(terms) > 0),
+totals as (select cast(count(*) as bigint) as docs, cast(sum(n) as bigint) as terms from lengths),
+asked as (
+    select distinct item, item_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select row_number() over () as item, item_id, text from benchmark)),
+counted as (
+    select doc, term, count(*) as tf
+    from (select doc, unnest(terms) as term from words)
+    where term in (select term from asked) group by doc, term),
+weights as (
+    select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) as w
+    from counted, totals group by term, docs),
+scored as (
+    select item, item_id, doc_id,
+           cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // t.terms)))) as bigint) as score
+    from asked join counted using (term) join weights using (term) join lengths using (doc), totals t
+    group by item, item_id, doc, doc_id),
+ranked as (
+    select item_id, doc_id, score,
+           cast(row_number() over (partition by item order by score desc, doc_id asc nulls last) as integer) as rank
+    from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
