@@ -13,6 +13,7 @@ from lakeloom.llm import (
     lexical,
     licenses,
     masked_lm,
+    phrases,
     pieces,
     pseudonyms,
     rans,
@@ -181,3 +182,50 @@ ranked as (
     from scored where score > 0)
 select item_id, rank, doc_id, score from ranked where rank <= 10
 """
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    session(spark)
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op13_collocations"] = r"""
+with pieces as (
+    select row_number() over () as piece, lang, words from (
+        select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents))
+    where len(words) > 0),
+places as (
+    select lang, words, unnest(generate_series(1, len(words))) as s from pieces),
+grams as (
+    select lang, list_slice(words, s, s + d - 1) as w, count(*) as f
+    from places, (values (1), (2), (3), (4)) t(d)
+    where s + d - 1 <= len(words)
+    group by all having count(*) >= 30),
+totals as (select lang, sum(len(words)) as n from pieces group by lang),
+cuts as (
+    select c.lang, c.w, c.f as a, k, l.f as l, r.f as r,
+           cast(cast(2000000 as hugeint) * c.f // (cast(l.f as hugeint) + r.f) as bigint) as score
+    from (select *, unnest(generate_series(1, len(w) - 1)) as k from grams where len(w) > 1) c
+    join grams l on l.lang = c.lang and l.w = list_slice(c.w, 1, k)
+    join grams r on r.lang = c.lang and r.w = list_slice(c.w, k + 1, len(c.w))),
+best as (
+    select * from cuts qualify row_number() over (partition by lang, w order by score, k) = 1),
+inner_parts as (
+    select lang, list_slice(w, s, s + d - 1) as w, max(f) as longer
+    from (select lang, w, f, d, unnest(generate_series(1, len(w) - d + 1)) as s
+          from grams, (values (2), (3)) t(d) where len(w) > d)
+    group by all),
+ranked as (
+    select b.lang, array_to_string(b.w, ' ') as phrase, a, l, r, score
+    from best b left join inner_parts i on i.lang = b.lang and i.w = b.w
+    where longer is null or cast(100 as hugeint) * longer < cast(80 as hugeint) * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+       phrase, a, l, r, cast(n as bigint) as n, score
+from ranked join totals using (lang)
+qualify rank <= 2000
+"""
