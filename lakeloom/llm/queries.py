@@ -15,6 +15,7 @@ from lakeloom.llm import (
     masked_lm,
     phrases,
     pieces,
+    prefixes,
     pseudonyms,
     rans,
     simhash,
@@ -144,6 +145,21 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle_words=4, max_bits=4)
 
 
+TOKEN_LIMIT = 2048
+
+
+@query
+def op11_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    session(spark)
+    definition = rans.definition_of(public_tokenizers.path("word_bpe_49k.json"))
+    counted = prefixes.prefix_table(table(spark, folder, "documents"), definition)
+    return prefixes.within(counted, TOKEN_LIMIT).withColumn(
+        "over_limit", prefixes.over_limit(TOKEN_LIMIT)
+    )
+
+
 @query
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     session(spark)
