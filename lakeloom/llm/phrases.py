@@ -40,7 +40,7 @@ WORD = kinds([b for b in range(256) if b not in b"\x20\x09" + BREAKS], BREAKS)
 DEPTH = 4
 BUDGET = 1 << 20  # suffixes in a group
 GROUPS_A_PARTITION = 2
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 MARK_BITS = 26
 BUCKET_BITS = 16, 22
 SEEDS = 8
@@ -114,8 +114,11 @@ def words_with_ids(rows: DataFrame, first_seed: int = 0) -> tuple[DataFrame, int
 # --- suffixes -----------------------------------------------------------------------
 
 
-def marks_of(words: DataFrame, least: int) -> np.ndarray:
-    """Bitmap of the leading bits of the ids of words that are frequent in some language."""
+def marks_of(words: DataFrame, least: int) -> bytes:
+    """Bitmap of the leading bits of the ids of words that are frequent in some language.
+
+    It is compressed, as most of it is zero until a corpus is very large.
+    """
     bit = F.shiftrightunsigned("id", 64 - MARK_BITS)
     found = (
         words.where(F.col("a") >= least)
@@ -125,13 +128,21 @@ def marks_of(words: DataFrame, least: int) -> np.ndarray:
     )
     marks = np.zeros(1 << MARK_BITS - 6, np.uint64)
     marks[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return np.unpackbits(marks.view(np.uint8), bitorder="little").view(bool)
+    return pa.compress(marks.tobytes(), codec="zstd", asbytes=True)
+
+
+def marked(marks: bytes) -> np.ndarray:
+    """The bitmap as 64-bit words."""
+    size = 1 << MARK_BITS - 3
+    return np.frombuffer(pa.decompress(marks, size, codec="zstd", asbytes=True), np.uint64)
 
 
 def suffixes(codes, pieces, hashes, marks) -> np.ndarray:
     """Distinct suffixes of two words or more, with counts; 0 stands for no word."""
     n = len(codes)
-    frequent = marks[(hashes >> np.uint64(64 - MARK_BITS)).astype(np.int64)][codes]
+    bit = hashes >> np.uint64(64 - MARK_BITS)
+    words = marks[(bit >> np.uint64(6)).astype(np.int64)]
+    frequent = (words >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)[codes]
     goes_on = frequent.copy()
     packed = []
     code = codes.astype(np.uint64) + np.uint64(1)
@@ -221,7 +232,7 @@ def bucket_loads(rows: DataFrame, seed: int, shared) -> np.ndarray:
     bits = shared.value[1].bits
 
     def run(batches):
-        marks, groups = shared.value
+        marks, groups = marked(shared.value[0]), shared.value[1]
         depth = len(groups.loads) + 1
         loads = np.zeros(1 << bits, np.int64)
         for _, codes, pieces, hashes, _ in by_language(batches, seed):
@@ -241,7 +252,9 @@ def dense(loads: DataFrame, bits: int) -> np.ndarray:
     return result
 
 
-def partitioned(rows: DataFrame, words: DataFrame, seed: int, marks, budget: int) -> Groups:
+def partitioned(
+    rows: DataFrame, words: DataFrame, seed: int, marks: bytes, budget: int
+) -> Groups:
     """The groups of all suffixes; a pass over the texts for each level that is parted."""
     spark = rows.sparkSession
     total = words.agg(F.sum("a")).first()[0] or 0
@@ -265,7 +278,7 @@ def dealt(rows: DataFrame, seed: int, shared) -> DataFrame:
     """``part, lang, n, suffixes``: each batch's suffixes, compressed, by group."""
 
     def run(batches):
-        marks, groups = shared.value
+        marks, groups = marked(shared.value[0]), shared.value[1]
         for lang, codes, pieces, hashes, _ in by_language(batches, seed):
             found = suffixes(codes, pieces, hashes, marks)
             group = groups.of(found)
