@@ -51,8 +51,8 @@ from lakeloom.llm.shared import (
 WORD_END = "</w>"
 NEVER = 1 << 60
 BATCH_BYTES = 8 << 20
-REMEMBERED = 96 << 20  # bytes of words in a Python worker
-PAIRS = 1 << 20  # remembered answers on neighbours
+REMEMBERED = 64 << 20  # bytes of words in a Python worker
+PAIRS = 1 << 18  # remembered answers on neighbours
 BLANKS = np.zeros(256, bool)
 BLANKS[[0x20, *range(0x09, 0x0E)]] = True
 # Behind letters these are a part of their own; not the signs of contractions and specials.
