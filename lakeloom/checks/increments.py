@@ -125,6 +125,31 @@ def inc_05_sync_tables(d):
     return orders.unionByName(events).unionByName(days)
 
 
+@check(
+    "inc_05_sync_late_rows",
+    f"""select event_id, {stamp('ts')} as changed, event_type from events where event_id % 10 > 0
+    union all
+    select event_id, null, case when event_id % 20 = 0 then 'second' else event_type end
+    from events where event_id % 10 = 0""",
+)
+def inc_05_sync_late_rows(d):
+    """Three runs over rows with a zoned time: late commits and rows without a time."""
+    time = F.when(F.col("event_id") % 10 > 0, F.col("ts").cast("timestamp"))
+    rows = d.events().select("event_id", time.alias("changed"), "event_type")
+    untimed = F.col("changed").isNull()
+    second = F.when(untimed & (F.col("event_id") % 20 == 0), "second").otherwise(F.col("event_type"))
+    cut = F.lit(CUT).cast("timestamp")
+    # Every seventh row of the two days before the cut is committed after the first run.
+    late = (F.col("changed") >= cut - F.expr("interval 2 days")) & (F.col("event_id") % 7 == 0)
+    rule = inc.SyncRule("events", "changed", ("event_id",), overlap="interval 2 days")
+    root = scratch_path(d.spark, "late")
+    marks = inc.Bookmarks(d.spark, f"{root}/marks")
+    first = rows.filter(untimed | (F.col("changed") < cut) & ~late)
+    inc.sync_table(first, f"{root}/events", marks, rule)
+    inc.sync_table(rows.filter(untimed | (F.col("changed") < cut)), f"{root}/events", marks, rule)
+    return inc.sync_table(rows.withColumn("event_type", second), f"{root}/events", marks, rule).read()
+
+
 @check(
     "inc_06_deleted_keys",
     "select o_orderkey from orders where o_orderstatus = 'P'",

@@ -418,3 +418,78 @@ def test_scratch_is_removed_on_request(spark, monkeypatch):
     path = session._made_here[0]
     assert session.clear_scratch(spark) == 1 and session._made_here == []
     assert not Path(path.removeprefix("file:")).exists()
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Berlin", "UTC"])
+def test_sync_does_not_depend_on_the_time_zone(spark, folder, monkeypatch, zone):
+    import time
+
+    from lakeloom.operators.incremental import SyncRule, sync_table
+
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        marks = Bookmarks(spark, f"{folder}/marks")
+        rule = SyncRule("log", "at", ("id",))
+
+        def source(*rows):
+            df = spark.createDataFrame(list(rows), "id int, text string")
+            return df.select("id", F.to_timestamp("text").alias("at"))
+
+        rows = [(1, "2024-03-01 10:00:00"), (2, "2024-03-01 11:00:00"), (3, None)]
+        first = sync_table(source(*rows), f"{folder}/log", marks, rule)
+        assert sorted(r.id for r in first.read().collect()) == [1, 2, 3]
+        rows += [(4, "2024-03-01 11:30:00"), (5, None)]
+        again = sync_table(source(*rows), f"{folder}/log", marks, rule)
+        got = again.read().select("id", F.col("at").cast("string").alias("at")).collect()
+        assert sorted(map(tuple, got)) == rows
+        assert marks.last("log") == ["2024-03-01 11:30:00"]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_sync_reads_late_rows_within_the_overlap(spark, folder):
+    from lakeloom.operators.incremental import SyncRule, sync_table
+
+    marks = Bookmarks(spark, f"{folder}/marks")
+    schema = "id int, at int, x string"
+    keyed, log = SyncRule("t", "at", ("id",), overlap="10"), SyncRule("l", "at", overlap="10")
+
+    def run(rows):
+        return [
+            sorted(map(tuple, sync_table(spark.createDataFrame(rows, schema), f"{folder}/{r.table}", marks, r).read().collect()), key=repr)
+            for r in (keyed, log)
+        ]
+
+    rows = [(1, 100, "a"), (2, 95, "b"), (3, None, "c"), (3, None, "c")]
+    by_key, all_rows = run(rows)
+    assert by_key == sorted(rows[:3], key=repr) and all_rows == sorted(rows, key=repr)
+    rows += [(4, 91, "late"), (4, 91, "late"), (5, 89, "too late"), (6, None, "new")]
+    by_key, all_rows = run(rows)
+    assert [r[0] for r in by_key] == [1, 2, 3, 4, 6] and len(all_rows) == 7
+    # Late rows do not move the bookmark back, and a second run adds nothing.
+    assert marks.last("t") == ["100"]
+    assert run(rows) == [by_key, all_rows]
+    # Content of a row without a check value changes: the last loaded counts.
+    by_key, _ = run([(3, None, "B"), (3, None, "B")])
+    assert (3, None, "B") in by_key and (3, None, "c") not in by_key
+    by_key, _ = run([(3, None, "A")])
+    assert (3, None, "A") in by_key
+
+
+def test_merge_reads_the_table_once(spark, folder):
+    from lakeloom.operators.incremental import merge
+
+    spark.range(1000).selectExpr("id as k", "id as at", "'x' as wide").write.parquet(f"{folder}/base")
+    base = spark.read.parquet(f"{folder}/base")
+    delta = spark.createDataFrame([(1, 5000, "new"), (2, -1, "old"), (5000, 1, "added")], "k bigint, at bigint, wide string")
+    merged = merge(base, delta, ["k"], ["at"])
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation" in line and "parquet" in line]
+    assert len(scans) == 2
+    physical = merged._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("ReadSchema: struct<k:bigint,at:bigint,wide:string>") == 1
+    assert physical.count("ReadSchema: struct<k:bigint>") == 1
+    rows = {r.k: (r.at, r.wide) for r in merged.collect()}
+    assert len(rows) == 1001 and rows[1] == (5000, "new") and rows[2] == (2, "x") and rows[5000] == (1, "added")
