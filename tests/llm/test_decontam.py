@@ -2,30 +2,42 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from lakeloom.llm import decontam
 from tests.llm.data import FOLDER, LONG, awkward, documents, nothing
 
 
-def slow_distance(word: bytes, text: bytes) -> int:
-    """Fewest edits between the word and any region of the text."""
-    row = [0] * (len(text) + 1)
-    for i, c in enumerate(word, 1):
-        new = [i]
-        for j, d in enumerate(text, 1):
-            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
-        row = new
-    return min(row)
+def slow_distances(words: list[bytes], text: bytes) -> np.ndarray:
+    """Fewest edits between each word and any region of the text; the words are as long.
+
+    The whole table of edits, a column of it for each byte of the text, all words at once.
+    """
+    letters = np.array([list(w) for w in words], np.uint8).reshape(len(words), -1)
+    steps = np.arange(letters.shape[1] + 1, dtype=np.int8 if letters.shape[1] < 120 else np.int32)
+    column = np.repeat(steps[None], len(words), 0)
+    best = column[:, -1].copy()
+    for d in text:
+        new = np.zeros_like(column)
+        np.minimum(column[:, :-1] + (letters != d), column[:, 1:] + 1, out=new[:, 1:])
+        # A byte of the word without mate costs one more than the row above.
+        column = np.minimum.accumulate(new - steps, axis=1) + steps
+        np.minimum(best, column[:, -1], out=best)
+    return best
 
 
 def slow_found(index: decontam.Index, text: bytes) -> dict[int, int]:
     found: dict[int, int] = {}
     text = decontam.normal(text)
-    for window, owner, edits in zip(index.windows, index.owners.tolist(), index.edits.tolist()):
-        distance = slow_distance(window, text)
-        if distance <= edits:
-            found[owner] = min(distance, found.get(owner, distance))
+    by_length: dict[int, list[int]] = {}
+    for i, window in enumerate(index.windows):
+        by_length.setdefault(len(window), []).append(i)
+    for group in by_length.values():
+        for i, distance in zip(group, slow_distances([index.windows[i] for i in group], text).tolist()):
+            if distance <= index.edits[i]:
+                owner = int(index.owners[i])
+                found[owner] = min(distance, found.get(owner, distance))
     return found
 
 
