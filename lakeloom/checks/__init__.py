@@ -14,6 +14,7 @@ from lakeloom.checks import (  # noqa: F401  (each module registers its queries)
     imports,
     lakes,
     increments,
+    upkeep,
     streams,
 )
 
