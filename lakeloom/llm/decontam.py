@@ -1,7 +1,9 @@
 """Benchmark decontamination by the q-gram lemma, diagonal bands and banded alignment.
 
 Method. Texts are lower-cased (A-Z) and runs of white space become one blank. Benchmark
-items are cut into overlapping windows. A region of a document that is within ``k`` edits
+items are cut into windows that start as many bytes apart as a window may have edits, so
+that an excerpt as long as a window is at most half of its edits away from one, wherever
+it starts. A region of a document that is within ``k`` edits
 of a window of ``m`` bytes shares at least ``m + 1 - q (k + 1)`` of its q-grams with it
 (the q-gram lemma), and the diagonals of those q-grams differ by at most ``k``. So shared
 q-grams are counted in bands of diagonals ``2 (k + 1)`` wide that overlap by half; one
@@ -9,8 +11,9 @@ band holds all of them. Bands that reach the bound are verified by an alignment
 the band.
 
 Scale. Documents stream past an index of the benchmark; nothing of them is shuffled. The
-index is built and sent to the tasks in slices of bounded size, one pass of the documents
-each, so a benchmark of any size works (a usual one is one slice).
+index is built and sent to the tasks in slices of bounded size (a usual benchmark is one).
+After ``SLICES_A_STAGE`` of them the findings so far are written, so that a task never
+holds more indexes at a time, however large the benchmark is.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ from lakeloom.llm.shared import (
     session,
     texts,
 )
+from lakeloom.session import materialize
 
 Q = 8  # one 64-bit word
 WINDOW_BYTES = 80
 EDIT_RATE = 0.1
-SLICE_BYTES = 4 << 20  # benchmark text in one index; its size in memory is some 40 times that
+SLICE_BYTES = 1 << 19  # benchmark text in one index; its size in memory is some 200 times that
+SLICES_A_STAGE = 2  # indexes that a task holds; their findings are written before the next
 SCAN_BYTES = 1 << 20  # text scanned at once, and the length of a piece of a longer text
 TABLE_BITS = 22
 MIXER = np.uint64(0x9E3779B97F4A7C15)
@@ -48,11 +53,11 @@ def edits_allowed(length: int, rate: float) -> int:
     return max(0, min(int(rate * length), length // Q - 1))
 
 
-def windows_of(item: bytes, size: int) -> list[bytes]:
-    """Overlapping windows that cover the item; the last ends with it."""
+def windows_of(item: bytes, size: int, step: int) -> list[bytes]:
+    """Windows that start every ``step`` bytes; the last ends with the item."""
     if len(item) <= size:
         return [item]
-    starts = [*range(0, len(item) - size, size // 2), len(item) - size]
+    starts = [*range(0, len(item) - size, step), len(item) - size]
     return [item[s : s + size] for s in starts]
 
 
@@ -82,7 +87,7 @@ class Index:
                 if text:
                     self.whole.setdefault(text, []).append(item_id)
                 continue
-            cut = windows_of(text, window)
+            cut = windows_of(text, window, max(edits_allowed(window, rate), 1))
             self.windows += cut
             owners += [item_id] * len(cut)
         self.owners = np.array(owners, np.int64)
@@ -101,13 +106,13 @@ class Index:
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[slot(self.values)] = True
 
-    def candidates(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(window, first diagonal of the band) of all bands that reach the bound."""
+    def candidates(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, first diagonal, shared q-grams) of all bands that reach the bound."""
         none = np.empty(0, np.int64)
         all_grams = grams(text)
         at = np.flatnonzero(self.table[slot(all_grams)])
         if not len(at) or not len(self.values):
-            return none, none
+            return none, none, none
         value = all_grams[at]
         k = np.minimum(np.searchsorted(self.values, value), len(self.values) - 1)
         exact = self.values[k] == value
@@ -128,7 +133,7 @@ class Index:
         enough = seen >= self.bound[keys >> 40]
         window = keys[enough] >> 40
         first = ((keys[enough] & ((1 << 40) - 1)) - shift) * (self.edits[window] + 1)
-        return window, first
+        return window, first, seen[enough]
 
     def distances(self, text: bytes, window: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Fewest edits of each window within its band; ends of the text are free."""
@@ -181,7 +186,7 @@ def found_in(index: Index, text: bytes, pieces: int = SCAN_BYTES) -> dict[int, i
     overlap = 4 * max(map(len, index.windows), default=0)
     for at in range(0, max(len(text), 1), pieces):
         piece = text[at : at + pieces + overlap]
-        for window, _, edits in matches(index, piece):
+        for _, window, edits in matches(index, piece):
             item = int(index.owners[window])
             result[item] = min(edits, result.get(item, edits))
     for item in index.whole.get(text, []):
@@ -189,14 +194,36 @@ def found_in(index: Index, text: bytes, pieces: int = SCAN_BYTES) -> dict[int, i
     return result
 
 
-def matches(index: Index, text: bytes) -> list[tuple[int, int, int]]:
-    """(window, first diagonal of its band, edits) of the verified bands."""
-    window, first = index.candidates(text)
+def matches(
+    index: Index, text: bytes, ends: np.ndarray | None = None
+) -> list[tuple[int, int, int]]:
+    """(text, window, edits) of verified bands: those that decide each item's fewest edits.
+
+    ``ends`` are the ends of joined texts. Per text and item the band with the most shared
+    q-grams is verified first; where it is an exact copy, which nothing can better, the
+    item's other bands (many, in a text that repeats itself) need no alignment.
+    """
+    window, first, seen = index.candidates(text)
     if not len(window):
         return []
-    edits = index.distances(text, window, first)
+    number = np.zeros(len(window), np.int64)
+    if ends is not None:
+        lengths = np.array([len(w) for w in index.windows], np.int64)[window]
+        middle = first + index.edits[window] + lengths // 2
+        number = np.searchsorted(ends, middle, side="right")
+    _, owner = np.unique(index.owners[window], return_inverse=True)
+    group = number * (int(owner.max()) + 1) + owner
+    order = np.lexsort((-seen, group))
+    best = order[np.flatnonzero(np.r_[True, np.diff(group[order]) != 0])]
+    edits = np.full(len(window), 1 << 20, np.int64)
+    edits[best] = index.distances(text, window[best], first[best])
+    rest = ~np.isin(group, group[best[edits[best] == 0]])
+    rest[best] = False
+    rest = np.flatnonzero(rest)
+    if len(rest):
+        edits[rest] = index.distances(text, window[rest], first[rest])
     good = edits <= index.edits[window]
-    return list(zip(window[good].tolist(), first[good].tolist(), edits[good].tolist()))
+    return list(zip(number[good].tolist(), window[good].tolist(), edits[good].tolist()))
 
 
 def scan(index: Index, batch: list[bytes]) -> list[dict[int, int]]:
@@ -227,9 +254,8 @@ def screen(index, normals, group, results) -> None:
     gap = b"\0" * (int(index.edits.max(initial=0)) + Q)
     joined = gap.join(normals[i] for i in group)
     ends = np.cumsum([len(normals[i]) + len(gap) for i in group])
-    for window, first, edits in matches(index, joined):
-        middle = first + int(index.edits[window]) + len(index.windows[window]) // 2
-        i = group[int(np.searchsorted(ends, middle, side="right"))]
+    for number, window, edits in matches(index, joined, ends):
+        i = group[number]
         found = results[i] = results[i] or {}
         item = int(index.owners[window])
         found[item] = min(edits, found.get(item, edits))
@@ -279,8 +305,14 @@ def contamination(
         F.expr("cast(array() as array<bigint>)").alias("item_ids"),
         F.lit(None).cast("bigint").alias("min_edits"),
     )
+    held = []
     for items in slices(benchmark, "item_id", "text", slice_bytes):
+        if len(held) == SLICES_A_STAGE:
+            found = materialize(found, "decontam")
+            while held:
+                held.pop().unpersist()
         shared = spark.sparkContext.broadcast(items)
+        held.append(shared)
         schema = found.schema
 
         path = (inside, text) if inside else ("_text",)

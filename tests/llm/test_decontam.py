@@ -78,6 +78,31 @@ def test_findings_match_brute_force(spark, items):
     assert [decontam.found_in(index, decontam.normal(t), 256) for t in texts] == want
 
 
+def test_excerpts_are_found_wherever_they_start(items):
+    """Every excerpt of a window's length, between other text; some with edits of their own."""
+    random.seed(4)
+    item = max((decontam.normal(t) for _, t in items), key=len)
+    item = (item + b" " + item[::-1]) * 2
+    index = decontam.Index([(1, item)], decontam.WINDOW_BYTES, decontam.EDIT_RATE)
+    other = b"0123456789 " * 20
+    texts, spoilt = [], []
+    for start in range(len(item) - decontam.WINDOW_BYTES + 1):
+        excerpt = item[start : start + decontam.WINDOW_BYTES]
+        texts.append(other + excerpt + other)
+        spoilt.append(other + noisy(excerpt, 3) + other)
+    assert len(texts) > 500
+    assert all(found == {1: found.get(1)} for found in decontam.scan(index, texts))
+    assert all(1 in found for found in decontam.scan(index, spoilt))
+
+
+def test_slices_do_not_pile_up_in_a_stage(spark):
+    docs, benchmark = documents(spark), spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    total = benchmark.selectExpr("sum(octet_length(text))").first()[0]
+    many = decontam.contamination(docs, benchmark, slice_bytes=total // 9)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("MapInArrow") <= decontam.SLICES_A_STAGE
+
+
 def test_lemma_holds_for_every_window(items):
     index = decontam.Index(items, decontam.WINDOW_BYTES, decontam.EDIT_RATE)
     for window, edits, bound in zip(index.windows, index.edits, index.bound):
