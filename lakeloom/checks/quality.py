@@ -1,11 +1,12 @@
 """Cleaning rules, quality reports and constraint checks on dirtied tables."""
 
 from dataclasses import replace
+from itertools import combinations
 
 from lakeloom.checks.registry import check, day, having, stamp
 from lakeloom.functions.money import money
 from lakeloom.functions.text import EMAIL_PATTERN
-from lakeloom.operators import quality
+from lakeloom.operators import discovery, quality
 from lakeloom.sources.schemas import struct
 from pyspark.sql import functions as F
 
@@ -268,3 +269,54 @@ def dq_14_conform(d):
     )
     typed = quality.conform(loose, struct("event_id bigint, user_id bigint, day date, note string"))
     return typed.withColumn("bad", F.array_join("_bad_columns", ",")).drop("_bad_columns")
+
+
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+
+
+def _unique_sql():
+    """Every set of up to three columns; the unique ones without a unique subset."""
+    sets = [c for n in (1, 2, 3) for c in combinations(LINE_COLUMNS, n)]
+    tests = [
+        f"select [{', '.join(repr(x) for x in c)}] as columns, "
+        f"(select count(*) from (select distinct {', '.join(c)} from lineitem)) = (select count(*) from lineitem) as whole"
+        for c in sets
+    ]
+    return f"""with tried as ({' union all '.join(tests)}),
+    good as (select columns from tried where whole)
+    select array_to_string(columns, ',') as columns from good g
+    where not exists (select * from good h where len(h.columns) < len(g.columns) and list_has_all(g.columns, h.columns))"""
+
+
+@check("dq_11_found_keys", _unique_sql())
+def dq_11_found_keys(d):
+    found = discovery.unique_sets(d.raw("lineitem").select(*LINE_COLUMNS))
+    return found.select(F.array_join("columns", ",").alias("columns"))
+
+
+KEY_COLUMNS = {
+    "customer": ("c_custkey", "c_nationkey"),
+    "nation": ("n_nationkey", "n_regionkey"),
+    "region": ("r_regionkey", "r_name"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linestatus"),
+    "part": ("p_partkey", "p_name"),
+    "supplier": ("s_suppkey", "s_nationkey"),
+}
+
+
+def _inclusion_sql():
+    """Every pair of columns of a kind, by set difference."""
+    text = {"r_name", "o_orderstatus", "l_linestatus", "p_name"}
+    columns = [(t, c) for t, cs in KEY_COLUMNS.items() for c in cs]
+    pairs = [
+        f"select '{t}' as child_table, '{c}' as child, '{u}' as parent_table, '{e}' as parent, "
+        f"(select count(distinct {c}) from {t}) as n_values where not exists (select {c} from {t} except select {e} from {u})"
+        for t, c in columns for u, e in columns if (t, c) != (u, e) and (c in text) == (e in text)
+    ]
+    return " union all ".join(pairs)
+
+
+@check("dq_10_found_references", _inclusion_sql())
+def dq_10_found_references(d):
+    return discovery.inclusions({t: d.raw(t).select(*cs) for t, cs in KEY_COLUMNS.items()})

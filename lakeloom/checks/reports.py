@@ -6,7 +6,7 @@ from lakeloom.operators.relational import search
 from lakeloom.plans import reports
 from lakeloom.plans.binding import COPY_KEY
 from lakeloom.session import scratch_path
-from lakeloom.sources.federation import register_folders, register_frames, unused_system
+from lakeloom.sources.federation import federated
 from lakeloom.sources.relational import FolderSource, import_table
 from pyspark.sql import functions as F
 
@@ -142,6 +142,31 @@ def customer_balance(d):
     return reports.balances(d.customer(), d.rental(), d.film(), d.payment(), AS_OF)
 
 
+@check(
+    "customer_balances_at",
+    having("payment", "rental", "film", "cust")
+    + f""", entries as (
+        select customer_id, rental_date as moment, rental_rate as fee,
+               case when days_kept > rental_duration then days_kept - rental_duration else 0 end as late, 0.00 as paid
+        from rental join film using (film_id)
+        union all select customer_id, payment_date, 0, 0, amount from payment),
+    asked as (
+        select customer_id, payment_date as moment from payment union select customer_id, timestamp '{AS_OF}' from cust),
+    totals as (
+        select a.customer_id, a.moment, coalesce(sum(fee), 0) as fees, coalesce(sum(late), 0) as late, coalesce(sum(paid), 0) as paid
+        from asked a left join entries e on e.customer_id = a.customer_id and e.moment <= a.moment group by 1, 2)
+    select customer_id, {stamp('moment')} as "at", cast(fees as double) as rent_fees, cast(late as bigint) as overdue_days,
+           cast(paid as double) as payments, cast(fees + late - paid as double) as balance
+    from totals""",
+)
+def customer_balances_at(d):
+    """Every customer's balance after each payment and at a date."""
+    date = F.lit(AS_OF).cast("timestamp_ntz")
+    asked = d.payment().select("customer_id", F.col("payment_date").alias("at"))
+    asked = asked.unionByName(d.customer().select("customer_id", date.alias("at")))
+    return reports.balances_at(asked, d.rental(), d.film(), d.payment())
+
+
 @check(
     "items_in_stock",
     """select l_partkey as film_id, l_suppkey as store_id from lineitem
@@ -250,13 +275,12 @@ def _kept(df, label):
     + """select customer_id, first_name, email from cust where active order by customer_id limit 5""",
 )
 def federated_join(d):
-    lake = unused_system("lake")
-    register_folders(d.spark, lake, {"customer_active": _lake_folder(d)})
-    register_frames(d.spark, "live", {"customer": d.customer()})
-    joined = d.spark.sql(
-        f"""select l.customer_id, l.first_name, p.email
-        from {lake}.customer_active l join live_customer p on l.customer_id = p.customer_id"""
-    )
+    lake, live = {"lake": {"customer_active": _lake_folder(d)}}, {"live": {"customer": d.customer()}}
+    with federated(d.spark, lake, live) as at:
+        joined = d.spark.sql(
+            f"""select l.customer_id, l.first_name, p.email
+            from {at['lake']}.customer_active l join {at['live']}_customer p on l.customer_id = p.customer_id"""
+        )
     return top_rows(joined, [F.col("customer_id")], 5)
 
 
@@ -271,10 +295,9 @@ def federated_metrics(d):
     metrics = d.payment().groupBy("customer_id").agg(
         F.sum("amount").alias("total_spent"), F.max("payment_date").alias("last_seen")
     )
-    gold = unused_system("gold")
-    register_folders(d.spark, gold, {"customer_metrics": _kept(metrics, "metrics")})
-    register_frames(d.spark, "live", {"customer": d.customer()})
-    return d.spark.sql(
-        f"""select c.first_name, c.last_name, c.email, m.total_spent, m.last_seen
-        from live_customer c join {gold}.customer_metrics m on c.customer_id = m.customer_id"""
-    )
+    gold, live = {"gold": {"customer_metrics": _kept(metrics, "metrics")}}, {"live": {"customer": d.customer()}}
+    with federated(d.spark, gold, live) as at:
+        return d.spark.sql(
+            f"""select c.first_name, c.last_name, c.email, m.total_spent, m.last_seen
+            from {at['live']}_customer c join {at['gold']}.customer_metrics m on c.customer_id = m.customer_id"""
+        )

@@ -69,7 +69,7 @@ def _revenue(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _per_film(fact: DataFrame) -> DataFrame:
-    """Films summed per month, so that later joins move and multiply totals, not payments."""
+    """Films summed per month, so that a join with several rows a film multiplies totals only."""
     return fact.groupBy("film_id", "year", "month").agg(
         *[F.sum(c).alias(c) for c in ("paid", "n_payments", "n_amounts")]
     )
@@ -77,11 +77,13 @@ def _per_film(fact: DataFrame) -> DataFrame:
 
 def monthly_revenue(payment: DataFrame, rental: DataFrame, film: DataFrame,
                     unique: bool = False) -> DataFrame:
-    """Revenue, payments and average payment by month and film rating."""
-    per_film = _per_film(sales_fact(payment, rental, unique))
-    return _revenue(
-        per_film.join(film.select("film_id", "rating"), "film_id"), ["year", "month", "rating"]
-    )
+    """Revenue, payments and average payment by month and film rating.
+
+    A film has one rating, so the join multiplies nothing and the payments meet it as they
+    are; the sums by month and rating, few as they are, are then the only other shuffle.
+    """
+    fact = sales_fact(payment, rental, unique)
+    return _revenue(fact.join(film.select("film_id", "rating"), "film_id"), ["year", "month", "rating"])
 
 
 def monthly_revenue_by_category(

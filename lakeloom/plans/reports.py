@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.dates import days_between, previous_month
 from lakeloom.functions.text import capitalise
 from lakeloom.operators.ranking import latest_by_key
+from lakeloom.operators.asof import totals_as_of
 from lakeloom.operators.relational import keep_matching, keep_missing, ordered_list
 from lakeloom.plans.marts import payments_per_rental
 
@@ -92,15 +93,18 @@ def actor_info(actor: DataFrame, film_actor: DataFrame, film_category: DataFrame
     """Per actor the films by category as one text; actors without films get NULL."""
     titles = film.select("film_id", "title").join(film_category.select("film_id", "category"), "film_id")
     played = film_actor.select("film_id", "actor_id").join(titles, "film_id")
-    by_category = ordered_list(played, ["actor_id", "category"], "title", name="_titles")
-    entries = by_category.select(
-        "actor_id", "category", F.concat(F.col("category"), F.lit(": "), F.col("_titles")).alias("_entry")
-    )
-    # One entry per actor and category is left, so this list is short.
-    ordered = F.array_sort(F.collect_list(F.struct("category", "_entry")))
-    info = entries.groupBy("actor_id").agg(
-        F.array_join(F.transform(ordered, lambda e: e["_entry"]), "; ").alias("film_info")
-    )
+    # One shuffle by actor: each of the sorted pairs is written behind the one before.
+    pairs = F.array_sort(F.collect_list(F.struct("category", "title")))
+    listed = played.dropna(subset=["category", "title"]).groupBy("actor_id").agg(pairs.alias("_pairs"))
+
+    def written(pair, i):
+        named = F.concat(pair["category"], F.lit(": "), pair["title"])
+        same = F.get("_pairs", i - 1)["category"] == pair["category"]
+        return F.when(i == 0, named).when(same, F.concat(F.lit(", "), pair["title"])).otherwise(
+            F.concat(F.lit("; "), named)
+        )
+
+    info = listed.select("actor_id", F.array_join(F.transform("_pairs", written), "").alias("film_info"))
     return actor.select("actor_id", "first_name", "last_name").join(info, "actor_id", "left")
 
 
@@ -204,6 +208,32 @@ def balances(customer: DataFrame, rental: DataFrame, film: DataFrame, payment: D
     )
 
 
+def balances_at(asked: DataFrame, rental: DataFrame, film: DataFrame, payment: DataFrame) -> DataFrame:
+    """The same balance for many (``customer_id``, ``at``) pairs in one sweep.
+
+    One row for each different pair; pairs without rentals and payments have zeros.
+    """
+    kept = days_between(F.col("return_date"), F.col("rental_date"))
+    over = F.greatest(kept - F.col("rental_duration"), F.lit(0))
+    late = F.when(F.col("return_date").isNotNull(), over).otherwise(0).cast("bigint")
+    none = F.lit(0).cast("bigint").alias("overdue_days")
+    nothing = F.lit(0).cast("decimal(18,2)")
+    owed = rental.select("customer_id", "film_id", "rental_date", "return_date").join(
+        film.select("film_id", "rental_rate", "rental_duration"), "film_id"
+    ).select(
+        "customer_id", F.col("rental_date").alias("at"), F.col("rental_rate").alias("rent_fees"),
+        late.alias("overdue_days"), nothing.alias("payments"),
+    )
+    paid = payment.select(
+        "customer_id", F.col("payment_date").alias("at"), nothing.alias("rent_fees"), none,
+        F.col("amount").alias("payments"),
+    )
+    measures = ["rent_fees", "overdue_days", "payments"]
+    totals = totals_as_of(owed.unionByName(paid), asked, "customer_id", "at", measures)
+    balance = (F.col("rent_fees") + F.col("overdue_days") - F.col("payments")).cast("decimal(38,2)")
+    return totals.withColumn("balance", balance)
+
+
 def open_rentals(rental: DataFrame) -> DataFrame:
     """Rentals that were not returned."""
     return rental.filter(F.col("return_date").isNull())

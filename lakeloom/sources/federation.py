@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,10 +42,50 @@ def unused_system(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
+_registered_views: set[str] = set()
+
+
 def register_frames(spark: SparkSession, system: str, frames: Mapping[str, DataFrame]) -> None:
-    """Make DataFrames available as ``system_table`` views of this session."""
-    for table, df in frames.items():
-        df.createOrReplaceTempView(f"{system}_{table}")
+    """Make DataFrames available as ``system_table`` views of this session.
+
+    A view of that name that was not registered here is an error and stays untouched.
+    """
+    names = [f"{system}_{table}" for table in frames]
+    foreign = [n for n in names if n not in _registered_views and spark.catalog.tableExists(n)]
+    if foreign:
+        raise ValueError(f"{', '.join(foreign)} exist and were not registered here")
+    for name, df in zip(names, frames.values()):
+        df.createOrReplaceTempView(name)
+        _registered_views.add(name)
+
+
+@contextmanager
+def federated(
+    spark: SparkSession,
+    folders: Mapping[str, Mapping[str, str]],
+    frames: Mapping[str, Mapping[str, DataFrame]],
+) -> Iterator[dict[str, str]]:
+    """Systems of folders and of frames for as long as queries are written over them.
+
+    Gives the names under which each label's system is registered, which no other job
+    uses. On leaving, databases and views made here are dropped; DataFrames made meanwhile
+    stay valid, as their plans have the files, which stay.
+    """
+    names = {label: unused_system(label) for label in (*folders, *frames)}
+    try:
+        for label, tables in folders.items():
+            register_folders(spark, names[label], tables)
+        for label, tables in frames.items():
+            register_frames(spark, names[label], tables)
+        yield names
+    finally:
+        for label in folders:
+            spark.sql(f"drop database if exists `{names[label]}` cascade")
+        for label, tables in frames.items():
+            for table in tables:
+                view = f"{names[label]}_{table}"
+                spark.catalog.dropTempView(view)
+                _registered_views.discard(view)
 
 
 def jdbc_catalog_settings(system: str, options: Mapping[str, str]) -> dict[str, str]:

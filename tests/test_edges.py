@@ -346,6 +346,23 @@ def test_federation_leaves_other_tables_alone(spark, folder):
     spark.sql(f"drop database {system} cascade")
 
 
+def test_federation_leaves_nothing_behind(spark, folder):
+    from lakeloom.sources.federation import federated, register_frames
+
+    spark.range(3).write.parquet(f"{folder}/t")
+    before = {d.name for d in spark.catalog.listDatabases()}
+    with federated(spark, {"lake": {"t": f"{folder}/t"}}, {"live": {"u": spark.range(5)}}) as at:
+        found = spark.sql(f"select * from {at['lake']}.t join {at['live']}_u using (id)")
+    assert {d.name for d in spark.catalog.listDatabases()} == before
+    assert not any("live_" in t.name for t in spark.catalog.listTables())
+    assert found.count() == 3  # the files stay
+    spark.range(1).createOrReplaceTempView("mine_t")
+    with pytest.raises(ValueError, match="mine_t"):
+        register_frames(spark, "mine", {"t": spark.range(2)})
+    assert spark.table("mine_t").count() == 1
+    spark.catalog.dropTempView("mine_t")
+
+
 def test_parallel_imports(spark):
     from lakeloom.sources.relational import TableStatus
 

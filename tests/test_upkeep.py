@@ -288,3 +288,56 @@ def test_cycles_end_and_unknown_rules_are_refused(spark):
     assert cascade.delete(schema, "t", rows.filter("id = 99")).tables["t"].count() == 5
     with pytest.raises(ValueError):
         cascade.Relation("t", ("up",), "t", "ignore")
+
+
+# --- keys that are found -----------------------------------------------------------
+
+
+def test_found_references_and_keys_match_brute_force(spark):
+    from itertools import combinations
+
+    from lakeloom.operators.discovery import inclusions, unique_sets
+
+    rng = random.Random(12)
+    rows = [(rng.randrange(12), rng.randrange(9), rng.choice("abc"), rng.choice([None, 1, 2])) for _ in range(40)]
+    rows = list(dict.fromkeys(rows))
+    other = [(i, str(i % 5), None) for i in range(12)]
+    left = spark.createDataFrame(rows, "a int, b bigint, c string, d smallint")
+    right = spark.createDataFrame(other, "x bigint, y string, z int")
+    values = {("l", n): {r[i] for r in rows} - {None} for i, n in enumerate("abcd")}
+    values |= {("r", n): {r[i] for r in other} - {None} for i, n in enumerate("xyz")}
+    want = {
+        (*p, *q, len(v)) for p, v in values.items() for q, w in values.items()
+        if p != q and v and w and v <= w
+    }
+    got = {tuple(r) for r in inclusions({"l": left, "r": right}).collect()}
+    assert got == want and len(want) > 2
+    unique = [s for n in (1, 2, 3) for s in combinations(range(4), n) if len({tuple(r[i] for i in s) for r in rows}) == len(rows)]
+    minimal = {"".join("abcd"[i] for i in s) for s in unique if not any(set(t) < set(s) for t in unique)}
+    assert {"".join(r.columns) for r in unique_sets(left).collect()} == minimal
+    assert {"".join(r.columns) for r in unique_sets(left.limit(0)).collect()} == set("abcd")
+    doubled = unique_sets(left.unionByName(left))
+    assert doubled.collect() == []
+
+
+# --- totals as of many dates -------------------------------------------------------
+
+
+def test_totals_as_of_match_brute_force(spark):
+    from lakeloom.operators.asof import totals_as_of
+
+    rng = random.Random(2)
+    entries = [(rng.choice([None, *range(6)]), rng.choice([None, *range(50)]), rng.randrange(100), rng.choice([None, 1])) for _ in range(400)]
+    entries += [(7, i, 1, 2) for i in range(3000)]  # one key reaches over several ranges
+    asked = [(rng.choice([None, *range(9)]), rng.choice([None, *range(-3, 60)])) for _ in range(200)]
+    asked += [(7, i) for i in range(0, 3000, 97)]
+    got = totals_as_of(
+        spark.createDataFrame(entries, "k int, at int, x int, y bigint"),
+        spark.createDataFrame(asked, "k int, at int"),
+        "k", "at", ["x", "y"],
+    ).collect()
+    want = {}
+    for k, at in asked:
+        held = [e for e in entries if k is not None and at is not None and e[0] == k and e[1] is not None and e[1] <= at]
+        want[k, at] = (sum(e[2] for e in held), sum(e[3] or 0 for e in held))
+    assert len(got) == len(want) and {(r.k, r.at): (r.x, r.y) for r in got} == want
