@@ -41,6 +41,7 @@ SLICE_BYTES = 1 << 19  # benchmark text in one index; its size in memory is some
 SLICES_A_STAGE = 2  # indexes that a task holds; their findings are written before the next
 SCAN_BYTES = 1 << 20  # text scanned at once, and the length of a piece of a longer text
 TABLE_BITS = 22
+BAND_BITS = 20
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,38 +77,64 @@ def slot(values: np.ndarray) -> np.ndarray:
     return ((values * MIXER) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
+def band_slot(keys: np.ndarray) -> np.ndarray:
+    return slot(keys.view(np.uint64)) >> (TABLE_BITS - BAND_BITS)
+
+
+def hashed_counts(keys: np.ndarray) -> np.ndarray:
+    """How often each key occurs, or more where keys share a slot."""
+    slots = band_slot(keys)
+    return np.bincount(slots, minlength=1 << BAND_BITS)[slots]
+
+
 class Index:
-    """Windows of benchmark items and the places of their q-grams."""
+    """Windows of benchmark items and the places of the items' q-grams.
+
+    All windows of an item are as long and allow as many edits.
+    """
 
     def __init__(self, items: list[tuple[int, bytes]], window: int, rate: float):
         self.windows, owners, self.whole = [], [], {}
+        self.step = max(edits_allowed(window, rate), 1)
+        kept, first = [], []
         for item_id, text in items:
             text = normal(text).replace(b"\0", b" ")
             if len(text) < Q:
                 if text:
                     self.whole.setdefault(text, []).append(item_id)
                 continue
-            cut = windows_of(text, window, max(edits_allowed(window, rate), 1))
+            cut = windows_of(text, window, self.step)
+            kept.append(text)
+            first.append(len(self.windows))
             self.windows += cut
             owners += [item_id] * len(cut)
         self.owners = np.array(owners, np.int64)
         self.edits = np.array([edits_allowed(len(w), rate) for w in self.windows], np.int64)
         lengths = np.array([len(w) for w in self.windows], np.int64)
         self.bound = np.maximum(lengths + 1 - Q * (self.edits + 1), 1)
-        found = [grams(w) for w in self.windows]
+        # Of each item: its first window, number of windows, their length, the last one's start.
+        self.first = np.array(first, np.int64)
+        self.n_windows = np.diff(np.r_[self.first, len(self.windows)])
+        self.size = lengths[self.first]
+        self.last = np.array([len(t) for t in kept], np.int64) - self.size
+        found = [grams(t) for t in kept]
         values = np.concatenate(found) if found else np.empty(0, np.uint64)
-        window_of = np.repeat(np.arange(len(found)), [len(g) for g in found])
-        place = np.concatenate([np.arange(len(g)) for g in found]) if found else window_of
+        item_of = np.repeat(np.arange(len(found)), [len(g) for g in found])
+        place = np.concatenate([np.arange(len(g)) for g in found]) if found else item_of
         order = np.argsort(values, kind="stable")
-        self.values, first = np.unique(values[order], return_index=True)
-        self.starts = first
-        self.counts = np.diff(np.r_[first, len(values)])
-        self.window_of, self.place = window_of[order], place[order]
+        self.values, self.starts = np.unique(values[order], return_index=True)
+        self.counts = np.diff(np.r_[self.starts, len(values)])
+        self.item_of, self.place = item_of[order], place[order]
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[slot(self.values)] = True
 
     def candidates(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, first diagonal, shared q-grams) of all bands that reach the bound."""
+        """(window, first diagonal, shared q-grams) of all bands that reach the bound.
+
+        Diagonals are those of the item. A band that does not reach the bound with the
+        q-grams of the whole item does so with no window's, so that only the q-grams of
+        bands that do are dealt to the windows that hold them.
+        """
         none = np.empty(0, np.int64)
         all_grams = grams(text)
         at = np.flatnonzero(self.table[slot(all_grams)])
@@ -117,24 +144,54 @@ class Index:
         k = np.minimum(np.searchsorted(self.values, value), len(self.values) - 1)
         exact = self.values[k] == value
         at, k = at[exact], k[exact]
+        if not len(at):
+            return none, none, none
         counts = self.counts[k]
         posting = ragged(self.starts[k], counts)
-        window = self.window_of[posting]
-        diagonal = np.repeat(at, counts) - self.place[posting]
-        step = self.edits[window] + 1
-        band = diagonal // step  # a band holds two steps; each hit is in two bands
-        shift = int(-band.min()) + 1 if len(band) else 0
-        key = window << 40 | (band + shift)
+        item, place = self.item_of[posting], self.place[posting]
+        diagonal = np.repeat(at, counts) - place
+        band = diagonal // (self.edits[self.first[item]] + 1)
+        shift = 1 - int(band.min())
+        band += shift  # a band holds two steps; each hit is in two bands
+        bound = self.bound[self.first[item]]
+        item, place, band = self._in_full_bands(item, place, band, bound)
+        window, band = self._dealt(item, place, band)
+        key = window << 40 | band
         keys = np.concatenate([key, key - 1])
         # Counts by a hash of the band are never too low, so they thin out what is sorted.
-        places = slot(keys.view(np.uint64)) >> (TABLE_BITS - 20)
-        keys = keys[np.bincount(places, minlength=1 << 20)[places] >= self.bound[keys >> 40]]
+        keys = keys[hashed_counts(keys) >= self.bound[keys >> 40]]
         keys, seen = np.unique(keys, return_counts=True)
         enough = seen >= self.bound[keys >> 40]
         window = keys[enough] >> 40
-        first = ((keys[enough] & ((1 << 40) - 1)) - shift) * (self.edits[window] + 1)
+        band = (keys[enough] & ((1 << 40) - 1)) - shift
+        owner = np.searchsorted(self.first, window, side="right") - 1
+        first = band * (self.edits[window] + 1) + self._start(owner, window)
         return window, first, seen[enough]
 
+    def _in_full_bands(self, item, place, band, bound):
+        """The hits in a band that the whole item's q-grams may fill to the bound."""
+        key = item << 40 | band
+        slots = np.concatenate([band_slot(key), band_slot(key - 1)])
+        filled = np.bincount(slots, minlength=1 << BAND_BITS)[slots].reshape(2, -1).max(axis=0)
+        kept = filled >= bound
+        return item[kept], place[kept], band[kept]
+
+    def _start(self, item: np.ndarray, window: np.ndarray) -> np.ndarray:
+        """Where in its item a window starts."""
+        number = window - self.first[item]
+        return np.where(number == self.n_windows[item] - 1, self.last[item], number * self.step)
+
+    def _dealt(self, item, place, band):
+        """(window, band) for each window that holds a hit's q-gram."""
+        regular = self.n_windows[item] - 1  # all but the last start at multiples of the step
+        low = np.maximum(-((self.size[item] - Q - place) // self.step), 0)
+        high = np.minimum(place // self.step, regular - 1)
+        n = np.maximum(high - low + 1, 0)
+        window = ragged(self.first[item] + low, n)
+        last = np.flatnonzero(place >= self.last[item])
+        window = np.concatenate([window, self.first[item[last]] + regular[last]])
+        return window, np.concatenate([np.repeat(band, n), band[last]])
+
     def distances(self, text: bytes, window: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Fewest edits of each window within its band; ends of the text are free."""
         best = np.empty(len(window), np.int64)
@@ -158,22 +215,25 @@ def banded(words: np.ndarray, data: np.ndarray, first: np.ndarray, edits: int) -
     replacement stays on it, a byte left out of the word moves one to the left, a byte
     put in moves one to the right.
     """
-    width = 4 * (edits + 1)
-    diagonals = first[:, None] - edits + np.arange(width)
-    steps = np.arange(width)
-    far = 1 << 20
-    cost = np.where((diagonals >= 0) & (diagonals <= len(data)), 0, far)
-    for i in range(words.shape[1]):
-        place = diagonals + i
-        inside = (place >= 0) & (place < len(data))
-        same = data[np.clip(place, 0, len(data) - 1)] == words[:, i, None]
-        stay = np.where(inside, cost + ~same, far)
-        skip = np.c_[cost[:, 1:], np.full(len(cost), far)] + 1  # a byte of the word has no mate
-        skip = np.where((place >= 0) & (place <= len(data)), skip, far)
-        new = np.minimum(stay, skip)
+    width, size = 4 * (edits + 1), words.shape[1]
+    far = np.int16(1 << 14)
+    place = (first - edits)[:, None] + np.arange(width + size)
+    within = (place >= 0) & (place < len(data))
+    border = (place >= 0) & (place <= len(data))
+    region = np.where(within, data[np.clip(place, 0, len(data) - 1)], 0)
+    everywhere = bool(within.all())
+    steps = np.arange(width, dtype=np.int16)
+    cost = np.where(border[:, :width], 0, far).astype(np.int16)
+    for i in range(size):
+        new = cost + (region[:, i : i + width] != words[:, i, None])
+        skip = cost[:, 1:] + np.int16(1)  # a byte of the word has no mate
+        if not everywhere:
+            new[~within[:, i : i + width]] = far
+            skip[~border[:, i : i + width - 1]] = far
+        np.minimum(new[:, :-1], skip, out=new[:, :-1])
         # A byte of the text without mate: one diagonal to the right for one edit each.
         cost = np.minimum.accumulate(new - steps, axis=1) + steps
-    return cost.min(axis=1)
+    return cost.min(axis=1).astype(np.int64)
 
 
 def found_in(index: Index, text: bytes, pieces: int = SCAN_BYTES) -> dict[int, int]:
