@@ -2,6 +2,7 @@
 
 from lakeloom.checks.registry import avg2, check, day, having, stamp
 from lakeloom.functions.money import average, money
+from lakeloom.operators.intervals import interval_labels, rows_below, totals_below
 from lakeloom.operators.relational import (
     bucket,
     hierarchy,
@@ -210,18 +211,68 @@ def jn_15_hierarchy_depth(d):
 
 
 # Every customer whose number ends in 7 left the team; those ending in 3 report to each other.
-@check(
-    "jn_15_hierarchy_gaps",
-    f"""with recursive team as (
-        select c_custkey as id, case when c_custkey % 10 = 3 then c_custkey - c_custkey % 20 + (c_custkey + 10) % 20
-            when c_custkey > 0 then c_custkey // 10 end as reports_to
-        from customer where c_custkey % 10 <> 7), {WALK_SQL}""",
-)
-def jn_15_hierarchy_gaps(d):
+GAPS_SQL = """team as (
+    select c_custkey as id, case when c_custkey % 10 = 3 then c_custkey - c_custkey % 20 + (c_custkey + 10) % 20
+        when c_custkey > 0 then c_custkey // 10 end as reports_to
+    from customer where c_custkey % 10 <> 7)"""
+
+
+def _gaps(d):
     key = F.col("c_custkey")
     above = F.when(key % 10 == 3, key - key % 20 + (key + 10) % 20).when(key > 0, F.floor(key / 10))
-    team = d.raw("customer").filter(key % 10 != 7).select(key.alias("id"), above.alias("reports_to"))
-    return hierarchy(team, "id", "reports_to")
+    return d.raw("customer").filter(key % 10 != 7).select(key.alias("id"), above.alias("reports_to"))
+
+
+@check("jn_15_hierarchy_gaps", f"with recursive {GAPS_SQL}, {WALK_SQL}")
+def jn_15_hierarchy_gaps(d):
+    return hierarchy(_gaps(d), "id", "reports_to")
+
+
+# Pairs of a team member and everyone below; members in or below a cycle are never reached.
+BELOW_SQL = """placed as (
+        select id from team where reports_to is null or reports_to not in (select id from team)
+        union all select t.id from placed p join team t on t.reports_to = p.id),
+    pairs as (
+        select id as above, id as below from placed
+        union all select above, t.id from pairs join team t on t.reports_to = below)"""
+
+
+@check(
+    "jn_15_interval_labels",
+    f"""with recursive {GAPS_SQL}, {BELOW_SQL}
+    select t.id, t.reports_to, a.root, a.depth, b.n_below from team t
+    left join (select below as id, count(*) - 1 as depth, min(above) filter (where above in (
+                   select id from team where reports_to is null or reports_to not in (select id from team))) as root
+               from pairs group by 1) a on a.id = t.id
+    left join (select above as id, count(*) - 1 as n_below from pairs group by 1) b on b.id = t.id""",
+)
+def jn_15_interval_labels(d):
+    return interval_labels(_gaps(d), "id", "reports_to").drop("low", "high")
+
+
+@check(
+    "jn_15_all_below",
+    f"""with recursive {STAFF_SQL}, {BELOW_SQL}
+    select above, below from pairs where above <> below""",
+)
+def jn_15_all_below(d):
+    labels = interval_labels(_team(d), "id", "reports_to")
+    return rows_below(labels, "id", labels.select("id"))
+
+
+@check(
+    "jn_15_totals_below",
+    f"""with recursive {STAFF_SQL}, {BELOW_SQL},
+    spent as (select o_custkey as id, sum(cast(o_totalprice as decimal(18,2))) as total, count(*) as n from orders group by 1)
+    select above as id, cast(coalesce(sum(total), 0) as double) as total, cast(coalesce(sum(n), 0) as bigint) as n_orders
+    from pairs left join spent on id = below group by 1""",
+)
+def jn_15_totals_below(d):
+    labels = interval_labels(_team(d), "id", "reports_to")
+    spent = d.raw("orders").select(
+        F.col("o_custkey").alias("id"), money("o_totalprice").alias("total"), F.lit(1).alias("n_orders")
+    )
+    return totals_below(labels, "id", spent, ["total", "n_orders"])
 
 
 @check(
