@@ -1,9 +1,11 @@
 """The layered lake: writes, refreshes, the batch jobs and layouts."""
 
+import datetime as dt
 from dataclasses import replace
 
 import lakeloom.checks.marts  # noqa: F401  (its queries are looked up below)
 from lakeloom.checks.registry import REGISTRY, avg2, check, day, having, stamp
+from lakeloom.operators import curve
 from lakeloom.operators.layout import layout_report
 from lakeloom.operators.quality import default_rules
 from lakeloom.plans import marts, medallion
@@ -277,6 +279,57 @@ def med_06_layout_by_store(d):
     )
 
 
+# The same rentals in curve order and by date. Which filters leave out at least a quarter of
+# the files is read from the footers: all three of the curve, the date alone of the other.
+PROBES = """probes(probe, n_matching) as (
+    select 'date', count(*) from rental where rental_date >= timestamp '1998-03-01 00:00:00'
+        and rental_date <= timestamp '1998-03-15 00:00:00'
+    union all select 'store', count(*) from rental where store_id = 3
+    union all select 'customer', count(*) from rental where customer_id = 77)"""
+
+
+@check(
+    "med_06_curve_layout",
+    having("rental")
+    + f""", {PROBES}
+    select layout, probe, layout = 'curve' or probe = 'date' as is_selective, true as holds_all,
+           (select count(*) from rental) as n_rows, n_matching
+    from probes, (values ('curve'), ('by_date')) l(layout)""",
+)
+def med_06_curve_layout(d):
+    rental = d.rental()
+    columns = ["rental_date", "store_id", "customer_id"]
+    first, last = dt.datetime(1998, 3, 1), dt.datetime(1998, 3, 15)
+    probes = {
+        "date": {"rental_date": (first, last)},
+        "store": {"store_id": (3, 3)},
+        "customer": {"customer_id": (77, 77)},
+    }
+    root = scratch_path(d.spark, "curve")
+    curve.write_curve(rental, f"{root}/curve", columns, 64)
+    curve.write_ordered(rental, f"{root}/by_date", columns[:1], 64)
+    parts = []
+    for layout in ("curve", "by_date"):
+        stored = d.spark.read.parquet(f"{root}/{layout}")
+        matching = stored.agg(
+            F.count_if(F.col("rental_date").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"))).alias("date"),
+            F.count_if(F.col("store_id") == 3).alias("store"),
+            F.count_if(F.col("customer_id") == 77).alias("customer"),
+        ).unpivot([], list(probes), "probe", "n_matching")
+        report = curve.touched(d.spark, f"{root}/{layout}", probes).join(matching, "probe")
+        parts.append(
+            report.select(
+                F.lit(layout).alias("layout"),
+                "probe",
+                (F.col("files_touched") * 4 <= F.col("files") * 3).alias("is_selective"),
+                (F.col("rows_touched") >= F.col("n_matching")).alias("holds_all"),
+                "n_rows",
+                "n_matching",
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @check(
     "med_07_pruned_read",
     having("payment")
