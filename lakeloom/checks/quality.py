@@ -6,7 +6,8 @@ from itertools import combinations
 from lakeloom.checks.registry import check, day, having, stamp
 from lakeloom.functions.money import money
 from lakeloom.functions.text import EMAIL_PATTERN
-from lakeloom.operators import discovery, quality
+from lakeloom.operators import discovery, profiles, quality
+from lakeloom.session import materialize, scratch_path
 from lakeloom.sources.schemas import struct
 from pyspark.sql import functions as F
 
@@ -320,3 +321,105 @@ def _inclusion_sql():
 @check("dq_10_found_references", _inclusion_sql())
 def dq_10_found_references(d):
     return discovery.inclusions({t: d.raw(t).select(*cs) for t, cs in KEY_COLUMNS.items()})
+
+
+# Orders come in four loads; the profile of the table is merged from those of the loads.
+PROFILED = ["o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _profiled(d):
+    path = scratch_path(d.spark, "profiles")
+    orders = d.raw("orders")
+    for load in range(4):
+        profiles.store_profile(orders.filter(F.col("o_orderkey") % 4 == load), path, load, PROFILED)
+    return profiles.merged(d.spark, path)
+
+
+@check(
+    "dq_08_merged_profile",
+    """select 'o_custkey' as "column", count(*) as n_rows, count(*) - count(o_custkey) as nulls,
+        cast(cast(min(o_custkey) as double) as varchar) as lowest, cast(cast(max(o_custkey) as double) as varchar) as highest,
+        true as distinct_is_close, true as median_is_close from orders
+    union all select 'o_totalprice', count(*), count(*) - count(o_totalprice), cast(min(o_totalprice) as varchar),
+        cast(max(o_totalprice) as varchar), true, true from orders
+    union all select 'o_orderpriority', count(*), count(*) - count(o_orderpriority), min(o_orderpriority),
+        max(o_orderpriority), true, null from orders""",
+)
+def dq_08_merged_profile(d):
+    merged = materialize(_profiled(d).filter("column <> 'o_orderdate'"), "profile")
+    found = profiles.describe(merged, [0.5])
+    values = d.raw("orders").select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_text"), x.alias("_x"))
+                    for c, x in (
+                        ("o_custkey", F.col("o_custkey").cast("double")),
+                        ("o_totalprice", F.col("o_totalprice")),
+                        ("o_orderpriority", F.lit(None).cast("double")),
+                    )
+                ]
+            )
+        )
+    )
+    median = found.select("column", F.col("quantiles")[0].alias("_median"))
+    exact = values.join(median, "column").groupBy("column").agg(
+        F.count_distinct("_text").alias("_distinct"),
+        F.count_if(F.col("_x") <= F.col("_median")).alias("_upto"),
+        F.count_if(F.col("_x") >= F.col("_median")).alias("_from"),
+    )
+    return found.join(exact, "column").select(
+        "column",
+        "n_rows",
+        "nulls",
+        "lowest",
+        "highest",
+        (F.abs(F.col("n_distinct") - F.col("_distinct")) <= 0.05 * F.col("_distinct")).alias("distinct_is_close"),
+        F.when(
+            F.col("quantiles").isNotNull(), F.least("_upto", "_from") >= 0.48 * (F.col("n_rows") - F.col("nulls"))
+        ).alias("median_is_close"),
+    )
+
+
+@check(
+    "dq_08_frequent_values",
+    """select 'o_orderpriority' as "column", o_orderpriority as value, count(*) as n from orders
+    where o_orderpriority is not null group by 2""",
+)
+def dq_08_frequent_values(d):
+    merged = _profiled(d).filter("column = 'o_orderpriority'")
+    return profiles.frequent_values(merged, 100)
+
+
+# The later load has no urgent orders of odd numbers, no known price of some and higher prices.
+@check(
+    "dq_08_drift",
+    """with loads as (
+        select o_orderkey % 2 as later, o_custkey, o_orderdate,
+               case when o_orderkey % 2 = 0 then o_totalprice when o_orderkey % 5 > 0 then o_totalprice * 2 end as o_totalprice,
+               case when o_orderkey % 2 = 1 and o_orderpriority = '1-URGENT' then '0-NONE' else o_orderpriority end as o_orderpriority
+        from orders),
+    size as (select count(*) filter (where later = 0) as a, count(*) filter (where later = 1) as b from loads),
+    shares as (
+        select o_orderpriority, count(*) filter (where later = 0) as n, count(*) filter (where later = 1) as m
+        from loads group by 1)
+    select 'o_custkey' as "column", cast(null as double) as distance, false as drifted
+    union all select 'o_orderdate', null, false
+    union all select 'o_totalprice', null, true
+    union all select 'o_orderpriority', round(sum(abs(n / a - m / b)) / 2, 6), sum(abs(n / a - m / b)) / 2 > 0.1
+    from shares, size""",
+)
+def dq_08_drift(d):
+    later = F.col("o_orderkey") % 2
+    orders = d.raw("orders")
+    price = F.when(later == 0, F.col("o_totalprice")).when(F.col("o_orderkey") % 5 > 0, F.col("o_totalprice") * 2)
+    urgent = (later == 1) & (F.col("o_orderpriority") == "1-URGENT")
+    changed = orders.withColumns(
+        {"o_totalprice": price, "o_orderpriority": F.when(urgent, "0-NONE").otherwise(F.col("o_orderpriority"))}
+    )
+    path = scratch_path(d.spark, "drift")
+    for load in (0, 1):
+        profiles.store_profile(changed.filter(later == load), path, load, PROFILED)
+    found = profiles.drift(profiles.merged(d.spark, path, [0]), profiles.merged(d.spark, path, [1]))
+    exact = F.when(F.col("column") == "o_orderpriority", F.round("distance", 6))
+    return found.select("column", exact.alias("distance"), "drifted")

@@ -6,6 +6,7 @@ from lakeloom.session import scratch_path
 from lakeloom.sources.changes import BAD, parse_changes, read_change_files
 from lakeloom.sources.files import TIME_FORMAT
 from lakeloom.sources.schemas import CHANGE_RECORD
+from lakeloom.sources.segments import append_segments, read_segments
 from lakeloom.streaming import jobs
 from pyspark.sql import functions as F
 
@@ -176,3 +177,32 @@ def str_08_late_rows(d):
     d.spark.read.schema(CHANGE_RECORD).json(late).write.options(**TIME_FORMAT).mode("append").json(source)
     drain()
     return jobs.read_updates(d.spark, path, WINDOW_KEYS)
+
+
+def _appended(d, path, segment, rows):
+    records = rows.select(
+        F.concat(F.lit("shop.public."), "event_type").alias("topic"),
+        F.col("user_id").cast("string").alias("key"),
+        F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("value"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+    append_segments(records, path, "key", 4, segment)
+
+
+# Three segments a partition; the stream is stopped after two and goes on with the third.
+@check("src_13_segment_topic", f"select {EVENT} from events")
+def src_13_segment_topic(d):
+    path, checkpoint = _place(d, "replayed")
+    topic = scratch_path(d.spark, "topic")
+
+    def drain():
+        rows = parse_changes(read_segments(d.spark, topic, segments_per_task=1), ROW)
+        rows = rows.select("event_id", "ts", "user_id", "event_type", "value")
+        jobs.drain(jobs.append_rows(rows, path, checkpoint))
+
+    for segment in range(3):
+        _appended(d, topic, segment, d.events().filter(F.col("event_id") % 3 == segment))
+        if segment:
+            drain()
+    drain()  # nothing is new
+    return d.spark.read.parquet(path)

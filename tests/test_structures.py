@@ -6,6 +6,7 @@ import bisect
 import datetime as dt
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from lakeloom.operators.curve import curve_key, footers, touched, write_curve, write_ordered
 from lakeloom.operators.intervals import interval_labels, rows_below, totals_below
 from lakeloom.operators.profiles import describe, drift, frequent_values, merged, store_profile
+from lakeloom.sources.segments import SCHEMA, SegmentReader, append_segments, read_segments
+from lakeloom.streaming.jobs import append_rows, drain
 
 # --- interval labels ---------------------------------------------------------------
 
@@ -228,3 +231,65 @@ def test_profiles_of_empty_loads_and_columns_without_values(spark, folder):
     assert {r["column"] for r in frequent_values(merged(spark, folder), 5).collect()} == {"c"}
     same = drift(merged(spark, folder, [1]), merged(spark, folder, [2])).collect()
     assert {r["column"]: r.distance for r in same} == {"a": 0.0, "b": 0.0, "c": 1.0}
+
+
+# --- segment topic -----------------------------------------------------------------
+
+
+def records(spark, ids):
+    rows = [(f"shop.public.t{i % 2}", str(i % 7), f"value {i}\nof", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=i, microseconds=i)) for i in ids]
+    return spark.createDataFrame(rows, "topic string, key string, value string, ts timestamp")
+
+
+def taken(spark, topic, place, **options):
+    """Drain the topic into ``place``; the rows that are there then, and the batches."""
+    drain(append_rows(read_segments(spark, topic, **options), f"{place}/data", f"{place}/checkpoint"))
+    return sorted(spark.read.schema(SCHEMA).parquet(f"{place}/data").collect(), key=lambda r: (r.partition, r.segment, r.line))
+
+
+def test_a_topic_is_read_once_in_order_and_replayed_alike(spark, folder):
+    topic = f"{folder}/topic"
+    append_segments(records(spark, range(50)), topic, "key", 3, 0)
+    first = taken(spark, topic, f"{folder}/a", segments_per_task=2)
+    assert sorted(map(tuple, (r[4:] for r in first))) == sorted(tuple(r[1:]) for r in records(spark, range(50)).collect())
+    for segment in (1, 2, 3):
+        append_segments(records(spark, range(50 * segment, 50 * segment + 50)), topic, "key", 3, segment)
+    append_segments(records(spark, range(100, 150)), topic, "key", 3, 2)  # again: replaces itself
+    later = taken(spark, topic, f"{folder}/a", segments_per_task=2)
+    assert later == taken(spark, topic, f"{folder}/a") == taken(spark, topic, f"{folder}/b", segments_per_task=1)
+    assert len(later) == 200 and set(first) <= set(later)
+    for key in map(str, range(7)):
+        mine = [r for r in later if r.key == key]
+        assert len({r.partition for r in mine}) == 1 and [r.ts for r in mine] == sorted(r.ts for r in mine)
+
+
+def test_a_gap_waits_and_late_readers_may_start_at_the_end(spark, folder):
+    topic = f"{folder}/topic"
+    for segment in (0, 2):
+        append_segments(records(spark, range(10 * segment, 10 * segment + 10)), topic, "key", 2, segment)
+    Path(f"{topic}/partition=0/x.draft").write_text("half a")
+    assert len(taken(spark, topic, f"{folder}/a")) == 10
+    assert taken(spark, topic, f"{folder}/late", starting_offsets="latest") == []
+    append_segments(records(spark, range(10, 20)), topic, "key", 2, 1)
+    assert len(taken(spark, topic, f"{folder}/a")) == 30
+    assert {r.segment for r in taken(spark, topic, f"{folder}/late", starting_offsets="latest")} == {1, 2}
+    with pytest.raises(ValueError, match="starting offsets"):
+        read_segments(spark, topic, starting_offsets="middle")
+
+
+def test_an_empty_topic_and_records_without_values(spark, folder):
+    topic = f"{folder}/topic"
+    assert taken(spark, topic, f"{folder}/a") == []
+    rows = spark.createDataFrame([(None, None, None, None), ("t", "", "", None)], "topic string, key string, value string, ts timestamp")
+    append_segments(rows.limit(0), topic, "key", 2, 0)
+    append_segments(rows, topic, "key", 2, 1)
+    got = taken(spark, topic, f"{folder}/a")
+    assert sorted([tuple(r[4:]) for r in got], key=str) == [("", "", None), (None, None, None)]
+
+
+def test_a_lost_segment_of_a_planned_range_fails(folder):
+    reader = SegmentReader({"path": str(folder), "segmentsPerTask": "2"})
+    ranges = [p.value for p in reader.partitions({"0": 1}, {"0": 4, "1": 1})]
+    assert ranges == [(0, 1, 3), (0, 3, 4), (1, 0, 1)]
+    with pytest.raises(FileNotFoundError):
+        list(reader.read(reader.partitions({}, {"0": 1})[0]))
