@@ -5,18 +5,20 @@ participant's turns as ``assistant`` and all others as named users; context role
 stay what they are in every view and are no participants. The mask lists the character
 spans of the participant's own turns, end marker included.
 
-Scale. Turns are numbered by a range sort over all conversations with offsets for those
-that reach over several partitions, not by a window, so one conversation with a third of
-all turns is dealt out like the rest. Views come in parts of at most ``part_turns``
+Scale. Conversations of up to ``whole_turns`` turns (or a ten-thousandth of all turns, if
+that is more) are numbered and cut into parts after one shuffle by conversation, the only
+one that moves their texts. Longer ones, of which there are fewer than 10,000, are numbered
+by a range sort with offsets for those that reach over several partitions, so that one with
+a third of all turns is dealt out too. Views come in parts of at most ``part_turns``
 consecutive turns; the parts of a view in order are the whole dialogue. Only built-in
-functions are used, but for the numbering inside a sorted partition.
+functions are used, but for the numbering inside a sorted range.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +27,8 @@ from lakeloom.session import materialize
 
 START, END = "<|im_start|>", "<|im_end|>"
 PART_TURNS = 64
+WHOLE_TURNS = 4096
+LONG_TALKS = 10_000
 CONTEXT_ROLES = ("system",)
 
 
@@ -77,10 +81,32 @@ def numbered(turns: DataFrame) -> DataFrame:
     )
 
 
+def positions(rows: DataFrame, whole_turns: int = WHOLE_TURNS) -> list[DataFrame]:
+    """``conv_id, role, text, pos`` of all rows: those of whole conversations, then of long ones.
+
+    The order within a conversation is that of ``numbered``. The first table is partitioned
+    by conversation. Which are long is counted by a job over the conversation ids.
+    """
+    limit = max(whole_turns, rows.count() // LONG_TALKS)
+    sizes = rows.groupBy("conv_id").agg(F.count("*").alias("n"))
+    # Each has more than a ten-thousandth of all turns, so there are fewer than 10,000.
+    long = [r["conv_id"] for r in sizes.where(F.col("n") > limit).select("conv_id").collect()]
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    columns = ["conv_id", "role", "text", (place.cast("bigint") - 1).alias("pos")]
+    if not long:
+        return [rows.select(*columns)]
+    ids = F.broadcast(session(rows).createDataFrame([(i,) for i in long], "conv_id bigint"))
+    return [
+        rows.join(ids, "conv_id", "left_anti").select(*columns),
+        numbered(rows.join(ids, "conv_id", "left_semi")),
+    ]
+
+
 def perspectives(
     turns: DataFrame,
     part_turns: int = PART_TURNS,
     context_roles: tuple[str, ...] = CONTEXT_ROLES,
+    whole_turns: int = WHOLE_TURNS,
 ) -> DataFrame:
     """``conv_id, participant, part, n_turns, text, mask`` for every view.
 
@@ -99,15 +125,14 @@ def perspectives(
             F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit("<|im_"), F.lit("<| im_")
         ).alias("text"),
     )
-    placed = numbered(rows)
     speakers = (
         rows.where(~F.col("role").isin(*context_roles))
         .select("conv_id", F.col("role").alias("participant"))
         .distinct()
     )
-    parts = placed.groupBy(
-        "conv_id", F.floor(F.col("pos") / part_turns).cast("bigint").alias("part")
-    ).agg(F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("turns"))
+    part = F.floor(F.col("pos") / part_turns).cast("bigint").alias("part")
+    listed = F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("turns")
+    cut = [p.groupBy("conv_id", part).agg(listed).join(speakers, "conv_id") for p in positions(rows, whole_turns)]
 
     own = lambda t: t["role"] == F.col("participant")
 
@@ -118,7 +143,8 @@ def perspectives(
             .otherwise(F.concat(F.lit(f"{START}user name="), t["role"], F.lit("\n")))
         )
 
-    views = parts.join(speakers, "conv_id").select(
+    parts = cut[0] if len(cut) == 1 else cut[0].unionByName(cut[1])
+    views = parts.select(
         "conv_id",
         "participant",
         "part",

@@ -39,7 +39,8 @@ def test_views_match_sql(spark, folder):
     assert difference(df.columns, got, list(want.columns), want.fetchall()) is None
 
 
-def test_awkward_and_long_talks(spark):
+@pytest.mark.parametrize("whole_turns", [2, 100, 4096])
+def test_awkward_and_long_talks(spark, whole_turns):
     rows = [
         (1, 0, "system", "rules", 1, "x"),
         (1, 1, "Ann", "hi é😀", 1, "x"),
@@ -52,7 +53,7 @@ def test_awkward_and_long_talks(spark):
         (3, 5, "Ann", "same", 1, "x"),
     ]
     rows += [(4, i // 3, "Ann" if i % 2 else "Bob", f"t{i % 7}", 0, "") for i in range(1000)]
-    df = chat.perspectives(spark.createDataFrame(rows, SCHEMA), part_turns=64)
+    df = chat.perspectives(spark.createDataFrame(rows, SCHEMA), part_turns=64, whole_turns=whole_turns)
     assert sorted(tuple(r) for r in df.collect()) == slow_views(rows)
     assert chat.perspectives(spark.createDataFrame([], SCHEMA)).count() == 0
 
@@ -63,3 +64,10 @@ def test_masks_are_the_participants_own_words(spark):
         own = [f"word {i}<|im_end|>" for i in range(6) if ("Ann" if i % 2 else "Bob") == r.participant]
         spans = [tuple(map(int, s.split(":"))) for s in r.mask.split(",")]
         assert [r.text[a : a + n] for a, n in spans] == own
+
+
+def test_texts_of_whole_talks_are_shuffled_once(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    plan = chat.perspectives(turns)._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning(conv_id" in line]
+    assert 1 <= len(moves) <= 3 and "rangepartitioning" not in plan and "MapInArrow" not in plan
