@@ -10,6 +10,10 @@ fingerprint is copied to all anchors within covering radius plus half the thresh
 (about 71 for four bits), both ends of every link meet at one of them, and pairs are
 compared bit by bit there. Copying one side by the whole threshold instead finds the
 same links with some twenty times the rows.
+
+The rows of every anchor are counted first. Those of an anchor above a bound are cut into
+blocks by a hash, and every pair of blocks is a group of its own, so that no task holds a
+hot anchor whole.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ GOLAY_POLYNOMIAL = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 REPEAT_BITS, REPEAT_RADIUS = 9, 4
 SHINGLES_AT_ONCE = 1 << 16
 DENSE_GROUP = 512
+HOT_ROWS = 1 << 16  # rows of one group; beyond 2^30 fingerprints their number / HOT_SHARE
+HOT_SHARE = 1 << 14
 
 
 def fingerprint(text: bytes, shingle_words: int) -> int:
@@ -177,6 +183,36 @@ def copies(distinct: DataFrame, max_bits: int) -> DataFrame:
     return over_batches(distinct.select("fp"), run, "anchor bigint, fp bigint")
 
 
+def dealt(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``anchor, fp``: the copies, those of hot anchors dealt to pairs of blocks.
+
+    A fingerprint is at an anchor once, so at most HOT_SHARE times the anchors of one
+    fingerprint are hot, whatever the number of fingerprints: their list is broadcast.
+    Groups of hot anchors are named by a hash; two that share a name are only compared more.
+    """
+    at_anchors = copies(distinct, max_bits)
+    bound = F.lit(max(HOT_ROWS, distinct.count() // HOT_SHARE))
+    hot = materialize(
+        at_anchors.groupBy("anchor")
+        .agg(F.count("*").alias("rows"))
+        .where(F.col("rows") > bound)
+        .select("anchor", F.ceil(F.col("rows") * 2 / bound).alias("blocks")),
+        "hot-anchors",
+    )
+    if hot.isEmpty():
+        return at_anchors
+    blocks = F.col("blocks")
+    mine = F.pmod(F.xxhash64("fp"), blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    split = at_anchors.join(F.broadcast(hot), "anchor").select(
+        "anchor", "fp", mine.alias("mine"), other.alias("other")
+    )
+    name = F.xxhash64("anchor", F.least("mine", "other"), F.greatest("mine", "other"))
+    return at_anchors.join(F.broadcast(hot), "anchor", "left_anti").unionByName(
+        split.select(name.alias("anchor"), "fp")
+    )
+
+
 def links_in_group(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect a large group as all its links do.
 
@@ -254,8 +290,8 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
         if left:
             yield found()
 
-    at_anchors = copies(distinct, max_bits).repartition("anchor").sortWithinPartitions("anchor")
-    return over_batches(at_anchors, run, "a bigint, b bigint")
+    groups = dealt(distinct, max_bits).repartition("anchor").sortWithinPartitions("anchor")
+    return over_batches(groups, run, "a bigint, b bigint")
 
 
 def near_duplicates(

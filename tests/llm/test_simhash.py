@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from lakeloom.llm import simhash
 from lakeloom.llm.shared import components
@@ -103,6 +104,33 @@ def test_large_group_connects_like_all_its_links():
     assert len(set(zip(label, want))) == len(set(label)) == len(set(want))
 
 
+def test_hot_anchors_are_dealt_to_pairs_of_blocks(spark, monkeypatch):
+    """40,000 fingerprints at one anchor: bounded groups, and the components of plain search."""
+    random = np.random.default_rng(7)
+    words = np.array([w for w in range(1 << 23) if w.bit_count() <= simhash.GOLAY_RADIUS], np.int64)
+    chosen = random.choice(len(words) ** 2, 40_000, replace=False)
+    fps = np.unique(words[chosen // len(words)] | words[chosen % len(words)] << 23)
+    distinct = spark.createDataFrame([(int(f),) for f in fps], "fp bigint").repartition(8)
+    monkeypatch.setattr(simhash, "HOT_ROWS", 1 << 13)
+    groups = simhash.dealt(distinct, 4).groupBy("anchor").count()
+    sizes = groups.agg(F.max("count"), F.max(F.when(F.col("anchor") == 0, F.col("count")))).first()
+    assert sizes[0] <= 1.1 * simhash.HOT_ROWS and sizes[1] is None  # zero is a word of each code
+    got = simhash.links(distinct, 4).toPandas()
+    a, b = got.a.to_numpy(), got.b.to_numpy()
+    nodes, roots = simhash.forest(a, b)
+    want = dict(zip(*(x.tolist() for x in simhash.forest(*simhash.links_in_group(fps, 4)))))
+    assert dict(zip(nodes.tolist(), roots.tolist())) == want
+
+
+def test_dealt_groups_find_what_whole_anchors_find(spark, monkeypatch):
+    docs = documents(spark)
+    rows = lambda: sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=repr)
+    whole = rows()
+    monkeypatch.setattr(simhash, "HOT_ROWS", 3)
+    monkeypatch.setattr(simhash, "HOT_SHARE", 1 << 30)
+    assert rows() == whole
+
+
 def test_chains_and_hubs_are_one_component(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     hub = [(1000, 1000 + i) for i in range(1, 200)]
