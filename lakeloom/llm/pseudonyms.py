@@ -9,9 +9,18 @@ ones, and the key's owner can turn them back.
 - Text values (mail, phone, card, bank account): each character moves within its own
   class (digits, small letters, capitals), so the format stays. Phone digits 0-1 and 2-9
   are classes of their own, so that area codes stay valid. Check digits of cards (Luhn)
-  and of bank accounts (mod 97) are computed anew.
+  and of bank accounts (mod 97) are computed anew. Cards and accounts are permuted without
+  their separators and written back between them, so that a number has one pseudonym
+  however it is grouped; an account in small letters has that of its capitals.
 - Ranged values (IPv4 address, social security number, date): the value is a number below
   ``a * b``; quotient and remainder are the halves. 1800-2199 has 146,097 = 189 * 773 days.
+  A day has one pseudonym in all layouts: days after the 12th of a month go to such days and
+  the others to others, so that what tells ``25/12`` from ``12/25`` stays.
+
+In a run of digit groups a card starts at the run's first group or at one that begins with
+3 to 6, as payment cards do, has four digits or more in its first group, and is the longest
+run of whole groups of 13 to 19 digits with a Luhn check digit. One that begins inside an
+earlier one is left out.
 
 Values that fail validation (no Luhn check digit, an octet over 255, the 30th of
 February, a date outside 1800-2199) are not personal data by these rules and stay.
@@ -38,14 +47,19 @@ PHONE = (
 IBAN = (
     r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[a-z]{2}[0-9]{2}[a-z0-9]{11,30}(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[a-z]{2}[0-9]{2}(?: [a-z0-9]{4}){2,7}(?: [a-z0-9]{1,4})?(?![A-Za-z0-9])"
 )
 DATE = (
     r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
     r"|(?<![0-9./])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9])"
     r"|(?<![0-9./])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9])"
+    r"|(?<![0-9./])[0-9]{4}/[0-9]{2}/[0-9]{2}(?![0-9/])"
 )
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]){9,15}(?![0-9])"
+# A whole run of digit groups, up to a blank or hyphen before another kind of value.
+CARD = rf"(?<![0-9])[0-9](?:(?:[ -](?!{DATE}|{SSN}|{PHONE}))?[0-9]){{12,}}+(?![0-9])"
+CARD_GROUPS = 19  # no card has more digits, nor more groups
 ANY = "|".join([EMAIL, IPV4, PHONE, IBAN, DATE, SSN, CARD])
 
 DIGITS = [("0", "9")]
@@ -136,29 +150,87 @@ def _longest(value: Column, least: int, border: str, valid, moved) -> Column:
     )[0]
 
 
-def _card(value: Column, key: str) -> Column:
-    """The longest run of whole digit groups that is a card; what follows it stays."""
+def _laid_out(plain: Column, template: Column) -> Column:
+    """The characters of ``plain`` in the places that are no blank or hyphen in the template."""
+    placed = F.aggregate(
+        F.split(template, ""),
+        F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
+        lambda s, c: F.when(
+            c.isin(" ", "-"), F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))
+        ).otherwise(
+            F.struct(
+                F.concat(s["out"], F.substr(plain, s["at"], F.lit(1))).alias("out"),
+                (s["at"] + 1).alias("at"),
+            )
+        ),
+    )
+    return placed["out"]
 
-    def valid(x: Column) -> Column:
-        digits = _only_digits(x)
-        return (F.length(digits) >= 13) & (_luhn_sum(digits, 1) % 10 == 0)
 
-    return _longest(value, 13, "^[0-9](?:[^0-9]|$)", valid, lambda x: _moved_card(x, key))
+def _card(value: Column, key: str) -> Column:
+    """The cards of a run of digit groups, moved; all else stays. Groups see 18 neighbours each."""
+    groups = F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0))
+
+    def last(x: Column, g: Column, of: Column) -> Column:
+        """Number of the last group of the longest card that starts at group ``g``, or null."""
+
+        def ends_card(e: Column) -> Column:
+            digits = _only_digits(F.array_join(F.slice(of, g + 1, e - g + 1), ""))
+            return F.length(digits).between(13, 19) & (_luhn_sum(digits, 1) % 10 == 0)
+
+        starts = x.rlike("^[0-9]{4}") & ((g == 0) | x.rlike("^[3-6]"))
+        until = F.least(g + CARD_GROUPS - 1, F.size(of) - 1)
+        return F.when(starts, F.array_max(F.filter(F.sequence(g, until), ends_card)))
+
+    def written(x: Column, g: Column, of: Column, ends: Column) -> Column:
+        """The group, or the whole card in place of its first group."""
+        before = F.sequence(F.greatest(g - CARD_GROUPS, F.lit(0)), g)
+        first = F.filter(before, lambda s: F.coalesce(F.get(ends, s) >= g, F.lit(False)))
+        # A card counts if no other reaches over its first group.
+        counted = F.filter(
+            first,
+            lambda s: ~F.exists(
+                F.sequence(F.greatest(s - CARD_GROUPS, F.lit(0)), s),
+                lambda r: (r < s) & F.coalesce(F.get(ends, r) >= s, F.lit(False)),
+            ),
+        )
+        whole = F.array_join(F.slice(of, g + 1, F.get(ends, g) - g + 1), "")
+        return (
+            F.when(F.size(counted) == 0, x)
+            .when(F.get(counted, F.lit(0)) == g, _moved_card(whole, key))
+            .otherwise(F.lit(""))
+        )
+
+    # One name for the groups and one for the ends, so that neither is worked out per group.
+    return F.transform(
+        F.array(groups),
+        lambda of: F.transform(
+            F.array(F.transform(of, lambda x, g: last(x, g, of))),
+            lambda ends: F.when(
+                F.exists(ends, lambda e: e.isNotNull()),
+                F.array_join(F.transform(of, lambda x, g: written(x, g, of, ends)), ""),
+            ).otherwise(value),
+        )[0],
+    )[0]
 
 
 def _moved_card(value: Column, key: str) -> Column:
     """All digits but the first and the check digit move; then the check digit is set."""
-    body = F.concat(
-        F.substr(value, F.lit(1), F.lit(1)),
-        permute_text(F.substr(value, F.lit(2), F.length(value) - 2), key, "card", DIGITS),
-    )
-    check = (F.lit(10) - _luhn_sum(_only_digits(body), 0) % 10) % 10
-    return F.concat(body, check.cast("string"))
+
+    def moved(digits: Column) -> Column:
+        body = F.concat(
+            F.substr(digits, F.lit(1), F.lit(1)),
+            permute_text(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card", DIGITS),
+        )
+        check = lambda b: (F.lit(10) - _luhn_sum(b, 0) % 10) % 10
+        return F.transform(F.array(body), lambda b: F.concat(b, check(b).cast("string")))[0]
+
+    return F.transform(F.array(moved(_only_digits(value))), lambda x: _laid_out(x, value))[0]
 
 
 def _mod_97(value: Column) -> Column:
     """The account number, country and check digits last, as a number modulo 97."""
-    value = F.replace(value, F.lit(" "), F.lit(""))
+    value = F.upper(F.replace(value, F.lit(" "), F.lit("")))
     turned = F.concat(F.substr(value, F.lit(5)), F.substr(value, F.lit(1), F.lit(4)))
     return F.aggregate(
         F.split(turned, ""),
@@ -177,12 +249,20 @@ def _iban(value: Column, key: str) -> Column:
         return F.length(plain).between(15, 34) & (_mod_97(x) == 1)
 
     def moved(x: Column) -> Column:
-        country = F.substr(x, F.lit(1), F.lit(2))
-        body = permute_text(F.substr(x, F.lit(5)), key, "iban")
-        check = F.lit(98) - _mod_97(F.concat(country, F.lit("00"), body))
-        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), body)
+        plain = F.upper(F.replace(x, F.lit(" "), F.lit("")))
+        country = F.substr(plain, F.lit(1), F.lit(2))
+        whole = F.transform(
+            F.array(permute_text(F.substr(plain, F.lit(5)), key, "iban")),
+            lambda body: F.concat(
+                country,
+                F.lpad((F.lit(98) - _mod_97(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0"),
+                body,
+            ),
+        )
+        cased = F.transform(whole, lambda w: F.when(x == F.upper(x), w).otherwise(F.lower(w)))
+        return F.transform(cased, lambda w: _laid_out(w, x))[0]
 
-    found = _longest(value, 15, "^[A-Z0-9](?: |$)", valid, moved)
+    found = _longest(value, 15, "^[A-Za-z0-9](?: |$)", valid, moved)
     rest = F.substr(value, F.lit(6))  # a word like an account's first may precede a card
     return F.when((found == value) & rest.rlike(f"^(?:{CARD})$"),
         F.concat(F.substr(value, F.lit(1), F.lit(5)), _card(rest, key))).otherwise(found)
@@ -242,33 +322,32 @@ def _date(value: Column, key: str) -> Column:
     a, b = DAYS
     first = F.lit(FIRST_DAY).cast("date")
 
-    def written_as(layout: str) -> Column:
-        day = F.datediff(F.try_to_date(value, layout), first)
-        moved = permute_number(day, key, "date", a, b).cast("int")
-        return F.when(
-            day.between(0, a * b - 1), F.date_format(F.date_add(first, moved), layout)
-        ).otherwise(value)
-
-    def day_first() -> Column:
-        """Days after the 12th only: the permutation is repeated until it gives one again."""
-        layout = "dd/MM/yyyy"
-        day = F.datediff(F.try_to_date(value, layout), first)
-        late = lambda n: F.dayofmonth(F.date_add(first, n.cast("int"))) > 12
+    def late(n: Column) -> Column:
+        return F.dayofmonth(F.date_add(first, n.cast("int"))) > 12
+
+    def moved(day: Column) -> Column:
+        """Repeated until days after the 12th meet one again, and the others one of theirs."""
         step = lambda n: permute_number(n, key, "date", a, b)
-        moved = F.aggregate(
+        return F.aggregate(
             F.sequence(F.lit(1), F.lit(64)),
             step(day),
-            lambda n, _: F.when(late(n), n).otherwise(step(n)),
+            lambda n, _: F.when(late(n) == late(day), n).otherwise(step(n)),
         ).cast("int")
-        return F.when(
-            day.between(0, a * b - 1), F.date_format(F.date_add(first, moved), layout)
-        ).otherwise(value)
+
+    def written_as(layout: str) -> Column:
+        return F.transform(
+            F.array(F.datediff(F.try_to_date(value, layout), first)),
+            lambda day: F.when(
+                day.between(0, a * b - 1), F.date_format(F.date_add(first, moved(day)), layout)
+            ).otherwise(value),
+        )[0]
 
     return (
         F.when(value.contains("-"), written_as("yyyy-MM-dd"))
         .when(value.contains("."), written_as("dd.MM.yyyy"))
+        .when(value.rlike("^[0-9]{4}/"), written_as("yyyy/MM/dd"))
         .when(F.try_to_date(value, "MM/dd/yyyy").isNotNull(), written_as("MM/dd/yyyy"))
-        .otherwise(day_first())
+        .otherwise(written_as("dd/MM/yyyy"))
     )
 
 

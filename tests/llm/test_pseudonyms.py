@@ -73,15 +73,13 @@ def slow_value(value):
         code = re.match(r"(?:\+[0-9]{1,3}(?=[ .()-])|\+1|\+[0-9])?", value)[0]
         return code + slow_text(value[len(code) :], "phone", pseudonyms.PHONE_DIGITS)
     if re.fullmatch(pseudonyms.DATE, value):
-        layout = "%Y-%m-%d" if "-" in value else "%d.%m.%Y" if "." in value else "%m/%d/%Y"
-        try:
-            day = (datetime.datetime.strptime(value, layout).date() - datetime.date(1800, 1, 1)).days
-        except ValueError:
-            return value
-        if not 0 <= day < 146097:
-            return value
-        moved = datetime.date(1800, 1, 1) + datetime.timedelta(slow_number(day, "date", 189, 773))
-        return moved.strftime(layout)
+        for layout in ("%Y-%m-%d", "%d.%m.%Y", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y"):
+            try:
+                old = datetime.datetime.strptime(value, layout).date()
+            except ValueError:
+                continue
+            return slow_day(old).strftime(layout)
+        return value
     if re.fullmatch(pseudonyms.SSN, value):
         area, group, serial = map(int, value.split("-"))
         if not (1 <= area <= 899 and area != 666 and group and serial):
@@ -90,12 +88,43 @@ def slow_value(value):
         n = slow_number(n, "ssn", 898 * 99, 9999)
         place = n // (99 * 9999) + 1
         return f"{place + (place >= 666):03d}-{n // 9999 % 99 + 1:02d}-{n % 9999 + 1:04d}"
-    digits = re.sub("[^0-9]", "", value)
-    if not luhn(digits):
-        return value
-    body = value[0] + slow_text(value[1:-1], "card", pseudonyms.DIGITS)
-    plain = re.sub("[^0-9]", "", body)
-    return next(body + c for c in "0123456789" if luhn(plain + c))
+    return slow_cards(value)
+
+
+def slow_day(day):
+    first = datetime.date(1800, 1, 1)
+    n = (day - first).days
+    if not 0 <= n < 146097:
+        return day
+    while True:
+        n = slow_number(n, "date", 189, 773)
+        moved = first + datetime.timedelta(n)
+        if (moved.day > 12) == (day.day > 12):
+            return moved
+
+
+def slow_card(digits):
+    body = digits[0] + slow_text(digits[1:-1], "card", pseudonyms.DIGITS)
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def slow_cards(run):
+    """Cards between borders of digit groups, judged over all pairs of borders."""
+    spans = [m.span() for m in re.finditer("[0-9]+", run)]
+    found = {}
+    for i, (start, end) in enumerate(spans):
+        if end - start >= 4 and (i == 0 or run[start] in "3456"):
+            for j in range(i, len(spans)):
+                digits = re.sub("[^0-9]", "", run[start : spans[j][1]])
+                if 13 <= len(digits) <= 19 and luhn(digits):
+                    found[i] = j
+    out = list(run)
+    for i, j in found.items():
+        if not any(r < i <= found[r] for r in found):
+            places = [k for k in range(spans[i][0], spans[j][1]) if run[k].isdigit()]
+            for k, c in zip(places, slow_card("".join(run[k] for k in places))):
+                out[k] = c
+    return "".join(out)
 
 
 def slow(text):
@@ -112,6 +141,12 @@ CASES = [
     "123-45-6789 000-11-2222 666-11-2222 665-01-0001 667-99-9999",
     "12345678901234567890123 1234 2024 no",
     "a@b a@b.c @b.c x@",
+    "2024 4111 1111 1111 1111 and 12 34 5500 0055 5555 5559 99 4111-1111-1111-1111 4111111111111111",
+    "4111 1111 1111 1111 2024-01-05 4111111111111111 123-45-6789 4111 1111 1111 1111 212-555-0199",
+    "1999 2000 2001 2002 2003 2004 2005 2006 2007 2008 2009 2010 2011 2012 2013 2014 2015",
+    "2024/12/25 12/25/2024 25/12/2024 25.12.2024 2024-12-25 2024/02/30 05/03/2024 2024-05-03",
+    "3782 822463 10005 378282246310005 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1",
+    "7 " * 3000 + "4111 1111 1111 1111 " + "5 " * 3000 + "1" * 20000,
 ]
 
 
@@ -209,3 +244,20 @@ def test_cards_accounts_and_dates_as_they_are_printed(spark):
         assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
     assert got[4].startswith("AB12 ") and luhn(got[4][5:].replace(" ", ""))
     assert datetime.datetime.strptime(got[5], "%d/%m/%Y").day > 12
+
+
+def test_one_pseudonym_for_all_ways_to_write_a_value(spark):
+    groups = [
+        ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "2024 4111 1111 1111 1111"],
+        ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "de89370400440532013000",
+         "de89 3704 0044 0532 0130 00"],
+    ]
+    days = ["2024-12-25", "25.12.2024", "12/25/2024", "25/12/2024", "2024/12/25"]
+    texts = [t for g in groups for t in g] + days
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [r.text for r in pseudonyms.pseudonymise(docs, KEY).orderBy("doc_id").collect()]
+    assert len({re.sub("[^0-9]", "", t)[-16:] for t in got[:4]}) == 1
+    assert len({t.replace(" ", "").upper() for t in got[4:8]}) == 1 and got[6].islower()
+    assert all(len(old) == len(new) and old != new for old, new in zip(texts, got))
+    layouts = ["%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y", "%d/%m/%Y", "%Y/%m/%d"]
+    assert len({datetime.datetime.strptime(t, x) for t, x in zip(got[8:], layouts)}) == 1
