@@ -5,14 +5,17 @@ of all columns are turned round once, to the set of columns each value is in (a
 column, so that equal values are one row before anything is shuffled); few different sets
 are left, and a column's possible targets are what all sets with it have in common.
 
-Unique sets. Column sets are tried from small to large. A set's partition has a class for
-each combination of values; only rows in classes of two or more can break the uniqueness
-of a larger set, so each level looks at the rows that were left of the set below it, and
-supersets of unique sets are not tried at all.
+Unique sets. Column sets are tried from small to large, and supersets of unique sets are
+not tried at all. A set is unique if no combination of its values is counted twice. Equal
+rows have equal hashes, so the rows are cut into slices by the hash of the set's values and
+no repetition spans two of them: the first slice shows the repetitions of most sets that
+have any, and a set without is counted over all the other slices, to the last row. Rows are
+counted in each task before they are shuffled: a combination of very many rows is one line.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
@@ -23,6 +26,7 @@ from pyspark.sql import types as T
 from lakeloom.session import materialize
 
 MOST_COLUMNS = 63  # bits of a set of columns
+SLICES = 16  # parts of a table that are looked at for repeated rows one after the other
 
 
 def _comparable(field: T.StructField) -> Column | None:
@@ -93,12 +97,9 @@ def unique_sets(df: DataFrame, columns: Sequence[str] | None = None, most: int =
     """
     names = list(columns or df.columns)
     spark = df.sparkSession
-    base = materialize(
-        df.select(*[F.col(f"`{c}`") for c in names]).withColumn("_row", F.monotonically_increasing_id()), "lattice"
-    )
+    base = materialize(df.select(*[_countable(df.schema[c]) for c in names]), "lattice")
     found: list[tuple[str, ...]] = []
-    broken: dict[tuple[str, ...], int] = {(): 0}
-    left = base.select(F.lit(0).alias("_of"), "_row")
+    broken: set[tuple[str, ...]] = {()}
     for size in range(1, most + 1):
         tried = [
             c for c in combinations(names, size)
@@ -106,26 +107,29 @@ def unique_sets(df: DataFrame, columns: Sequence[str] | None = None, most: int =
         ]
         if not tried:
             break
-        entries = [
-            F.struct(
-                F.lit(broken[c[:-1]]).alias("of"),
-                F.lit(i).alias("_set"),
-                F.to_json(F.struct(*[F.col(f"`{x}`") for x in c]), {"ignoreNullFields": "false"}).alias("_key"),
-            )
-            for i, c in enumerate(tried)
-        ]
-        rows = (
-            left.join(base, "_row")
-            .select("_row", F.explode(F.filter(F.array(*entries), lambda e: e["of"] == F.col("_of"))).alias("e"))
-            .select("_row", "e._set", "e._key")
-        )
-        # Classes are counted before they meet their rows: a class of very many rows is one line.
-        classes = rows.groupBy("_set", "_key").agg(F.count("*").alias("n")).filter("n > 1")
-        left = materialize(
-            rows.join(classes, ["_set", "_key"], "left_semi").select(F.col("_set").alias("_of"), "_row"), "lattice"
-        )
-        # One row a column set.
-        clash = {r["_of"] for r in left.select("_of").distinct().collect()}
-        found += [c for i, c in enumerate(tried) if i not in clash]
-        broken = {c: i for i, c in enumerate(tried) if i in clash}
+        clash = _repeated(base, tried, first=True)
+        clash |= _repeated(base, [c for c in tried if c not in clash], first=False)
+        found += [c for c in tried if c not in clash]
+        broken = clash
     return spark.createDataFrame([(list(c),) for c in found], "columns array<string>")
+
+
+def _countable(field: T.StructField) -> Column:
+    """The column; as JSON if rows cannot be grouped by its type."""
+    column = F.col(f"`{field.name}`")
+    if re.search("map<|variant", field.dataType.simpleString()):
+        return F.to_json(F.struct(column), {"ignoreNullFields": "false"}).alias(field.name)
+    return column
+
+
+def _repeated(base: DataFrame, sets: Sequence[tuple[str, ...]], first: bool) -> set[tuple[str, ...]]:
+    """The column sets with two equal rows in the first slice, or in any of the others."""
+    repeated = None
+    for i, c in enumerate(sets):
+        values = [F.col(f"`{x}`") for x in c]
+        place = F.pmod(F.xxhash64(*values), F.lit(SLICES))
+        counts = base.filter(place == 0 if first else place != 0).groupBy(*values).agg(F.count("*").alias("_n"))
+        part = counts.filter("_n > 1").select(F.lit(i).alias("_set")).distinct()
+        repeated = part if repeated is None else repeated.unionByName(part)
+    # One row a column set.
+    return {sets[r["_set"]] for r in repeated.collect()} if sets else set()

@@ -320,6 +320,23 @@ def test_found_references_and_keys_match_brute_force(spark):
     assert doubled.collect() == []
 
 
+def test_found_keys_write_the_table_once_and_miss_no_slice(spark, monkeypatch):
+    from lakeloom.operators import discovery
+
+    written, store = [], discovery.materialize
+    monkeypatch.setattr(discovery, "materialize", lambda df, label: written.append(label) or store(df, label))
+    # In column j the value j comes twice, wherever its hash puts it; in `u` none does.
+    names = [*(f"c{j}" for j in range(20)), "u"]
+    rows = [tuple(j if i == 30 else i for j in range(20)) + (i,) for i in range(31)]
+    found = discovery.unique_sets(spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names)), most=1)
+    assert [r.columns for r in found.collect()] == [["u"]] and len(written) == 1
+    # Times that differ by a microsecond, and maps.
+    moments = spark.sql(
+        "select timestamp_micros(id) as at, map('k', id % 2) as m, cast(id as int) div 2 as n from range(4)"
+    )
+    assert sorted(r.columns for r in discovery.unique_sets(moments).collect()) == [["at"], ["m", "n"]]
+
+
 # --- totals as of many dates -------------------------------------------------------
 
 
