@@ -47,10 +47,12 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
     def write_bronze(self, df: DataFrame, table: str, source: str = "import",
-                     mode: str = "append") -> WriteResult:
+                     mode: str = "append", compression: str = "gzip") -> WriteResult:
         """Raw rows as JSON, stamped and partitioned by load date.
 
-        Appends by default; ``mode="overwrite"`` replaces the table.
+        Appends by default; ``mode="overwrite"`` replaces the table. A row of JSON repeats
+        every column's name, so the files are compressed; each is read by one task, as it was
+        written by one.
         """
         stamped = df.withColumns(
             {
@@ -59,7 +61,8 @@ class Lake:
                 "_load_date": F.current_date(),
             }
         )
-        return _save(stamped, self.path("bronze", table), "json", mode, ["_load_date"])
+        return _save(stamped, self.path("bronze", table), "json", mode, ["_load_date"],
+                     options={"compression": compression})
 
     def read_bronze(self, table: str, schema: str | T.StructType) -> DataFrame:
         """Raw rows with the contract's types; unreadable lines in a side column."""

@@ -510,3 +510,15 @@ def test_merge_reads_the_table_once(spark, folder):
     assert physical.count("ReadSchema: struct<k:bigint>") == 1
     rows = {r.k: (r.at, r.wide) for r in merged.collect()}
     assert len(rows) == 1001 and rows[1] == (5000, "new") and rows[2] == (2, "x") and rows[5000] == (1, "added")
+
+
+def test_raw_files_are_compressed_and_read_back(spark, folder):
+    lake = Lake(spark, folder)
+    rows = spark.range(20000).select("id", F.lit("some text").alias("label"))
+    for _ in range(2):
+        lake.write_bronze(rows, "t")
+    parts = list(Path(lake.path("bronze", "t")).rglob("part-*"))
+    assert parts and sum(f.stat().st_size for f in parts) < 20 * 2 * 20000
+    back = lake.read_bronze("t", "id bigint, label string")
+    assert back.count() == 40000
+    assert back.select(F.sum("id")).first()[0] == 2 * sum(range(20000))
