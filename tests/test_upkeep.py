@@ -204,6 +204,35 @@ def test_a_query_reads_the_folders_of_its_terms(spark, folder):
     assert sorted(r.key for r in index.postings(["word7"]).collect()) == [6, 7]
 
 
+def test_postings_are_made_in_their_rows_and_shuffled_once(spark, folder, monkeypatch):
+    index, plans, write = TextIndex(spark, folder, buckets=4), [], TextIndex._write
+
+    def seen(self, postings, name):
+        plans.append(postings._jdf.queryExecution().executedPlan().toString())
+        write(self, postings, name)
+
+    monkeypatch.setattr(TextIndex, "_write", seen)
+    texts = {1: "b a b, B", 2: "", 3: "a " * 500, 4: "c", 5: None}
+
+    def batch(rows):
+        return spark.createDataFrame(list(rows), "i int, body string")
+
+    def positions(*terms):
+        return {(r.term, r.key): r.positions for r in index.postings(terms).collect()}
+
+    index.apply(batch(texts.items()), "i", ["body"], 1)
+    assert "Exchange" not in plans.pop()
+    want = {("b", 1): [0, 2, 3], ("a", 1): [1], ("a", 3): list(range(500)), ("c", 4): [0]}
+    assert positions("a", "b", "c") == want
+    for _ in range(2):  # delivered again, with a key that comes twice
+        index.apply(batch([(4, "d"), (6, "d e"), (6, "e d d")]), "i", ["body"], 2)
+    index.compact()
+    del want["c", 4]
+    want |= {("d", 4): [0], ("d", 6): [0, 1, 2], ("e", 6): [0, 1]}
+    assert positions("a", "b", "c", "d", "e") == want
+    assert spark.read.parquet(index._folders()[0]).count() == len(want)
+
+
 # --- deletes over a graph ----------------------------------------------------------
 
 
